@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,6 @@ def pack_power_of_two(
         raise ValueError("max_tokens must be a power of two")
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = pa.int64() if source.schema["doc_id"].dataType.typeName() == "long" else None
     end = int(end_id).to_bytes(4, "little")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "tokens"][: 5 + with_tokens]
 
@@ -64,13 +64,13 @@ def pack_power_of_two(
                         crc.append(zlib.crc32(part))
                         whole.append(total)
                         if with_tokens:
-                            tokens.append(memoryview(part).cast("I").tolist())
+                            tokens.append(part)
                         at += size
                 long = [pa.array(x, pa.int64()) for x in (start, length, crc, whole)]
-                more = [pa.array(tokens, pa.list_(pa.int32()))] if with_tokens else []
+                more = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *length]), pa.int32()), pa.array(np.frombuffer(b"".join(tokens), np.int32)))] if with_tokens else []
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), *long, *more], names)
 
-    kind = source.schema["doc_id"].dataType.simpleString() if id_type is None else "long"
+    kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", tokens array<int>" * with_tokens
     out = source.mapInArrow(pieces, schema)
     return out.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.col("length")})
