@@ -39,7 +39,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     try:
         h = np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens))
     except KeyError:
-        for t in set(tokens) - cache.keys():
+        for t in {t for t in tokens if t not in cache}:
             cache[t] = xxhash.xxh3_64_intdigest(t)
         h = np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens))
     n = min(words, len(h))
