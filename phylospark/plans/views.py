@@ -70,6 +70,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line items as similarity hits of targets on contigs."""
     items = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
     return items.selectExpr(
+        "l_orderkey * 1000000 + l_partkey as hit_id",
         "concat('s', l_orderkey % 20) as sample",
         "l_suppkey as contig",
         "l_partkey as target",
@@ -84,7 +85,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_quantity as bigint) as mismatches",
         "cast(l_orderkey % 3 as bigint) as q_num_insert",
         "case when l_orderkey % 2 = 0 then '+' else '-' end as strand",
-        "round(l_extendedprice / 100000.0, 5) as wscore",
+        "floor(l_extendedprice) / 100000.0D as wscore",
         "60 + (l_orderkey * 13 % 4000) / 100.0D as identity",
         "5 + (l_partkey * 7 % 9500) / 100.0D as coverage",
         "(1 + l_orderkey % 300) / 10.0D as depth",
@@ -92,11 +93,11 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HITS = """hits as (
-  select 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
+  select l_orderkey * 1000000 + l_partkey as hit_id, 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
     cast((l_orderkey * 37) % 10000 as bigint) as t_start, cast((l_orderkey * 37) % 10000 + l_quantity * 10 as bigint) as t_end, cast(12000 as bigint) as t_size,
     cast((l_orderkey * 11) % 400 as bigint) as q_start, cast((l_orderkey * 11) % 400 + l_quantity * 10 as bigint) as q_end, cast(1000 + l_partkey % 500 as bigint) as q_size,
     cast(l_quantity * 9 as bigint) as matches, cast(l_quantity as bigint) as mismatches, cast(l_orderkey % 3 as bigint) as q_num_insert,
-    case when l_orderkey % 2 = 0 then '+' else '-' end as strand, round(cast(l_extendedprice as double) / 100000.0, 5) as wscore,
+    case when l_orderkey % 2 = 0 then '+' else '-' end as strand, floor(l_extendedprice) / 100000.0 as wscore,
     60 + cast(l_orderkey * 13 % 4000 as double) / 100.0 as identity, 5 + cast(l_partkey * 7 % 9500 as double) / 100.0 as coverage,
     cast(1 + l_orderkey % 300 as double) / 10.0 as depth
   from lineitem where l_linenumber = 1)"""
@@ -105,12 +106,12 @@ HITS = """hits as (
 def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as extraction statistics: one row a recovered copy."""
     orders = table(spark, sf_dir, "orders")
-    return orders.selectExpr("concat('s', o_custkey % 40) as sample", "concat('m', o_custkey % 3) as marker", "concat('L', o_orderkey % 97) as locus", "concat('t', o_custkey % 11) as target", "o_orderkey as hit_id", "round(o_totalprice / 500000.0, 5) as wscore", "round((o_orderkey * 31 % 10000) / 100.0D, 2) as coverage", "cast(100 + o_orderkey % 900 as bigint) as ref_len_matched", "case when o_orderkey % 7 = 0 then '3,9' when o_orderkey % 5 = 0 then '12' end as frameshifts")
+    return orders.selectExpr("concat('s', o_custkey % 40) as sample", "concat('m', o_custkey % 3) as marker", "concat('L', o_orderkey % 97) as locus", "concat('t', o_custkey % 11) as target", "o_orderkey as hit_id", "floor(o_totalprice) / 500000.0D as wscore", "round((o_orderkey * 31 % 10000) / 100.0D, 2) as coverage", "cast(100 + o_orderkey % 900 as bigint) as ref_len_matched", "case when o_orderkey % 7 = 0 then '3,9' when o_orderkey % 5 = 0 then '12' end as frameshifts")
 
 
 EXTRACTION = """extraction as (
   select 's' || (o_custkey % 40) as sample, 'm' || (o_custkey % 3) as marker, 'L' || (o_orderkey % 97) as locus, 't' || (o_custkey % 11) as target, o_orderkey as hit_id,
-    round(cast(o_totalprice as double) / 500000.0, 5) as wscore, round(cast(o_orderkey * 31 % 10000 as double) / 100.0, 2) as coverage,
+    floor(o_totalprice) / 500000.0 as wscore, round(cast(o_orderkey * 31 % 10000 as double) / 100.0, 2) as coverage,
     cast(100 + o_orderkey % 900 as bigint) as ref_len_matched, case when o_orderkey % 7 = 0 then '3,9' when o_orderkey % 5 = 0 then '12' end as frameshifts
   from orders)"""
 
