@@ -70,7 +70,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line items as similarity hits of targets on contigs."""
     items = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
     return items.selectExpr(
-        "l_orderkey * 1000000 + l_partkey as hit_id",
+        "l_orderkey * 10000000000 + l_partkey * 10000 + l_suppkey as hit_id",
         "concat('s', l_orderkey % 20) as sample",
         "l_suppkey as contig",
         "l_partkey as target",
@@ -93,7 +93,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HITS = """hits as (
-  select l_orderkey * 1000000 + l_partkey as hit_id, 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
+  select l_orderkey * 10000000000 + l_partkey * 10000 + l_suppkey as hit_id, 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
     cast((l_orderkey * 37) % 10000 as bigint) as t_start, cast((l_orderkey * 37) % 10000 + l_quantity * 10 as bigint) as t_end, cast(12000 as bigint) as t_size,
     cast((l_orderkey * 11) % 400 as bigint) as q_start, cast((l_orderkey * 11) % 400 + l_quantity * 10 as bigint) as q_end, cast(1000 + l_partkey % 500 as bigint) as q_size,
     cast(l_quantity * 9 as bigint) as matches, cast(l_quantity as bigint) as mismatches, cast(l_orderkey % 3 as bigint) as q_num_insert,
