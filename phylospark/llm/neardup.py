@@ -18,6 +18,10 @@ MINHASHES = 2 * SIDE * WIDTH
 #: Verified are candidates that agree in so many of the minhashes at least. A pair of similarity 0.8
 #: agrees in 25.6 of 32 on average; it falls under 12 with probability below 1e-7.
 LEAST_AGREEING = 12
+#: The same on two bits of each minhash, where similarity 0.8 gives 4.8 of 32 differing; over 15 has probability 3e-6.
+MOST_DIFFERING = 15
+#: Leading classes that a key's others are paired with in the second round; four times as many in each later one.
+LEADERS = 16
 _WORDS: dict[bytes, int] = {}
 _MASK48 = np.uint64((1 << 48) - 1)
 
@@ -61,6 +65,11 @@ def minhashes(found: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _sketch(mh: np.ndarray) -> int:
+    """Two bits of every minhash."""
+    return int(((mh.astype(np.int64) & 3).astype(np.uint64) << np.arange(0, 2 * MINHASHES, 2, dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
+
+
 def _packed(found: np.ndarray) -> bytes:
     """48 bits of every hash, sorted."""
     low = np.unique(found & _MASK48)
@@ -83,15 +92,17 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cls, mh = [], [], []
+            n, cls, mh, sketch = [], [], [], []
             for value in batch.column("text"):
                 found = shingles(value.as_py(), words)
                 n.append(len(found))
                 cls.append(_fingerprint(found) if len(found) else 0)
                 mh.append(minhashes(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mh, pa.list_(pa.int32()))], ["doc_id", "n", "cls", "mh"])
+                sketch.append(_sketch(mh[-1]) if len(found) else 0)
+            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mh, pa.list_(pa.int32())), pa.array(sketch, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "cls", "mh", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n long, cls long, mh array<int>")
+    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n long, cls long, mh array<int>, sketch long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -151,9 +162,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     come from tensored banding: SIDE half-keys on either side, of WIDTH minhashes each, combine into
     SIDE * SIDE tables from only 2 * SIDE * WIDTH minhashes; a pair of similarity 0.8 shares a key with
     probability 0.9994, of 0.9 with more than 0.99999. The classes of a key aren't paired with one another:
-    in rounds, each is paired with the key's leading classes that lie in other components, candidates are
+    in rounds, each is paired with some leading classes of the key that lie in other components, candidates are
     verified on their full sets, components grow, and the leaders leave; a key whose classes are one
-    component is done. No key, partner or candidate is capped.
+    component is done. Leaders quadruple, so rounds are few, and nobody's partners are capped: what is left
+    unpaired in a key at the end lies in one component.
 
     Returns doc_id, n_shingles, component_id (the smallest id reachable) and kept (doc_id = component_id).
     Null, empty and blank texts have no shingles and are their own component; texts of fewer words are one
@@ -162,7 +174,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialised(_signatures(docs, words), "signatures")
-    classes = signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("mh").alias("mh"))
+    classes = signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "mh", "sketch")])
     classes = materialised(classes, "classes")
     table, mh = F.col("t"), F.col("mh")
     at = lambda k: F.element_at(mh, k + 1)
@@ -170,46 +182,56 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     keyed = classes.select("cls", "mh", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("t"))
     keyed = keyed.select("cls", F.xxhash64("t", *[at(left + i) for i in range(WIDTH)], *[at(right + i) for i in range(WIDTH)]).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).where("lead < last")
-    members = materialised(keyed.join(shared.select("key", "lead"), "key"), "members")
-    pairs = members.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-    members = members.where("cls <> lead").select("key", "cls")
+    members = keyed.join(shared.select("key", "lead"), "key").join(classes.select("cls", "n", "sketch"), "cls")
+    members = materialised(members.select("key", "cls", "n", "sketch", F.col("cls").alias("comp"), (F.col("cls") == F.col("lead")).alias("leads")), "members")
     sets, tried, comps, turn = None, None, None, 0
     while True:
         turn += 1
+        pairs = _candidates(members, percent)
+        members = members.where("not leads").drop("leads", "comp")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        size = lambda side: classes.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("mh").alias(f"mh_{side}"))
-        judged = pairs.join(size("a"), "a").join(size("b"), "b")
+        mh_of = lambda side: classes.select(F.col("cls").alias(side), F.col("mh").alias(f"mh_{side}"))
         agreeing = F.size(F.filter(F.zip_with("mh_a", "mh_b", lambda x, y: x == y), lambda x: x))
-        judged = judged.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (agreeing >= LEAST_AGREEING)).select("a", "b")
-        new = materialised(judged, "pairs")
+        new = materialised(pairs.join(mh_of("a"), "a").join(mh_of("b"), "b").where(agreeing >= LEAST_AGREEING).select("a", "b"), "pairs")
         if new.limit(1).count():
             tried = new if tried is None else tried.union(new)
             if sets is None:
-                wanted = classes.join(members.select("cls").union(new.select("a")).distinct(), "cls", "left_semi")
+                wanted = classes.join(members.select("cls").union(new.select("a")).union(new.select("b")).distinct(), "cls", "left_semi")
                 sets = materialised(_sets(docs, wanted, words), "sets")
             links = materialised(_linked(new, sets, percent), "links")
             if links.limit(1).count():
-                if comps is None:
-                    comps = connected_components(links)
-                else:
-                    name = lambda side: comps.select(F.col("v").alias(side), F.col("comp").alias(f"c_{side}"))
-                    lifted = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-                    merged = connected_components(lifted).select(F.col("v").alias("comp"), F.col("comp").alias("to"))
-                    known = comps.join(merged, "comp", "left").select("v", F.coalesce("to", "comp").alias("comp"))
-                    fresh = merged.select(F.col("comp").alias("v"), F.col("to").alias("comp")).join(known, "v", "left_anti")
-                    comps = materialised(known.union(fresh), "components")
-        placed = members if comps is None else members.join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left")
-        placed = placed.select("key", "cls", F.coalesce("comp", "cls").alias("comp") if comps is not None else F.col("cls").alias("comp"))
-        draw = F.struct(F.xxhash64("cls", F.lit(turn)), F.col("cls"))
-        lead = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("cls", "comp"), draw).alias("s0"), F.max_by(F.struct("cls", "comp"), draw).alias("s1"), F.min(F.struct("cls", "comp")).alias("s2"), F.max(F.struct("cls", "comp")).alias("s3")).where("lo < hi")
-        open_ = materialised(placed.join(lead.select("key", F.array_distinct(F.array("s0", "s1", "s2", "s3")).alias("leads")), "key"), "members")
-        if not open_.limit(1).count():
-            break
-        met = open_.select("cls", "comp", F.explode("leads").alias("x")).where("x.comp <> comp")
-        pairs = met.select(F.least("cls", "x.cls").alias("a"), F.greatest("cls", "x.cls").alias("b")).distinct()
-        members = open_.where(~F.exists("leads", lambda x: x.cls == F.col("cls"))).select("key", "cls")
-    return _named(signed, classes, comps)
+                comps = connected_components(links) if comps is None else _joined(comps, links)
+        if comps is None:
+            placed = members.withColumn("comp", F.col("cls"))
+        else:
+            placed = members.join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", "size")
+        draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) * F.col("size")
+        members = materialised(placed.join(keys, "key").withColumn("leads", draw < (LEADERS << 2 * (turn - 1) << 30)).drop("size"), "members")
+        if not members.limit(1).count():
+            return _named(signed, classes, comps)
+
+
+def _candidates(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of a key's leaders with its other classes in other components, where size and sketch allow a link."""
+    lead = members.where("leads").select("key", *[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "sketch", "comp")])
+    differing = F.col("sketch").bitwiseXOR(F.col("l_sketch"))
+    differing = F.bit_count(differing.bitwiseOR(F.shiftrightunsigned(differing, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    one_way = ~F.col("leads") | (F.col("cls") < F.col("l_cls"))
+    near = (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING)
+    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & one_way & near)
+    return met.select(F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")).distinct()
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: their labels are joined up, new vertices come in."""
+    name = lambda side: comps.select(F.col("v").alias(side), F.col("comp").alias(f"c_{side}"))
+    lifted = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    merged = connected_components(lifted).select(F.col("v").alias("comp"), F.col("comp").alias("to"))
+    known = comps.join(merged, "comp", "left").select("v", F.coalesce("to", "comp").alias("comp"))
+    fresh = merged.select(F.col("comp").alias("v"), F.col("to").alias("comp")).join(known, "v", "left_anti")
+    return materialised(known.union(fresh), "components")
 
 
 def _named(signed: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
