@@ -28,12 +28,16 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """FASTQ records: read_id, sequence, quality, src_file; four lines each, plain or gzipped.
 
-    Lines are numbered within a file by their byte-ordered place in it, so records never mix across files.
+    Large plain files are split. A line's number is its place in its split plus the lines of the file's
+    earlier splits, from a table of one row a split (small against the lines, so it is broadcast); no sort.
     """
-    lines = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("src_file"), F.split(F.regexp_replace(F.rtrim("value"), "\r", ""), "\n").alias("lines"))
-    records = lines.select("src_file", "lines", F.explode(F.sequence(F.lit(0), F.floor(F.size("lines") / 4).cast("int") - 1)).alias("i")).where(F.size("lines") >= 4)
-    at = lambda k: F.col("lines")[F.col("i") * 4 + k]
-    return records.select(F.regexp_extract(at(0), r"^@(\S+)", 1).alias("read_id"), at(1).alias("sequence"), at(3).alias("quality"), "src_file")
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("src_file", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = splits.withColumn("before", F.sum("n").over(Window.partitionBy("src_file").orderBy("block")) - F.col("n")).drop("n")
+    numbered = lines.join(F.broadcast(before), ["src_file", "block"]).withColumn("no", F.col("place") - F.col("first") + F.col("before"))
+    at = lambda k: F.max(F.when(F.col("no") % 4 == k, F.regexp_replace("value", "\r", "")))
+    records = numbered.groupBy("src_file", F.floor(F.col("no") / 4).alias("record")).agg(at(0).alias("head"), at(1).alias("sequence"), at(3).alias("quality"))
+    return records.where(F.col("quality").isNotNull()).select(F.regexp_extract("head", r"^@(\S+)", 1).alias("read_id"), "sequence", "quality", "src_file")
 
 
 def pair_files(files: DataFrame, path: str = "path") -> DataFrame:
