@@ -20,7 +20,9 @@ MINHASHES = 2 * SIDE * WIDTH
 LEAST_AGREEING = 12
 #: The same on two bits of each minhash, where similarity 0.8 gives 4.8 of 32 differing; over 15 has probability 3e-6.
 MOST_DIFFERING = 15
-#: Leading classes that a key's others are paired with in the second round; four times as many in each later one.
+#: First rounds, in which a class is paired with one leader among those of all its keys.
+REDUCING = 4
+#: Leading classes that a key's others are paired with in the round after those; four times as many in each later one.
 LEADERS = 16
 _WORDS: dict[bytes, int] = {}
 _MASK48 = np.uint64((1 << 48) - 1)
@@ -162,10 +164,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     come from tensored banding: SIDE half-keys on either side, of WIDTH minhashes each, combine into
     SIDE * SIDE tables from only 2 * SIDE * WIDTH minhashes; a pair of similarity 0.8 shares a key with
     probability 0.9994, of 0.9 with more than 0.99999. The classes of a key aren't paired with one another:
-    in rounds, each is paired with some leading classes of the key that lie in other components, candidates are
-    verified on their full sets, components grow, and the leaders leave; a key whose classes are one
-    component is done. Leaders quadruple, so rounds are few, and nobody's partners are capped: what is left
-    unpaired in a key at the end lies in one component.
+    in a few first rounds, each class is paired with one leader of its keys, and candidates are verified on
+    their full sets, so that components form. Then each class meets the key's leaders that lie in other
+    components, and the leaders leave; a key whose classes are one component is done. Leaders quadruple, so
+    rounds are few, and nobody's partners are capped: what is left unpaired at the end lies in one component.
 
     Returns doc_id, n_shingles, component_id (the smallest id reachable) and kept (doc_id = component_id).
     Null, empty and blank texts have no shingles and are their own component; texts of fewer words are one
@@ -182,13 +184,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     keyed = classes.select("cls", "mh", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("t"))
     keyed = keyed.select("cls", F.xxhash64("t", *[at(left + i) for i in range(WIDTH)], *[at(right + i) for i in range(WIDTH)]).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).where("lead < last")
-    members = keyed.join(shared.select("key", "lead"), "key").join(classes.select("cls", "n", "sketch"), "cls")
-    members = materialised(members.select("key", "cls", "n", "sketch", F.col("cls").alias("comp"), (F.col("cls") == F.col("lead")).alias("leads")), "members")
+    members = keyed.join(shared.select("key"), "key").join(classes.select("cls", "n", "sketch"), "cls")
+    members = materialised(members.select("key", "cls", "n", "sketch", F.col("cls").alias("comp"), F.lit(0).cast("long").alias("size")), "members")
     sets, tried, comps, turn = None, None, None, 0
     while True:
         turn += 1
-        pairs = _candidates(members, percent)
-        members = members.where("not leads").drop("leads", "comp")
+        if turn <= REDUCING:
+            pairs = _one_each(members, percent, turn)
+        else:
+            draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) * F.col("size")
+            members = members.withColumn("leads", draw < (LEADERS << 2 * (turn - REDUCING - 1) << 30))
+            pairs = _candidates(members, percent)
+            members = members.where("not leads")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         mh_of = lambda side: classes.select(F.col("cls").alias(side), F.col("mh").alias(f"mh_{side}"))
@@ -197,30 +204,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         if new.limit(1).count():
             tried = new if tried is None else tried.union(new)
             if sets is None:
-                wanted = classes.join(members.select("cls").union(new.select("a")).union(new.select("b")).distinct(), "cls", "left_semi")
+                wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi")
                 sets = materialised(_sets(docs, wanted, words), "sets")
             links = materialised(_linked(new, sets, percent), "links")
             if links.limit(1).count():
                 comps = connected_components(links) if comps is None else _joined(comps, links)
+        members = members.select("key", "cls", "n", "sketch")
         if comps is None:
             placed = members.withColumn("comp", F.col("cls"))
         else:
             placed = members.join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", "size")
-        draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) * F.col("size")
-        members = materialised(placed.join(keys, "key").withColumn("leads", draw < (LEADERS << 2 * (turn - 1) << 30)).drop("size"), "members")
+        members = materialised(placed.join(keys, "key"), "members")
         if not members.limit(1).count():
             return _named(signed, classes, comps)
 
 
+def _possible(percent: int):
+    """Whether size and sketch of a class and of its leader allow a link."""
+    differing = F.col("sketch").bitwiseXOR(F.col("l_sketch"))
+    differing = F.bit_count(differing.bitwiseOR(F.shiftrightunsigned(differing, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING)
+
+
+def _one_each(members: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each class with one leader: the first, in the round's order, of its keys' leaders in other components."""
+    order = lambda c: F.xxhash64(c, F.lit(turn))
+    lead = members.groupBy("key").agg(F.min_by(F.struct("cls", "n", "sketch", "comp"), F.struct(order("cls"), F.col("cls"))).alias("l"))
+    lead = lead.select("key", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("cls", "n", "sketch", "comp")])
+    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & _possible(percent))
+    one = met.groupBy("cls").agg(F.min_by("l_cls", F.struct(order("l_cls"), F.col("l_cls"))).alias("l_cls"))
+    return one.select(F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")).distinct()
+
+
 def _candidates(members: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of a key's leaders with its other classes in other components, where size and sketch allow a link."""
     lead = members.where("leads").select("key", *[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "sketch", "comp")])
-    differing = F.col("sketch").bitwiseXOR(F.col("l_sketch"))
-    differing = F.bit_count(differing.bitwiseOR(F.shiftrightunsigned(differing, 1)).bitwiseAND(F.lit(0x5555555555555555)))
     one_way = ~F.col("leads") | (F.col("cls") < F.col("l_cls"))
-    near = (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING)
-    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & one_way & near)
+    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & one_way & _possible(percent))
     return met.select(F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")).distinct()
 
 
