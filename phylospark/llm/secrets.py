@@ -61,7 +61,7 @@ def _tested(txt: Column) -> Column:
     for pattern, letters in ENCODINGS[-2::-1]:
         alphabet = F.when(txt.rlike(pattern), F.lit(letters)).otherwise(alphabet)
     values = lambda a: F.transform(F.split(F.translate(txt, "-_", "+/"), ""), lambda c: F.instr(a, c) - 1)
-    held = _let(alphabet, lambda a: F.struct(F.length(a).cast("double").alias("k"), F.filter(values(a), lambda v: v >= 0).alias("v")))
+    held = _let(alphabet, lambda a: F.struct(F.length(a).cast("double").alias("k"), F.filter(values(a), lambda v: v >= 0).alias("v"), F.length(F.regexp_replace(txt, "[^0-9]", "")).cast("double").alias("digits")))
 
     def moments(x: Column) -> Column:
         counts = F.transform(F.sequence(F.lit(0), (x.k - 1).cast("int")), lambda s: F.size(F.filter(x.v, lambda w: w == s)).cast("double"))
@@ -69,6 +69,7 @@ def _tested(txt: Column) -> Column:
             x.k.alias("k"),
             x.v.alias("v"),
             F.size(x.v).cast("double").alias("n"),
+            x.digits.alias("digits"),
             F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c).alias("squares"),
             (F.aggregate(x.v, F.lit(0.0), lambda acc, v: acc + v) / F.size(x.v)).alias("mean"),
             F.size(F.filter(x.v, lambda v: v >= x.k / 2)).cast("double").alias("high"),
@@ -82,16 +83,18 @@ def _tested(txt: Column) -> Column:
         free, expected = x.k - 1, 2 * x.high * (x.n - x.high) / x.n + 1
         variance = (expected - 1) * (expected - 2) / (x.n - 1)
         chi = F.greatest(x.k / x.n * x.squares - x.n, F.lit(0.0))
+        expected_share = F.when(x.k == 32, 6.0).otherwise(10.0) / x.k
         return F.struct(
             x.n.alias("n"),
+            F.abs((x.digits - x.n * expected_share) / F.sqrt(x.n * expected_share * (1 - expected_share))).alias("digits_z"),
             ((F.pow(chi / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))).alias("chi_z"),
             F.coalesce(F.abs(F.try_divide(turns + 1 - expected, F.sqrt(F.greatest(variance, F.lit(0.0))))), F.lit(9.0)).alias("runs_z"),
             F.abs(F.coalesce(F.try_divide(cross, spread), F.lit(1.0)) * F.sqrt(x.n)).alias("serial_z"),
         )
 
     def grade(x: Column) -> Column:
-        lowest = F.least(_upper_tail(x.chi_z), 2 * _upper_tail(x.runs_z), 2 * _upper_tail(x.serial_z))
-        p = F.least(F.lit(1.0), 3 * lowest)
+        lowest = F.least(_upper_tail(x.chi_z), 2 * _upper_tail(x.digits_z), 2 * _upper_tail(x.runs_z), 2 * _upper_tail(x.serial_z))
+        p = F.least(F.lit(1.0), 4 * lowest)
         return F.struct(F.floor(F.log2(x.n)).cast("int").alias("band"), F.floor(-F.log10(p) * BINS).cast("int").alias("bin"))
 
     return _let(_let(_let(held, moments), statistics), grade)
@@ -114,8 +117,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base kinds: assignments to names of secrets, access keys, long hexadecimal runs. The method adds
     ``random``: long runs holding letters and digits whose characters pass, for the encoding inferred
-    from their alphabet (hex, base32, base36, base64), a chi-squared test of uniformity, a runs test
-    about the middle of the alphabet and a test of serial correlation. A candidate counts as not random
+    from their alphabet (hex, base32, base36, base64), a chi-squared test of uniformity and one of the
+    share of digits, a runs test about the middle of the alphabet and a test of serial correlation. A candidate counts as not random
     if the step-up procedure at rate 0.05, in its band of lengths, rejects it; the rest are spans.
 
     Two scans with built-in functions; only the counts of p-value bins are shuffled, and the cuts of
