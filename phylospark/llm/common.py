@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,57 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
             start, held, size = i + 1, [], 0
     if held:
         yield start, held
+
+
+_RNG = np.random.default_rng(41)
+_BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_STEP = 0x9E3779B97F4A7C15
+_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_BLOCK = 1 << 22
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes with all bits stirred."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS["up"]) < n:
+        size = max(n, 1 << 16)
+        for name, step in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
+            factors = np.full(size, step, np.uint64)
+            factors[0] = 1
+            _POWERS[name] = np.multiply.accumulate(factors)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of lower-cased UTF-8 text, and the byte at which each begins.
+
+    Words are what is left between ASCII white space. All are hashed at once: a running sum of random
+    values a byte times powers gives every word's polynomial as a difference, which is then stirred.
+    """
+    whole = np.frombuffer(data, np.uint8)
+    hashes, places, first = [], [], 0
+    while first < len(whole):
+        last = min(len(whole), first + _BLOCK)
+        while last < len(whole) and not _IS_SPACE[whole[last]]:  # a word isn't cut
+            last += 1
+        b = whole[first:last]
+        up, down = _powers(len(b))
+        space = np.ones(len(b) + 2, bool)
+        space[1:-1] = _IS_SPACE[b]
+        starts = np.flatnonzero(~space[1:-1] & space[:-2])
+        ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
+        hashes.append(mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        places.append(starts + first)
+        first = last
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(places)

@@ -320,13 +320,13 @@ def test_base_scores_are_exact_and_bigrams_help(documents, monkeypatch):
 
 
 def test_filter_counts_are_near(monkeypatch):
-    keys = lm._mix(np.arange(1, 5001, dtype=np.uint64))
+    keys = lm.mixed(np.arange(1, 5001, dtype=np.uint64))
     counts = np.random.default_rng(1).geometric(0.05, 5000)
     data, bits, least = lm._segment_filter(keys & lm._K48, counts, 1 << 24)
-    f = lm.CountFilter(np.frombuffer(data, np.uint8), np.zeros(1, np.int64), np.array([bits], np.uint64), np.array([least]))
+    f = lm.CountFilter(np.frombuffer(data, np.uint64), np.zeros(1, np.int64), np.array([bits], np.uint64), np.array([least]))
     got = f.counts(keys)
     assert (got >= counts / lm.BASE).all() and np.median(got / counts) < lm.BASE
-    assert (f.counts(lm._mix(np.arange(9001, 14001, dtype=np.uint64))) > 0).mean() < 0.05
+    assert (f.counts(lm.mixed(np.arange(9001, 14001, dtype=np.uint64))) > 0).mean() < 0.05
 
 
 def test_scores_without_training(documents):
