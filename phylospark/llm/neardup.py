@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, read_table
+from .common import materialised, mixed, read_table, word_hashes
 
 #: Half-keys on either side and minhashes in each: SIDE * SIDE tables from 2 * SIDE * WIDTH minhashes.
 SIDE, WIDTH = 8, 2
@@ -24,38 +23,22 @@ MOST_DIFFERING = 15
 REDUCING = 4
 #: Leading classes that a key's others are paired with in the round after those; four times as many in each later one.
 LEADERS = 16
-_WORDS: dict[bytes, int] = {}
 _MASK48 = np.uint64((1 << 48) - 1)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def shingles(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; of fewer words, one of the whole sequence."""
-    tokens = (text or "").encode("utf-8", "replace").lower().split()
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    cache = _WORDS
-    if len(cache) > 600_000:
-        cache.clear()
-    try:
-        h = np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens))
-    except KeyError:
-        for t in {t for t in tokens if t not in cache}:
-            cache[t] = xxhash.xxh3_64_intdigest(t)
-        h = np.fromiter(map(cache.__getitem__, tokens), np.uint64, len(tokens))
+    h, _ = word_hashes((text or "").encode("utf-8", "replace").lower())
+    if not len(h):
+        return h
     n = min(words, len(h))
     total = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
-        total = _mixed(total * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i])
+        total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i])
     return np.unique(total)
 
 
-_SEEDS = _mixed(np.arange(1, MINHASHES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+_SEEDS = mixed(np.arange(1, MINHASHES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
 def minhashes(found: np.ndarray) -> np.ndarray:
@@ -85,7 +68,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _fingerprint(found: np.ndarray) -> int:
     """A signed 64-bit hash of a set."""
-    return int((_mixed(found + np.uint64(1)).sum(dtype=np.uint64) ^ np.uint64(len(found) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64))
+    return int((mixed(found + np.uint64(1)).sum(dtype=np.uint64) ^ np.uint64(len(found) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64))
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
