@@ -96,13 +96,16 @@ def fix_quality_offset(profile: DataFrame, quality: str = "q", keys: tuple[str,
 def trim_quality(reads: DataFrame, trim: int = TRIM_QUALITY, mean: int = MEAN_QUALITY, min_length: int = MIN_LENGTH, max_n: int = MAX_N, left: int = 0, right: int = 0) -> DataFrame:
     """Both ends cut back to the first and last base of quality ``trim``, then reads of low mean quality, many N or short ones dropped."""
     reads = reads.withColumns({"sequence": F.substring(F.col("sequence"), F.lit(left + 1), F.length("sequence") - left - right), "quality": F.substring(F.col("quality"), F.lit(left + 1), F.length("quality") - left - right)})
-    low = "[" + "".join(f"\\x{c:02x}" for c in range(33, 33 + trim)) + "]*"
-    lead, tail = F.length(F.regexp_extract("quality", f"^({low})", 1)), F.length(F.regexp_extract("quality", f"({low})$", 1))
-    kept = F.greatest(F.lit(0), F.length("quality") - lead - tail)
-    cut = reads.select(*[c for c in reads.columns if c not in ("sequence", "quality")], *[F.substring(F.col(c), lead + 1, kept).alias(c) for c in ("sequence", "quality")]).where(F.length("quality") > 0)
+    low = "[" + "".join(f"\\x{c:02x}" for c in range(33, 33 + trim)) + "]"
+    lead = F.length(F.regexp_extract("quality", f"^({low}*)", 1))
+    tail = F.length(F.regexp_extract(F.reverse(F.col("quality")), f"^({low}*)", 1))
+    # one struct a read, so that no later step computes the ends or the mean anew
     q = phred(F.col("quality"))
-    mean_q = F.aggregate(q, F.lit(0), lambda a, x: a + x) / F.size(q)
-    return cut.where((F.length("sequence") >= min_length) & (mean_q >= mean) & (seq.count_of(F.upper("sequence"), "N") <= max_n))
+    cut = F.struct(lead.alias("lead"), F.greatest(F.lit(0), F.length("quality") - lead - tail).alias("kept"), q.alias("q"))
+    one = reads.withColumn("__cut", F.element_at(F.transform(F.array(cut), lambda c: F.struct(c.lead.alias("lead"), c.kept.alias("kept"), F.aggregate(F.slice(c.q, c.lead + 1, c.kept), F.lit(0), lambda a, x: a + x).alias("sum"))), 1))
+    good = one.where((F.col("__cut.kept") >= min_length) & (F.col("__cut.sum") >= mean * F.col("__cut.kept")))
+    good = good.withColumns({c: F.substring(F.col(c), F.col("__cut.lead") + 1, F.col("__cut.kept")) for c in ("sequence", "quality")}).drop("__cut")
+    return good.where(seq.count_of(F.upper("sequence"), "N") <= max_n)
 
 
 def neighbourhood(kmers: DataFrame, distance: int) -> DataFrame:

@@ -33,7 +33,8 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = c.withColumn("w", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / READ).cast("int"))))
     cut = windows.select("sample", F.concat_ws("_", "contig", F.col("w").cast("string")).alias("read_id"), (F.col("w") % 2 + 1).alias("mate"), F.substring(F.col("sequence"), F.col("w") * READ + 1, F.lit(READ)).alias("sequence"))
     quality = F.transform(F.split("sequence", ""), lambda b, i: F.char(33 + (F.ascii(b) * 7 + (i + 1) * 3) % 41))
-    return cut.withColumn("quality", F.array_join(quality, ""))
+    # the generator keeps later steps from computing the made-up quality once for each use
+    return cut.withColumn("quality", F.explode(F.array(F.array_join(quality, ""))))
 
 
 READS = f"""{CONTIGS}, reads as (
