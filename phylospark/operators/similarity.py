@@ -122,10 +122,13 @@ def mask_low_complexity(baits: DataFrame, column: str = "bait", window: int = 40
     return baits.withColumn(column, masked)
 
 
-def thin_baits(baits: DataFrame, bait_length: int = 120, overlap: float = 50.0) -> DataFrame:
-    """Baits of a sequence so far apart that neighbours overlap by ``overlap`` percent at most, from the first on."""
-    step = max(1, round(bait_length * (1 - overlap / 100)))
-    return baits.where((F.col("bait_no") - 1) % step == 0)
+def thin_baits(baits: DataFrame, bait_length: int = 120, overlap: float = 50.0, step: int = 1) -> DataFrame:
+    """Baits of a sequence so far apart that neighbours overlap by ``overlap`` percent at most, from the first on.
+
+    ``step`` is the distance at which they were tiled.
+    """
+    apart = max(1, round(bait_length * (1 - overlap / 100) / step))
+    return baits.where((F.col("bait_no") - 1) % apart == 0)
 
 
 def exonic(baits: DataFrame, exons: DataFrame, k: int = 31) -> DataFrame:

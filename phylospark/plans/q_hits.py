@@ -175,8 +175,7 @@ def loci_by_level(spark, sf_dir):
     return ops.loci_by_level(ops.best_hit_report(_ext(spark, sf_dir)))
 
 
-@query("c28_frameshifts", f"with {CONTIGS} select contig, coalesce((select string_agg(distinct_p, ',' order by p) from (select distinct (i + 2) // 3 as p, cast((i + 2) // 3 as varchar) as distinct_p from (select unnest(range(1, 61)) as i) where substr(replace(substr(sequence, 1, 60), 'g', 'N'), i, 1) = 'N')), '') as codons from contigs")
+@query("c28_frameshifts", f"with {CONTIGS} select contig, array_to_string(list_sort(list_distinct([(i + 2) // 3 for i in range(1, length + 1) if substr(sequence, i, 1) = 'g'])), ',') as codons from contigs")
 def frameshifts(spark, sf_dir):
-    s = F.translate(F.substring("sequence", 1, 60), "g", "N")
-    c = views.contigs(spark, sf_dir).select("contig", s.alias("s"))
+    c = views.contigs(spark, sf_dir).select("contig", F.translate("sequence", "g", "N").alias("s"))
     return c.select("contig", F.when(F.length("s") > 0, ops.frameshift_positions(F.col("s"))).otherwise("").alias("codons"))

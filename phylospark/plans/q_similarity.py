@@ -32,7 +32,7 @@ def _saver(spark):
     return save
 
 
-_FIRST = "short as (select sample, contig, upper(substr(sequence, 1, 300)) as s from contigs where length >= 31)"
+_FIRST = "short as (select sample, contig, upper(sequence) as s from contigs where length >= 31)"
 
 
 @query(
@@ -43,19 +43,18 @@ _FIRST = "short as (select sample, contig, upper(substr(sequence, 1, 300)) as s
     c as (select *, 1.0 / count(*) over (partition by sample, read_id) as share from b where votes = top) select sample, contig, round(sum(cast(share as double)), 6) as num_reads from c group by 1, 2""",
 )
 def read_assignment(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).where("length >= 31").withColumn("sequence", F.substring("sequence", 1, 300))
-    return similarity.assign_reads(views.reads(spark, sf_dir), c)
+    return similarity.assign_reads(views.reads(spark, sf_dir), views.contigs(spark, sf_dir).where("length >= 31"))
 
 
-_SEEDS = f"""{CONTIGS}, tg as (select contig as target, upper(substr(sequence, 1, 120)) as s from contigs where cast(contig as bigint) % 10 = 0 and length >= 21), ct as (select contig, upper(substr(sequence, 1, 400)) as s from contigs where length >= 21),
-    a as (select target, i as q, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from tg)), b as (select contig, i as t, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from ct)),
+_SEEDS = f"""{CONTIGS}, tg as (select cast(item_id as varchar) as target, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{views._FROM}', '{views._TO}')) as s from benchmark), ct as (select contig, upper(sequence) as s from contigs where length >= 21),
+    a as (select target, i as q, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from tg where length(s) >= 21)), b as (select contig, i as t, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from ct)),
     seeds as (select target, contig, t - q as diagonal, count(*) as seeds, min(q) - 1 as q_start, max(q) + 20 as q_end from a join b using (kmer) group by 1, 2, 3 having count(*) >= 3)"""
 
 
 def _seeds(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).where("length >= 21")
-    targets = c.where(F.col("contig").cast("long") % 10 == 0).select(F.col("contig").alias("target"), F.substring("sequence", 1, 120).alias("sequence"))
-    return similarity.seed_hits(targets, c.select("contig", F.substring("sequence", 1, 400).alias("sequence")), k=21)
+    text = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), views._FROM, views._TO)
+    targets = views.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("target"), text.alias("sequence"))
+    return similarity.seed_hits(targets, views.contigs(spark, sf_dir).where("length >= 21"), k=21)
 
 
 @query("q10_seed_hits", f"with {_SEEDS} select target, contig, diagonal, seeds, q_start, q_end, q_start + diagonal as t_start, q_end + diagonal as t_end from seeds")
@@ -75,16 +74,16 @@ def deduplicated(spark, sf_dir):
 
 @query("q11_clusters")
 def clusters(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).where("length >= 100").select(F.col("contig").alias("name"), F.substring("sequence", 1, 400).alias("sequence"))
+    c = views.contigs(spark, sf_dir).where("length >= 100").select(F.col("contig").alias("name"), "sequence")
     return similarity.cluster_sequences(c, identity=90.0, coverage=50.0, k=15, save=_saver(spark))
 
 
-@query("q18_thinned_baits", f"with {CONTIGS}, s as (select contig, upper(substr(sequence, 1, 400)) as s from contigs where length >= 120) select contig as name, cast(i as int) as bait_no from (select *, unnest(range(1, length(s) - 118)) as i from s) where (i - 1) % 60 = 0")
+@query("q18_thinned_baits", f"with {CONTIGS} select contig as name, cast(i as int) as start from (select contig, unnest(range(1, length - 118, 60)) as i from contigs where length >= 120)")
 def thinned_baits(spark, sf_dir):
     from phylospark.operators.targets import tile
 
-    c = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), F.substring("sequence", 1, 400).alias("sequence"))
-    return similarity.thin_baits(tile(c)).select("name", "bait_no")
+    baits = tile(views.contigs(spark, sf_dir).withColumnRenamed("contig", "name"), step=20)
+    return similarity.thin_baits(baits, step=20).select("name", ((F.col("bait_no") - 1) * 20 + 1).alias("start"))
 
 
 @query("a22_minimum_copies")
@@ -127,11 +126,13 @@ def table_round_trip(spark, sf_dir):
     return readers.read_table(spark, path, "sample string, locus string, wscore double, frameshifts string")
 
 
-_MATRIX = f"{ALIGNMENTS}, m as (select 'n' || seq_name as name, sequence from alignments where locus = 'src1')"
+_MATRIX = f"""{ALIGNMENTS}, own as (select * from alignments where not is_ref), best as (select sample, locus, arg_min(sequence, row(rank, seq_name)) as s from own group by 1, 2),
+    grid as (select sample, locus, width from (select distinct sample from own), (select locus, max(length(sequence)) as width from own group by 1)),
+    m as (select sample as name, string_agg(coalesce(s, repeat('-', width)), '' order by locus) as sequence from grid left join best using (sample, locus) group by 1)"""
 
 
 def _matrix(spark, sf_dir):
-    return views.alignments(spark, sf_dir).where("locus = 'src1'").select(F.concat(F.lit("n"), "seq_name").alias("name"), "sequence")
+    return site_ops.supermatrix(views.alignments(spark, sf_dir).where("not is_ref")).select(F.col("sample").alias("name"), "sequence")
 
 
 @query("k03_nexus_lines", f"with {_MATRIX}, z as (select count(*) as n, max(length(sequence)) as w, max(length(name)) as p from m) select cast(100 as int) as ord, rpad(name, cast(p + 2 as int), ' ') || sequence as line from m, z union all select cast(2 as int), 'DIMENSIONS NTAX=' || n || ' NCHAR=' || w || ';' from z union all select unnest([0, 1, 3, 4, 200]), unnest(['#NEXUS', 'BEGIN DATA;', 'FORMAT DATATYPE=DNA MISSING=? GAP=-;', 'MATRIX', ';' || chr(10) || 'END;'])")
@@ -139,9 +140,9 @@ def nexus_lines(spark, sf_dir):
     return writers.nexus_lines(_matrix(spark, sf_dir)).select("ord", "line")
 
 
-@query("k04_phylip_blocks", f"with {_MATRIX} select cast(b as int) as block, case when b = 0 then name || '  ' else '' end || substr(sequence, b * 50 + 1, 50) as line from (select *, unnest([0, 1, 2]) as b from m)")
+@query("k04_phylip_blocks", f"with {_MATRIX} select cast(b as int) as block, case when b = 0 then name || '  ' else '' end || substr(sequence, cast(b * 500 + 1 as bigint), 500) as line from (select *, unnest(range(0, (length(sequence) - 1) // 500 + 1)) as b from m)")
 def phylip_blocks(spark, sf_dir):
-    return writers.phylip_blocks(_matrix(spark, sf_dir), 50).select("block", "line")
+    return writers.phylip_blocks(_matrix(spark, sf_dir), 500).select("block", "line")
 
 
 @query("k05_partition_lines", f"with {ALIGNMENTS}, w as (select locus, max(length(sequence)) as width from alignments group by 1), o as (select locus, cast(sum(width) over (order by locus) as bigint) as e, width from w) select cast(row_number() over (order by e) as int) as ord, 'DNA, ' || locus || ' = ' || (e - width + 1) || '-' || e as line from o")

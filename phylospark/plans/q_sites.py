@@ -191,7 +191,7 @@ def sequence_to_sample(spark, sf_dir):
     return ops.sequence_to_sample(_aln(spark, sf_dir))
 
 
-@query("c25_codon_align", f"with {ALIGNMENTS}, p as (select seq_name, substr(sequence, 1, 30) as protein, repeat({_BARE}, 2) as bases from alignments), f as (select seq_name, i, substr(protein, i, 1) as c, bases, sum((substr(protein, i, 1) <> '-')::int) over (partition by seq_name order by i) as k from (select *, unnest(range(1, 31)) as i from p)) select seq_name, string_agg(case when c = '-' then '---' else substr(bases, cast(3 * (k - 1) + 1 as bigint), 3) end, '' order by i) as codons from f group by 1")
+@query("c25_codon_align", f"with {ALIGNMENTS}, p as (select seq_name, sequence as protein, repeat({_BARE}, 4) as bases from alignments), f as (select seq_name, i, substr(protein, i, 1) as c, bases, sum((substr(protein, i, 1) <> '-')::int) over (partition by seq_name order by i) as k from (select *, unnest(range(1, 121)) as i from p)) select seq_name, string_agg(case when c = '-' then '---' else substr(bases, cast(3 * (k - 1) + 1 as bigint), 3) end, '' order by i) as codons from f group by 1")
 def codon_align(spark, sf_dir):
     bare = F.regexp_replace(F.upper("sequence"), "-", "")
-    return _aln(spark, sf_dir).select("seq_name", ops.codon_align(F.substring("sequence", 1, 30), F.repeat(bare, F.lit(2))).alias("codons"))
+    return _aln(spark, sf_dir).select("seq_name", ops.codon_align(F.col("sequence"), F.repeat(bare, F.lit(4))).alias("codons"))

@@ -167,13 +167,11 @@ def shredded(spark, sf_dir):
     return ops.shred(views.contigs(spark, sf_dir).withColumnRenamed("contig", "name"), 700)
 
 
-_SHORT = f"{CONTIGS}, short as (select contig, upper(substr(sequence, 1, 160)) as s from contigs where length >= 120)"
-_TILES = f"{_SHORT}, tiles as (select contig as name, i as bait_no, substr(s, i, 120) as bait from (select *, unnest(range(1, length(s) - 118)) as i from short))"
+_TILES = f"{CONTIGS}, tiles as (select contig as name, (i - 1) // 40 + 1 as bait_no, sample, substr(s, i, 120) as bait from (select *, unnest(range(1, length(s) - 118, 40)) as i from (select contig, sample, upper(sequence) as s from contigs where length >= 120)))"
 
 
 def _tiles(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), F.substring("sequence", 1, 160).alias("sequence"))
-    return ops.tile(c)
+    return ops.tile(views.contigs(spark, sf_dir).withColumnRenamed("contig", "name"), step=40)
 
 
 @query("q13_tiling", f"with {_TILES} select name, cast(bait_no as int) as bait_no, bait from tiles")
@@ -193,27 +191,27 @@ def distinct_baits(spark, sf_dir):
 
 _RUNS = "case when len({0}) > 1 then greatest(1, list_max([length(x) for x in list_slice({0}, 1, len({0}) - 1)])) else 1 end"
 _HOMO = _RUNS.format("regexp_extract_all(bait, 'A+|C+|G+|T+')")
-_BAITS = f"{_TILES}, st as (select name, bait_no, round(100.0 * length(regexp_replace(bait, '[^GC]', '', 'g')) / 120.0, 2) as gc, cast({_HOMO} as int) as max_homopolymer_len from tiles where bait_no % 8 = 1), ms as (select *, 79.8 + 58.4 * (gc / 100.0) + 11.8 * (gc / 100.0) * (gc / 100.0) - 820.0 / 120 + 18.5 * ln(0.9) as melt_temp from st)"
+_BAITS = f"{_TILES}, st as (select name, bait_no, round(100.0 * length(regexp_replace(bait, '[^GC]', '', 'g')) / 120.0, 2) as gc, cast({_HOMO} as int) as max_homopolymer_len from tiles), ms as (select *, 79.8 + 58.4 * (gc / 100.0) + 11.8 * (gc / 100.0) * (gc / 100.0) - 820.0 / 120 + 18.5 * ln(0.9) as melt_temp from st)"
 
 
 @query("p10_filtered_baits", f"with {_BAITS} select name, cast(bait_no as int) as bait_no, gc, round(cast(melt_temp as double), 6) as melt_temp, max_homopolymer_len, gc between 30 and 50 and melt_temp between 0 and 120 and max_homopolymer_len <= 6 as accepted from ms")
 def filtered_baits(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), F.substring("sequence", 1, 160).alias("sequence"))
-    tiles = ops.tile(c, step=8).withColumn("bait_no", (F.col("bait_no") - 1) * 8 + 1)
-    return ops.filter_baits(tiles).select("name", "bait_no", "gc", F.round("melt_temp", 6).alias("melt_temp"), "max_homopolymer_len", "accepted")
+    return ops.filter_baits(_tiles(spark, sf_dir)).select("name", "bait_no", "gc", F.round("melt_temp", 6).alias("melt_temp"), "max_homopolymer_len", "accepted")
 
 
-@query("q16_excluded_baits", f"with {_TILES}, t as (select * from tiles where bait_no = 1), ref as (select distinct least(k, translate(reverse(k), 'ACGT', 'TGCA')) as kmer from (select substr(s, i, 31) as k from (select *, unnest(range(1, length(s) - 29)) as i from short where cast(contig as bigint) % 5 = 0))), own as (select name, least(k, translate(reverse(k), 'ACGT', 'TGCA')) as kmer from (select name, substr(bait, i, 31) as k from (select *, unnest(range(1, 91)) as i from t))) select name, bait from t where name not in (select name from own where kmer in (select kmer from ref))")
+_CANON = "least(k, translate(reverse(k), 'ACGT', 'TGCA'))"
+
+
+@query("q16_excluded_baits", f"with {_TILES}, ref as (select distinct {_CANON} as kmer from (select substr(s, i, 31) as k from (select *, unnest(range(1, length(s) - 29)) as i from (select upper(sequence) as s from contigs where length >= 31 and sample = 'src0')))), own as (select name, bait_no, {_CANON} as kmer from (select name, bait_no, substr(bait, i, 31) as k from (select *, unnest(range(1, 91)) as i from tiles))) select name, cast(bait_no as int) as bait_no, bait from tiles where (name, bait_no) not in (select (name, bait_no) from own join ref using (kmer))")
 def excluded_baits(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), F.substring("sequence", 1, 160).alias("sequence"))
-    ref = c.where((F.length("sequence") >= 120) & (F.col("name").cast("long") % 5 == 0))
-    return ops.exclude_matches(ops.tile(c).where("bait_no = 1"), ref).select("name", "bait")
+    ref = views.contigs(spark, sf_dir).where("length >= 31 and sample = 'src0'")
+    return ops.exclude_matches(_tiles(spark, sf_dir), ref).select("name", "bait_no", "bait")
 
 
-@query("a19_bait_table", f"with {_TILES}, b as (select 'L' || (cast(name as bigint) % 60) as locus, count(*) as baits from tiles where cast(name as bigint) % 7 <> 0 group by 1), t as (select 'L' || (vec_id % 60) as locus, count(*) as targets, max(100 + vec_id * 7 % 900) as longest from embeddings where vec_id % 60 <> 5 group by 1), j as (select locus, coalesce(baits, 0) as baits, coalesce(targets, 0) as targets, longest, round(coalesce(coalesce(baits, 0) * 120 / cast(longest as double), 0), 4) as tiling from t full join b using (locus)) select *, concat_ws(',', case when baits = 0 then 'no baits' end, case when targets = 0 then 'no targets' end, case when baits > 0 and tiling < 1 then 'low tiling' end) as removed from j")
+@query("a19_bait_table", f"with {_TILES}, b as (select 'L' || (cast(name as bigint) % 60) as locus, count(*) as baits from tiles group by 1), t as (select 'L' || (vec_id % 90) as locus, count(*) as targets, max(100 + vec_id * 7 % 900) as longest from embeddings group by 1), j as (select locus, coalesce(baits, 0) as baits, coalesce(targets, 0) as targets, longest, round(coalesce(coalesce(baits, 0) * 120 / cast(longest as double), 0), 4) as tiling from t full join b using (locus)) select *, concat_ws(',', case when baits = 0 then 'no baits' end, case when targets = 0 then 'no targets' end, case when baits > 0 and tiling < 1 then 'low tiling' end) as removed from j")
 def bait_table(spark, sf_dir):
-    baits = _tiles(spark, sf_dir).where(F.col("name").cast("long") % 7 != 0).select(F.concat(F.lit("L"), (F.col("name").cast("long") % 60).cast("string")).alias("locus"))
-    targets = views.table(spark, sf_dir, "embeddings").where("vec_id % 60 <> 5").select(F.concat(F.lit("L"), (F.col("vec_id") % 60).cast("string")).alias("locus"), (100 + F.col("vec_id") * 7 % 900).alias("length"))
+    baits = _tiles(spark, sf_dir).select(F.concat(F.lit("L"), (F.col("name").cast("long") % 60).cast("string")).alias("locus"))
+    targets = views.table(spark, sf_dir, "embeddings").select(F.concat(F.lit("L"), (F.col("vec_id") % 90).cast("string")).alias("locus"), (100 + F.col("vec_id") * 7 % 900).alias("length"))
     return ops.bait_table(baits, targets)
 
 

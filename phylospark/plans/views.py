@@ -44,34 +44,39 @@ READS = f"""{CONTIGS}, reads as (
     from (select *, unnest(range(0, (length - 1) // {READ} + 1)) as w from contigs where length > 0)))"""
 
 
+WIDTH = 120
+
+
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of 120 sites a locus; sample, paralog rank and reference mark come from the id."""
+    """Whole documents in stretches of 120 sites: a locus is a source's n-th stretch, a row a document's."""
     docs = table(spark, sf_dir, "documents")
     seq = F.upper(F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), _FROM, _ALN_TO))
+    whole = docs.select("source", "doc_id", seq.alias("s")).where(F.length("s") > 0)
+    cut = whole.withColumn("w", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / WIDTH).cast("int"))))
     doc = F.col("doc_id")
-    return docs.select(
-        F.col("source").alias("locus"),
-        doc.cast("string").alias("seq_name"),
+    return cut.select(
+        F.concat_ws("_", "source", F.col("w").cast("string")).alias("locus"),
+        F.concat_ws("_", doc.cast("string"), F.col("w").cast("string")).alias("seq_name"),
         F.concat(F.lit("s"), (doc % 17).cast("string")).alias("sample"),
         F.floor(doc / 340).cast("int").alias("rank"),
         (doc % 29 == 0).alias("is_ref"),
         F.concat(F.lit("t"), (doc % 5).cast("string")).alias("target"),
-        F.rpad(F.substring(seq, 1, 120), 120, "-").alias("sequence"),
+        F.rpad(F.substring(F.col("s"), F.col("w") * WIDTH + 1, F.lit(WIDTH)), WIDTH, "-").alias("sequence"),
     )
 
 
 ALIGNMENTS = f"""alignments as (
-  select source as locus, cast(doc_id as varchar) as seq_name, 's' || (doc_id % 17) as sample, cast(doc_id // 340 as int) as rank,
-    doc_id % 29 = 0 as is_ref, 't' || (doc_id % 5) as target,
-    rpad(substr(upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{_FROM}', '{_ALN_TO}')), 1, 120), 120, '-') as sequence
-  from documents)"""
+  select source || '_' || w as locus, doc_id || '_' || w as seq_name, 's' || (doc_id % 17) as sample, cast(doc_id // 340 as int) as rank,
+    doc_id % 29 = 0 as is_ref, 't' || (doc_id % 5) as target, rpad(substr(s, cast(w * {WIDTH} + 1 as bigint), {WIDTH}), {WIDTH}, '-') as sequence
+  from (select *, unnest(range(0, (length(s) - 1) // {WIDTH} + 1)) as w from (
+    select source, doc_id, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{_FROM}', '{_ALN_TO}')) as s from documents) where length(s) > 0))"""
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First line items as similarity hits of targets on contigs."""
-    items = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    """Line items as similarity hits of targets on contigs."""
+    items = table(spark, sf_dir, "lineitem")
     return items.selectExpr(
-        "l_orderkey * 10000000000 + l_partkey * 10000 + l_suppkey as hit_id",
+        "l_orderkey * 1000000000000 + l_linenumber * 100000000000 + l_partkey * 10000 + l_suppkey as hit_id",
         "concat('s', l_orderkey % 20) as sample",
         "l_suppkey as contig",
         "l_partkey as target",
@@ -94,14 +99,14 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HITS = """hits as (
-  select l_orderkey * 10000000000 + l_partkey * 10000 + l_suppkey as hit_id, 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
+  select l_orderkey * 1000000000000 + l_linenumber * 100000000000 + l_partkey * 10000 + l_suppkey as hit_id, 's' || (l_orderkey % 20) as sample, l_suppkey as contig, l_partkey as target, l_partkey % 50 as locus,
     cast((l_orderkey * 37) % 10000 as bigint) as t_start, cast((l_orderkey * 37) % 10000 + l_quantity * 10 as bigint) as t_end, cast(12000 as bigint) as t_size,
     cast((l_orderkey * 11) % 400 as bigint) as q_start, cast((l_orderkey * 11) % 400 + l_quantity * 10 as bigint) as q_end, cast(1000 + l_partkey % 500 as bigint) as q_size,
     cast(l_quantity * 9 as bigint) as matches, cast(l_quantity as bigint) as mismatches, cast(l_orderkey % 3 as bigint) as q_num_insert,
     case when l_orderkey % 2 = 0 then '+' else '-' end as strand, floor(l_extendedprice) / 100000.0 as wscore,
     60 + cast(l_orderkey * 13 % 4000 as double) / 100.0 as identity, 5 + cast(l_partkey * 7 % 9500 as double) / 100.0 as coverage,
     cast(1 + l_orderkey % 300 as double) / 10.0 as depth
-  from lineitem where l_linenumber = 1)"""
+  from lineitem)"""
 
 
 def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
