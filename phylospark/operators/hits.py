@@ -206,8 +206,8 @@ def loci_by_level(report: DataFrame) -> DataFrame:
 
 def frameshift_positions(s: Column) -> Column:
     """Codon numbers at which a coding sequence holds N."""
-    at = F.filter(F.sequence(F.lit(1), F.length(s)), lambda p: F.substring(F.upper(s), p, F.lit(1)) == "N")
-    return F.array_join(F.array_distinct(F.transform(at, lambda p: F.ceil(p / 3).cast("string"))), ",")
+    codon = F.transform(F.split(F.upper(s), ""), lambda c, i: F.when(c == "N", F.floor(i / 3) + 1))
+    return F.array_join(F.array_distinct(F.transform(F.array_compact(codon), lambda p: p.cast("string"))), ",")
 
 
 def gff_lines(hits: DataFrame, source: str = "phylospark") -> DataFrame:

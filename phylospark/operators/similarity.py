@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from phylospark.functions import seq
 
 
+#: Sequences are cut into stretches of about this length before their windows, as a substring costs time by its place.
+STRETCH = 600
+
+
 def kmers(frame: DataFrame, keep: list[str], k: int, step: int = 1, sequence: str = "sequence") -> DataFrame:
     """(keep, pos, kmer): all k-mers of upper-case sequences, ``step`` apart, from place 1."""
-    s = F.upper(sequence)
-    cut = F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1), F.lit(step)), lambda i: F.struct(i.alias("pos"), F.substring(s, i, F.lit(k)).alias("kmer")))
-    return frame.where(F.length(sequence) >= k).select(*keep, F.explode(cut).alias("x")).select(*keep, "x.pos", "x.kmer")
+    s, size = F.upper(sequence), -(-STRETCH // step) * step
+    pieces = F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1), F.lit(size)), lambda i: F.substring(s, i, F.lit(size + k - 1)))
+    cut = frame.where(F.length(sequence) >= k).select(*keep, F.posexplode(pieces).alias("__p", "__s"))
+    piece = F.col("__s")
+    windows = F.transform(F.sequence(F.lit(1), F.length(piece) - (k - 1), F.lit(step)), lambda i: F.struct((F.col("__p") * size + i).alias("pos"), F.substring(piece, i, F.lit(k)).alias("kmer")))
+    return cut.select(*keep, F.explode(windows).alias("x")).select(*keep, "x.pos", "x.kmer")
 
 
 def assign_reads(reads: DataFrame, contigs: DataFrame, k: int = 31, step: int = 10) -> DataFrame:

@@ -162,9 +162,10 @@ def shred(seqs: DataFrame, max_length: int, is_cds: bool = False, name: str = "n
 
 def tile(seqs: DataFrame, length: int = 120, step: int = 1, name: str = "name", sequence: str = "sequence") -> DataFrame:
     """Every window of ``length`` bases of ungapped upper-case sequences, numbered from 1."""
-    bare = F.upper(F.regexp_replace(sequence, "-", ""))
-    s = seqs.select(F.col(name).alias("name"), bare.alias("s")).where(F.length("s") >= length)
-    return s.select("name", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("s") - (length - 1), F.lit(step)), lambda i: F.substring(F.col("s"), i, F.lit(length)))).alias("pos", "bait")).select("name", (F.col("pos") + 1).alias("bait_no"), "bait")
+    from phylospark.operators.similarity import kmers
+
+    bare = seqs.select(F.col(name).alias("name"), F.upper(F.regexp_replace(sequence, "-", "")).alias("sequence"))
+    return kmers(bare, ["name"], length, step).select("name", (F.floor((F.col("pos") - 1) / step) + 1).cast("int").alias("bait_no"), F.col("kmer").alias("bait"))
 
 
 def dereplicate(baits: DataFrame) -> DataFrame:
