@@ -79,7 +79,7 @@ def _train(rows: list[tuple[int, np.ndarray, np.ndarray]], n_languages: int, wid
 
 
 def fit_language_model(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, max_languages: int = 256, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 2000, max_languages: int = 256, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
 ) -> LanguageModel:
     """Fit on a bounded sample of labelled rows.
 
@@ -112,12 +112,12 @@ def fit_language_model(
                 made = pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(texts)).cast(pa.string()), langs, pa.array([x.tobytes() for x in at], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], ["id", "lang", "at", "n"])
                 yield made.filter(usable)
 
-    drawn = sample.mapInArrow(vectors, "id string, lang string, at binary, n binary").orderBy(F.xxhash64("id", F.lit(seed)), "id", "lang").limit(2 * sample_rows).collect()
+    made = sample.mapInArrow(vectors, "id string, lang string, at binary, n binary").orderBy(F.xxhash64("id", F.lit(seed)), "id", "lang").limit(2 * sample_rows)
     number = {lang: i for i, lang in enumerate(languages)}
     data = []
-    for r in drawn:
+    for r in made.toLocalIterator():  # small arrays, so that the driver holds a few dozen MB at most
         n = np.frombuffer(r["n"], np.int32).astype(np.float32)
-        data.append((number[r["lang"]], np.frombuffer(r["at"], np.int16).astype(np.int64), n / n.sum()))
+        data.append((number[r["lang"]], np.array(np.frombuffer(r["at"], np.int16)), n / n.sum()))
     if not data:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0))
     kept, train = data[::5] if len(data) >= 50 else data, [x for i, x in enumerate(data) if i % 5 or len(data) < 50]
