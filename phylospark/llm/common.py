@@ -58,7 +58,8 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _STEP = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-_BLOCK = 1 << 22
+#: Bytes that are hashed at a time, which bounds what a worker holds for it to some 20 MB.
+_BLOCK = 1 << 19
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
