@@ -135,8 +135,9 @@ def drop_overlaps(hits: DataFrame, max_overlap: float = 5.0, width: int = BIN, a
     conflict = (order("b_") < order("")) & (shared * 100.0 > max_overlap * longer) & ((F.col("locus") != F.col("b_locus")) | (F.col("target") == F.col("b_target")))
     for a, b in allowed:
         conflict &= ~(F.col("locus").isin(a, b) & F.col("b_locus").isin(a, b))
-    rejected = own.join(better, on & conflict, "left_semi").select("hit_id").distinct()
-    return hits.join(rejected, "hit_id", "left_anti")
+    identity = ["hit_id", "sample", "contig", "target", "t_start", "t_end", "q_start", "wscore"]
+    rejected = own.join(better, on & conflict, "left_semi").select(*identity).distinct()
+    return hits.join(rejected, identity, "left_anti")
 
 
 def ranked(hits: DataFrame, keys: list[str]) -> DataFrame:
