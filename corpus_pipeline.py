@@ -33,8 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes or more that occur more than once."""
-    return _recounted(drop_repeats(docs))
+    """Texts without the strings of 400 bytes or more, and the passages of over 50 words, that occur more than once."""
+    return _recounted(drop_repeats(docs, words=51))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,10 +12,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, read_table
+from .common import materialised, read_table, word_hashes
 
 #: Bytes of the grams that anchor windows, and of the blocks that are a suffix array's symbols.
 GRAM, BLOCK = 32, 32
+#: Bytes that stand for a word where repeats are judged by words.
+WORD = 8
 #: Bound on the filter of repeated anchors that every worker holds: 2**29 bits are 64 MB.
 FILTER_BITS = 1 << 29
 #: Bytes of contexts that make one suffix array.
@@ -243,12 +245,18 @@ class _Filter:
         return out
 
 
-def _repeated_anchors(source: DataFrame, length: int) -> _Filter:
+def _bytes(text: str | None, by_words: bool) -> bytes:
+    """The UTF-8 bytes of a text, or WORD bytes of hash for each of its words."""
+    data = (text or "").encode("utf-8", "replace")
+    return word_hashes(data)[0].tobytes() if by_words else data
+
+
+def _repeated_anchors(source: DataFrame, length: int, by_words: bool) -> _Filter:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
             for value in batch.column("text"):
-                data = (value.as_py() or "").encode("utf-8", "replace")
+                data = _bytes(value.as_py(), by_words)
                 if len(data) >= length:
                     held.append(anchors(np.frombuffer(data, np.uint8), length)[0])
         if held:
@@ -271,7 +279,7 @@ def _repeated_anchors(source: DataFrame, length: int) -> _Filter:
 _OCCURRENCES = "h long, cx long, mark long, doc string, first int, n long, off int, context binary"
 
 
-def _occurrences(source: DataFrame, repeated: _Filter, length: int) -> DataFrame:
+def _occurrences(source: DataFrame, repeated: _Filter, length: int, by_words: bool) -> DataFrame:
     """Places of repeated anchors, and each task's distinct contexts with their numbers of places.
 
     A context spans the windows of its anchor; ``cx`` tells contexts and anchor offsets apart.
@@ -288,7 +296,7 @@ def _occurrences(source: DataFrame, repeated: _Filter, length: int) -> DataFrame
         wanted, places, contexts, size = shared.value, [], {}, 0
         for batch in batches:
             for doc, mark, value in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), strict=True):
-                data = (value.as_py() or "").encode("utf-8", "replace")
+                data = _bytes(value.as_py(), by_words)
                 if len(data) < length:
                     continue
                 h, p, first, last = anchors(np.frombuffer(data, np.uint8), length)
@@ -350,18 +358,26 @@ def _ranges(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.select("h", "cx", "n", "off", "context").mapInArrow(stream, "h long, cx long, a int, b int")
 
 
+def _spans(docs: DataFrame, length: int, id_col: str, text_col: str, by_words: bool = False) -> DataFrame:
+    """(doc, mark, span) of every range of repeated windows, in bytes of the text or in its words."""
+    source = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
+    size = length * WORD if by_words else length
+    found = materialised(_occurrences(source, _repeated_anchors(source, size, by_words), size, by_words), "contexts")
+    ranges = _ranges(found.where("n is not null"), size)
+    places = found.where("n is null").select("h", "cx", "mark", "doc", "first")
+    met = places.join(ranges, ["h", "cx"]).select("doc", "mark", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
+    if by_words:  # only windows that begin with a word
+        met = met.select("doc", "mark", F.ceil(F.col("a") / WORD).cast("int").alias("a"), F.floor(F.col("b") / WORD).cast("int").alias("b")).where("a <= b")
+    return met.select("doc", "mark", F.struct("a", (F.col("b") + length).alias("b")).alias("span"))
+
+
 def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document with repeats: its id as text, the text's mark (xxhash64) and ``spans``.
 
     Spans are the ranges (a, b) of places whose byte lies in a string of ``length`` bytes that also starts
     elsewhere, in this or any other document, as merged ranges of the text's UTF-8 bytes.
     """
-    source = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
-    found = materialised(_occurrences(source, _repeated_anchors(source, length), length), "contexts")
-    ranges = _ranges(found.where("n is not null"), length)
-    places = found.where("n is null").select("h", "cx", "mark", "doc", "first")
-    met = places.join(ranges, ["h", "cx"]).select("doc", "mark", F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("span"))
-    return met.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    return _spans(docs, length, id_col, text_col).groupBy("doc", "mark").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
 
 def _merge(spans) -> list[tuple[int, int]]:
@@ -395,16 +411,30 @@ def _whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    spans = repeated_spans(docs, length, id_col, text_col).select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
+def _word_bytes(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of words as spans of bytes, from the first word's first byte to the last one's end."""
+    starts, sizes = word_hashes(data)[1], [len(w) for w in data.split()]
+    return [(int(starts[a]), int(starts[b - 1]) + sizes[b - 1]) for a, b in spans]
+
+
+def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, words: int | None = None) -> DataFrame:
+    found = _spans(docs, length, id_col, text_col).withColumn("by_words", F.lit(False))
+    if words:
+        found = found.union(_spans(docs, words, id_col, text_col, by_words=True).withColumn("by_words", F.lit(True)))
+    of_kind = lambda is_kind: F.array_sort(F.collect_set(F.when(is_kind, F.col("span"))))
+    spans = found.groupBy(F.col("doc").alias("__doc"), F.col("mark").alias("__mark")).agg(of_kind(~F.col("by_words")).alias("__spans"), of_kind(F.col("by_words")).alias("__word_spans"))
     marked = docs.withColumns({"__doc": F.col(id_col).cast("string"), "__mark": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
     on = marked["__doc"].eqNullSafe(spans["__doc"]) & (marked["__mark"] == spans["__mark"])
     return marked.join(spans, on, "left").drop("__doc", "__mark")
 
 
-def drop_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", words: int | None = None) -> DataFrame:
     """``docs`` with every repeated string of ``length`` bytes or more cut from its text.
 
+    With ``words``, so is every repeated run of so many words or more, however few bytes it has; words are
+    what is left between ASCII white space, and are compared by 64-bit hashes. White space inside a run, or
+    between two that follow each other, goes with them.
+
     All places of a repeated string lose it, as for the training of language models; characters that lie
     only partly in a repeat stay. Strings are judged on the input, matches never cross documents.
 
@@ -418,16 +448,18 @@ def drop_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, column = [], names.index(text_col)
-            for value, spans in zip(batch.column(column), batch.column("__spans"), strict=True):
-                text, spans = value.as_py(), _merge(spans.as_py())
-                if spans and text:
+            for value, spans, runs in zip(batch.column(column), batch.column("__spans"), batch.column("__word_spans"), strict=True):
+                text, spans, runs = value.as_py(), _merge(spans.as_py()), _merge(runs.as_py())
+                if text and (spans or runs):
                     data = text.encode("utf-8", "replace")
+                    both = sorted(spans + _word_bytes(data, runs)) if runs else spans
+                    spans = _merge([{"a": a, "b": b} for a, b in both])
                     text = _kept(data, _whole_characters(data, spans)).decode("utf-8", "ignore")
                 texts.append(text)
             arrays = [pa.array(texts, pa.string()) if i == column else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return _with_spans(docs, length, id_col, text_col).mapInArrow(cut, docs.schema)
+    return _with_spans(docs, length, id_col, text_col, words).mapInArrow(cut, docs.schema)
 
 
 def op7_substrings(spark, sf_dir: str) -> DataFrame:

@@ -36,3 +36,51 @@ def test_stages(spark):
                 assert brute_secrets(after[k]["text"]) == []
                 assert brute_secrets(r["text"]) or "[SECRET]" in after[k]["text"] or after[k]["text"] == r["text"]
     assert p.STAGES[-1][1](spark, docs, DATA).agg({"doc_id": "max"}).first()[0] is not None
+
+
+def test_passages_of_over_50_words_go(spark, documents):
+    import corpus_pipeline as p
+
+    passage = " ".join(f"p{i % 10} é{i}" for i in range(26)).split()[:51]
+    other = lambda name, n: [f"{name}{i}" for i in range(n)]
+    short = other("s", 50)
+    texts = [[*other("a", 60), *passage, *other("b", 9)], [*other("c", 7), *passage, *other("d", 60)], [*other("e", 60), *short, *other("f", 9)], [*other("g", 7), *short, *other("h", 60)], passage[:50] + other("k", 60)]
+    assert len(" ".join(passage).encode()) < 210
+    got = {r["doc_id"]: r["text"] for r in p.repeats(spark, documents([" ".join(t) for t in texts]), "").collect()}
+    assert [got[0].split(), got[1].split()] == [other("a", 60) + other("b", 9), other("c", 7) + other("d", 60)]
+    assert all(got[i] == " ".join(texts[i]) for i in (2, 3, 4))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_repeats_stage_equals_brute_force_by_bytes_and_words(spark):
+    import re
+    from collections import Counter
+
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").dropDuplicates(["text"])
+    rows = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    words = {k: [(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^ \t-\r]+", d)] for k, d in rows.items()}
+    runs = {k: [tuple(x[2] for x in w[i : i + 51]) for i in range(len(w) - 50)] for k, w in words.items()}
+    strings, passages = Counter(d[i : i + 400] for d in rows.values() for i in range(len(d) - 399)), Counter(x for r in runs.values() for x in r)
+    by_words = 0
+    for r in p.repeats(spark, docs, DATA).collect():
+        d = rows[r["doc_id"]]
+        bad = bytearray(len(d))
+        for i in range(len(d) - 399):
+            if strings[d[i : i + 400]] > 1:
+                bad[i : i + 400] = b"\1" * 400
+        w, last = words[r["doc_id"]], 0
+        for i, run in enumerate(runs[r["doc_id"]]):
+            if passages[run] > 1:  # white space between two passages goes with them
+                a, b, last = w[i - 1][1] if last and last == i else w[i][0], w[i + 50][1], i + 51
+                by_words += not all(bad[a:b])
+                bad[a:b] = b"\1" * (b - a)
+        at, want = 0, []
+        for c in d.decode():
+            n = len(c.encode())
+            if not all(bad[at : at + n]):
+                want.append(c)
+            at += n
+        assert (r["text"] or "") == "".join(want)
+    assert by_words
