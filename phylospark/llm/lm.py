@@ -18,7 +18,7 @@ from .common import crc_mod, materialised, mixed, read_table, text_chunks, word_
 #: Counts are quantised to powers of BASE; an n-gram of level q is in the filter q times.
 BASE = 1.5
 PROBES, BITS_PER_ITEM = 4, 10
-#: Bound on the filter that every worker holds: 2**30 bits are 128 MB.
+#: Bound on the part of the filter that every worker holds at a time: 2**30 bits are 128 MB.
 MAX_BITS = 1 << 30
 #: Bound on the exact counts that every worker holds: the most frequent tokens, 16 bytes each.
 HOT_TOKENS = 1 << 18
@@ -115,21 +115,19 @@ def _probes(keys: np.ndarray, q: int, words: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _segment_filter(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[bytes, int, int]:
-    """Bits of a segment, how many, and the least count that it holds.
+    """Bits of a segment, how many, and the least count that it holds, which is 1: every n-gram is in it.
 
-    Where the items would pass the bound, rare n-grams stay out, so few false ones come in.
+    A segment of more than ``most_bits`` is an error, as a worker holds one segment at least.
     """
-    q, least = level(counts), 1
-    while len(q) and int(q.sum()) * BITS_PER_ITEM > most_bits:
-        least += 1
-        held = counts >= least
-        keys, counts, q = keys[held], counts[held], q[held]
-    bits = max(64, min(most_bits, (int(q.sum()) * BITS_PER_ITEM + 63) // 64 * 64))
+    q = level(counts)
+    bits = max(64, (int(q.sum()) * BITS_PER_ITEM + 63) // 64 * 64)
+    if bits > most_bits:
+        raise ValueError(f"a filter segment of {bits} bits passes the bound of {most_bits}")
     filled = np.zeros(bits // 64, np.uint64)
     for i in range(1, int(q.max(initial=0)) + 1):
         keys, q = keys[q >= i], q[q >= i]
         np.bitwise_or.at(filled, *_probes(keys, i, np.uint64(len(filled))))
-    return filled.tobytes(), bits, least
+    return filled.tobytes(), bits, 1
 
 
 @dataclass
@@ -143,7 +141,11 @@ class CountFilter:
     top: int = 64
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts: levels are probed from 1 up until one is missing."""
+        """Estimated counts."""
+        return level_counts(self.top)[self.levels(keys)]
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels are probed from 1 up until one is missing."""
         seg = (keys >> np.uint64(48)).astype(np.int64) * len(self.sizes) >> 16
         low, found = keys & _K48, np.zeros(len(keys), np.int64)
         words, starts = self.sizes >> np.uint64(6), self.starts >> 6
@@ -154,27 +156,57 @@ class CountFilter:
             if not len(live):
                 break
             found[live] = q
-        return level_counts(self.top)[found]
+        return found
 
 
 @dataclass
 class NgramModel:
-    """What scoring needs: totals, exact counts of hot tokens, the filter, and all counts as a table."""
+    """What scoring needs: totals, exact counts of hot tokens, the filter, and all counts as a table.
+
+    A filter past the bound stays in the shared folder as ``segments`` and is read in ``groups`` (first
+    segment, end) that keep it; ``filter`` is None then.
+    """
 
     train_tokens: int
     vocabulary: int
     hot: np.ndarray
     hot_counts: np.ndarray
-    filter: CountFilter
+    filter: CountFilter | None
     counts: DataFrame
+    segments: DataFrame
+    sizes: np.ndarray
+    groups: list[tuple[int, int]]
+
+
+def _groups(sizes: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+    """Runs of segments (first, end) of ``max_bits`` together, one segment at least."""
+    out, first, held = [], 0, 0
+    for s, size in enumerate(sizes.tolist()):
+        if s > first and held + size > max_bits:
+            out.append((first, s))
+            first, held = s, 0
+        held += size
+    return [*out, (first, len(sizes))]
+
+
+def _read_filter(made: DataFrame, sizes: np.ndarray, first: int, end: int) -> CountFilter:
+    """The segments from ``first`` up to ``end``; all others hold nothing."""
+    starts, bits = np.zeros(len(sizes), np.int64), bytearray()
+    for r in made.where((F.col("seg") >= first) & (F.col("seg") < end)).toLocalIterator():  # a partition of segments at a time
+        starts[r["seg"]] = 8 * len(bits)
+        bits += r["data"]
+    at = np.arange(len(sizes))
+    own = np.where((at >= first) & (at < end), sizes, np.uint64(0))
+    return CountFilter(np.frombuffer(bits, np.uint64), starts, own, np.ones(len(sizes), np.int64))
 
 
 def fit_ngram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, hot_tokens: int = HOT_TOKENS) -> NgramModel:
     """Count all tokens and bigrams of whole texts and put their quantised counts into a filter.
 
     Tasks count their own n-grams first; token counts are summed by a shuffle, n-gram keys travel as
-    48-bit blocks a filter segment and are summed where the segment is built. Only segments (at most
-    ``max_bits`` together), the ``hot_tokens`` most frequent tokens' counts, and totals reach the driver.
+    48-bit blocks a filter segment and are summed where the segment is built. The filter grows with the
+    n-grams and holds all of them. Only segments (at most ``max_bits`` at a time), the ``hot_tokens`` most
+    frequent tokens' counts, and totals reach the driver.
     Rows with null or empty texts are texts of one end. Empty tables give a model without counts.
     """
     texts = docs.select(F.col(text_col).alias("text"))
@@ -218,31 +250,81 @@ def fit_ngram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for once, more, c in zip(part["once"], part["keys"], part["counts"], strict=True):
             keys += [_from_planes(once), _from_planes(more)]
             counts += [np.ones(len(keys[-2]), np.int64), np.frombuffer(c, np.int64)]
-        data, bits, least = _segment_filter(*_counted(np.concatenate(keys), np.concatenate(counts)), max_bits // segments // 64 * 64)
+        data, bits, least = _segment_filter(*_counted(np.concatenate(keys), np.concatenate(counts)), MAX_BITS)
         return pd.DataFrame({"seg": [key[0]], "data": [data], "bits": [bits], "least": [least]})
 
     packed = texts.mapInArrow(bigrams, _PACKED).union(counts.mapInArrow(unigrams, _PACKED))
     made = materialised(packed.groupBy("seg").applyInPandas(built, "seg int, data binary, bits long, least long"), "filter")
-    sizes, least = np.zeros(segments, np.uint64), np.ones(segments, np.int64)
-    starts, bits = np.zeros(segments, np.int64), bytearray()
-    for r in made.toLocalIterator():  # a partition of segments at a time
-        sizes[r["seg"]], least[r["seg"]], starts[r["seg"]] = r["bits"], r["least"], 8 * len(bits)
-        bits += r["data"]
+    sizes = np.zeros(segments, np.uint64)
+    for r in made.select("seg", "bits").collect():
+        sizes[r["seg"]] = r["bits"]
+    groups = _groups(sizes, max_bits)
     down = Window.orderBy(F.desc("c"))
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(down))
     cut = by_count.where(F.col("upto") <= hot_tokens).agg(F.min("c").alias("cut"))
     top = counts.where(F.col("c") >= cut.scalar()).toPandas()
     hot = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hot)
-    bits = np.frombuffer(bits, np.uint64)
-    return NgramModel(total["n"], total["v"], hot[order], top["c"].to_numpy(np.int64)[order], CountFilter(bits, starts, sizes, least), counts)
+    whole = _read_filter(made, sizes, 0, segments) if len(groups) == 1 else None
+    return NgramModel(total["n"], total["v"], hot[order], top["c"].to_numpy(np.int64)[order], whole, counts, made, sizes, groups)
+
+
+def _looked_up(source: DataFrame, model: NgramModel) -> DataFrame:
+    """(look, found): for each distinct text, by its mark, the levels of its tokens' n-grams from every group.
+
+    Each pass over the texts broadcasts one group and writes the levels, a byte each, of the n-grams that
+    fall in it, in the text's order: first those of the tokens, then those of the bigrams.
+    """
+    spark, done = source.sparkSession, None
+    texts = source.select("look", "text")
+    for turn, (first, end) in enumerate(model.groups):
+        shared = spark.sparkContext.broadcast(_read_filter(model.segments, model.sizes, first, end))
+
+        def probe(batches: Iterator[pa.RecordBatch], shared=shared, first=first, end=end) -> Iterator[pa.RecordBatch]:
+            part = shared.value
+            for batch in batches:
+                for at, texts in text_chunks(batch, "text", 2 << 20):
+                    h, starts = _hashes(texts)
+                    own, levels = [], []
+                    for keys in (_unigram_keys(h), _bigram_keys(h, starts)):
+                        own.append(_in_group(keys, len(part.sizes), first, end))
+                        found = np.zeros(len(keys), np.uint8)
+                        some, back = np.unique(keys[own[-1]], return_inverse=True)
+                        found[own[-1]] = part.levels(some)[back]
+                        levels.append(found)
+                    data = [b"".join(x[a:b][o[a:b]].tobytes() for x, o in zip(levels, own, strict=True)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("look").slice(at, len(texts)), pa.array(data, pa.binary())], ["look", "levels"])
+
+        one = materialised(texts.mapInArrow(probe, "look long, levels binary").dropDuplicates(["look"]).withColumn("turn", F.lit(turn)), "levels")
+        done = one if done is None else done.union(one)
+        shared.unpersist()
+    return done.groupBy("look").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "levels"))), lambda x: x.levels).alias("found"))
+
+
+def _in_group(keys: np.ndarray, segments: int, first: int, end: int) -> np.ndarray:
+    seg = (keys >> np.uint64(48)).astype(np.int64) * segments >> 16
+    return (seg >= first) & (seg < end)
+
+
+def _gathered(h: np.ndarray, starts: np.ndarray, found: list[list[bytes]], segments: int, groups: list[tuple[int, int]], table: np.ndarray) -> list[np.ndarray]:
+    """Counts of each token and of each bigram from what the passes wrote."""
+    keys, out = (_unigram_keys(h), _bigram_keys(h, starts)), [np.zeros(len(h)), np.zeros(len(h))]
+    for turn, (first, end) in enumerate(groups):
+        own = [_in_group(k, segments, first, end) for k in keys]
+        for a, b, levels in zip(starts[:-1], starts[1:], found, strict=True):
+            got = np.frombuffer(levels[turn], np.uint8)
+            split = int(own[0][a:b].sum())
+            for x, o, part in zip(out, own, (got[:split], got[split:]), strict=True):
+                x[a:b][o[a:b]] = table[part]
+    return out
 
 
 def score_documents(docs: DataFrame, model: NgramModel, keep: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, the ``keep`` columns, n_tokens, n_known, base_score (add-one unigrams, exact) and score.
 
     ``score`` is the log10 probability under bigrams: (c(h w) + PRIOR * P(w)) / (c(h) + PRIOR) with
-    P(w) = (c(w) + 1) / (N + V + 1), all counts from repeated probes of the broadcast filter. For the exact
+    P(w) = (c(w) + 1) / (N + V + 1), all counts from repeated probes of the broadcast filter; of a filter past
+    the bound one group of segments is broadcast a pass, and the levels found meet their texts again. For the exact
     base score, counts of hot tokens travel with the task and only other tokens meet their counts by a
     join, one row for each document and distinct token.
 
@@ -253,6 +335,10 @@ def score_documents(docs: DataFrame, model: NgramModel, keep: tuple[str, ...] =
     spark, names = docs.sparkSession, ["doc_id", *keep]
     n, v, hot, hot_counts = model.train_tokens, model.vocabulary, model.hot, model.hot_counts
     shared = spark.sparkContext.broadcast(model.filter)
+    segments, groups, in_passes = len(model.sizes), model.groups, model.filter is None
+    if in_passes:
+        source = source.withColumn("look", F.xxhash64(F.coalesce("text", F.lit(""))))
+        source = source.join(_looked_up(source, model), "look").select(*names, "found", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe, logs = shared.value, np.log10(hot_counts + 1.0)
@@ -262,9 +348,15 @@ def score_documents(docs: DataFrame, model: NgramModel, keep: tuple[str, ...] =
                 h, starts = _hashes(texts)
                 doc = np.repeat(np.arange(len(texts)), np.diff(starts))
                 words, word = np.unique(h, return_inverse=True)
-                single = probe.counts(_unigram_keys(words))
-                pairs, pair = np.unique(_bigram_keys(h, starts), return_inverse=True)
-                joint = probe.counts(pairs)[pair]
+                if in_passes:
+                    found = batch.column("found").slice(first, len(texts)).to_pylist()
+                    token, joint = _gathered(h, starts, found, segments, groups, level_counts(CountFilter.top))
+                    single = np.zeros(len(words))
+                    single[word] = token
+                else:
+                    single = probe.counts(_unigram_keys(words))
+                    pairs, pair = np.unique(_bigram_keys(h, starts), return_inverse=True)
+                    joint = probe.counts(pairs)[pair]
                 before = np.empty(len(h), np.int64)
                 before[1:] = word[:-1]
                 before[starts[:-1]] = np.searchsorted(words, np.uint64(END))
@@ -289,7 +381,7 @@ def score_documents(docs: DataFrame, model: NgramModel, keep: tuple[str, ...] =
                     [*names, "mark", "h", "tf", "head", "n_tokens", "n_known", "lc", "score"],
                 )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*names).schema)
     split = source.mapInArrow(rows, f"{kinds}, mark long, h long, tf long, head long, n_tokens long, n_known long, lc double, score double")
     met = split.join(model.counts, "h", "left")
     met = met.withColumns({"n_known": F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0), "lc": F.col("lc") + F.when(F.col("c").isNotNull(), F.col("tf") * F.log10(F.col("c") + 1.0)).otherwise(0.0)})

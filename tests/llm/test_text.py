@@ -329,6 +329,22 @@ def test_filter_counts_are_near(monkeypatch):
     assert (f.counts(lm.mixed(np.arange(9001, 14001, dtype=np.uint64))) > 0).mean() < 0.05
 
 
+def test_a_filter_past_the_bound_is_read_in_groups(documents):
+    train = [words(i, 1000) for i in range(140)]
+    held = [(i, t) for i, t in enumerate([*train[:3], "", None, words(999, 300), "Wort wort", train[0]])]
+    whole, split = lm.fit_ngram_model(documents(train)), lm.fit_ngram_model(documents(train), max_bits=1 << 20)
+    assert whole.filter is not None and split.filter is None and len(split.groups) > 1
+    want, got = ({r["doc_id"]: r for r in lm.score_documents(documents(held), m).collect()} for m in (whole, split))
+    assert got.keys() == want.keys()
+    assert all(abs(got[k]["score"] - want[k]["score"]) < 1e-6 and got[k]["n_known"] == want[k]["n_known"] for k in want)
+
+
+def test_no_segment_leaves_rare_ngrams_out():
+    keys = lm.mixed(np.arange(1, 5001, dtype=np.uint64)) & lm._K48
+    with pytest.raises(ValueError):
+        lm._segment_filter(keys, np.ones(5000, np.int64), 1 << 10)
+
+
 def test_scores_without_training(documents):
     model = lm.fit_ngram_model(documents([]))
     got = lm.score_documents(documents(["a b", None]), model).collect()
