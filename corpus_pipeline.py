@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from phylospark.llm.common import materialised
 from phylospark.llm.language import fit_language_model, identify_language
-from phylospark.llm.neardup import near_duplicates
+from phylospark.llm.neardup import drop_near_duplicates
 from phylospark.llm.packing import pack_power_of_two
 from phylospark.llm.secrets import redact_secrets
 from phylospark.llm.substrings import drop_repeats
@@ -26,10 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id."""
-    groups = near_duplicates(docs, words=5, percent=80)
-    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each near-duplicate group: the one with the smallest id."""
+    return drop_near_duplicates(docs, words=5, percent=80)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

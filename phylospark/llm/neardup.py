@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialised, mixed, read_table, word_hashes
@@ -71,8 +71,13 @@ def _fingerprint(found: np.ndarray) -> int:
     return int((mixed(found + np.uint64(1)).sum(dtype=np.uint64) ^ np.uint64(len(found) * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64))
 
 
+def _row() -> Column:
+    """What orders rows: ids before none, the smaller id, then the text's mark."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+
+
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, cls, mh): size, fingerprint and minhashes of each document's set."""
+    """(doc_id, mark, n, cls, mh): the text's mark, and size, fingerprint and minhashes of each document's set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,23 +89,24 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 cls.append(_fingerprint(found) if len(found) else 0)
                 mh.append(minhashes(found) if len(found) else None)
                 sketch.append(_sketch(mh[-1]) if len(found) else 0)
-            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mh, pa.list_(pa.int32())), pa.array(sketch, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "cls", "mh", "sketch"])
+            arrays = [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mh, pa.list_(pa.int32())), pa.array(sketch, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "mark", "n", "cls", "mh", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n long, cls long, mh array<int>, sketch long")
+    return docs.select("doc_id", "mark", "text").mapInArrow(sign, f"doc_id {kind}, mark long, n long, cls long, mh array<int>, sketch long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, shingle set) of the wanted classes, from the one document that stands for each."""
-    chosen = docs.join(wanted.select(F.col("rep").alias("doc_id"), "cls"), "doc_id")
+    """(cls, shingle set) of the wanted classes, each once, from a row that stands for it."""
+    reps = wanted.select(F.col("rep.doc_id").alias("r_id"), F.col("rep.mark").alias("r_mark"), "cls")
+    chosen = docs.join(reps, docs["doc_id"].eqNullSafe(reps["r_id"]) & (docs["mark"] == reps["r_mark"]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(v.as_py(), words) for v in batch.column("text")]
-            own = pa.array([_fingerprint(s) == c for s, c in zip(found, batch.column("cls").to_pylist(), strict=True)])  # not another text of the same id
+            own = pa.array([_fingerprint(s) == c for s, c in zip(found, batch.column("cls").to_pylist(), strict=True)], pa.bool_())  # not another text of the same mark
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array([_packed(s) for s in found], pa.binary())], ["cls", "items"]).filter(own)
 
-    return chosen.select("cls", "text").mapInArrow(pack, "cls long, items binary")
+    return chosen.select("cls", "text").mapInArrow(pack, "cls long, items binary").dropDuplicates(["cls"])  # rows may repeat
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,9 +163,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     shingle. Rows that repeat an id are returned each, with their own set. A null id counts as the smallest only
     in a component of nulls. Other columns aren't read. An empty table gives no rows.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    named = _grouped(docs, words, percent, id_col, text_col)
+    return named.select("doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``near_duplicates``: of the smallest id, and of equal ids one text.
+
+    Rows are told apart by id and text, so unlike texts stay though they share an id or have none. Texts
+    without shingles stay, every row of them.
+    """
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    lead = _grouped(docs, words, percent, id_col, text_col).where("n_shingles > 0").select(F.col("lead.doc_id").alias("__id"), F.col("lead.mark").alias("__lead")).distinct()
+    marked = docs.withColumn("__mark", mark)
+    has_words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = marked.where(has_words).join(lead, marked[id_col].eqNullSafe(lead["__id"]) & (marked["__mark"] == lead["__lead"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__mark"]).union(marked.where(~has_words)).drop("__mark")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, mark, n_shingles, lead): each row, and the row (doc_id, mark) that leads its component."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
     signed = materialised(_signatures(docs, words), "signatures")
-    classes = signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "mh", "sketch")])
+    classes = signed.where("n > 0").groupBy("cls").agg(F.min(_row()).alias("rep"), *[F.first(c).alias(c) for c in ("n", "mh", "sketch")])
     classes = materialised(classes, "classes")
     table, mh = F.col("t"), F.col("mh")
     at = lambda k: F.element_at(mh, k + 1)
@@ -239,16 +265,15 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _named(signed: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Each document with the smallest id of its component."""
+    """Each row with the one that leads its component."""
     if comps is None:
-        named = classes.select("cls", F.col("rep").alias("component_id"))
+        named = classes.select("cls", F.col("rep").alias("lead"))
     else:
         own = classes.select("cls", "rep").join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        least = own.groupBy("comp").agg(F.min("rep").alias("component_id"))
-        named = own.join(least, "comp").select("cls", "component_id")
-    lone = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    rest = signed.where("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return rest.union(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        least = own.groupBy("comp").agg(F.min("rep").alias("lead"))
+        named = own.join(least, "comp").select("cls", "lead")
+    lone = signed.where("n = 0").select("doc_id", "mark", F.col("n").alias("n_shingles"), _row().alias("lead"))
+    return signed.where("n > 0").join(named, "cls").select("doc_id", "mark", F.col("n").alias("n_shingles"), "lead").union(lone)
 
 
 def op9_neardup(spark, sf_dir: str) -> DataFrame:

@@ -84,3 +84,18 @@ def test_repeats_stage_equals_brute_force_by_bytes_and_words(spark):
             at += n
         assert (r["text"] or "") == "".join(want)
     assert by_words
+
+
+def test_near_dedup_keeps_by_row(spark, documents):
+    import corpus_pipeline as p
+    from test_text import words
+
+    base = words(1, 80)
+    unlike = [words(i, 60) for i in range(10, 16)]
+    rows = [(None, base + " one"), (None, base + " two"), (None, base + " two"), (None, unlike[0]), (None, unlike[1]), (3, unlike[2]), (3, unlike[3]), (4, unlike[4]), (5, unlike[4]), (5, unlike[5]), (6, None), (6, ""), (None, " ")]
+    got = [(r["doc_id"], r["text"]) for r in p.near_dedup(spark, documents(rows), "").collect()]
+    near = [x for x in got if (x[1] or "").startswith(base)]
+    assert len(near) == 1 and near[0] in rows
+    rest = [x for x in got if x not in near]
+    want = [(None, unlike[0]), (None, unlike[1]), (3, unlike[2]), (3, unlike[3]), (4, unlike[4]), (5, unlike[5]), (6, None), (6, ""), (None, " ")]
+    assert sorted(map(str, rest)) == sorted(map(str, want))
