@@ -12,7 +12,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
-#: Runs that the randomness tests look at: long, and of letters and digits together.
+#: Runs that the randomness tests look at, whatever letters and digits they hold.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 #: False-discovery rate of calling a candidate non-random, and the p-value bins a decade.
 RATE, BINS = 0.05, 50
@@ -116,7 +116,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Spans of secrets in every whole text.
 
     Base kinds: assignments to names of secrets, access keys, long hexadecimal runs. The method adds
-    ``random``: long runs holding letters and digits whose characters pass, for the encoding inferred
+    ``random``: long runs, with digits or without, whose characters pass, for the encoding inferred
     from their alphabet (hex, base32, base36, base64), a chi-squared test of uniformity and one of the
     share of digits, a runs test about the middle of the alphabet and a test of serial correlation. A candidate counts as not random
     if the step-up procedure at rate 0.05, in its band of lengths, rejects it; the rest are spans.
@@ -130,9 +130,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     source = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     text = F.col("__text")
-    digits = lambda x: F.length(F.regexp_replace(x.txt, "[^0-9]", ""))
-    mixed = F.filter(_found(text, CANDIDATE, 3), lambda x: (digits(x) >= 2) & x.txt.rlike("[A-Za-z]"))
-    graded = source.withColumn("__tests", F.transform(mixed, lambda x: F.struct(x.alias("span"), _tested(x.txt).alias("grade"))))
+    graded = source.withColumn("__tests", F.transform(_found(text, CANDIDATE, 3), lambda x: F.struct(x.alias("span"), _tested(x.txt).alias("grade"))))
     tests = graded.select(F.explode("__tests").alias("x")).select("x.grade.band", "x.grade.bin")
     cuts = _rejected_from(tests).where(F.col("cut").isNotNull())
     cut_of = cuts.agg(F.map_from_entries(F.collect_list(F.struct("band", "cut"))).alias("cuts"))

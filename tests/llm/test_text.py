@@ -132,6 +132,22 @@ def test_random_strings_are_found_and_words_left_alone(documents):
     assert not [s for i in range(1, len(plain) + 1) for s in got[i] if s["o"] == 3]
 
 
+def test_random_strings_with_few_digits_are_judged_too(documents):
+    r = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"
+    keys = []
+    for i in range(20):
+        key = [r.choice(letters) for _ in range(24)]
+        if i % 2:
+            key[r.randrange(24)] = r.choice("0123456789")
+        keys.append("".join(key))
+    plain = ["Donaudampfschifffahrtsgesellschaft", "internationalization-and-localization", "home/share/documentation/handbook/index", "-" * 30, "9" * 22] * 8
+    got = {x["doc_id"]: x["spans"] for x in secrets.scan_secrets(documents([f"see {x} here" for x in keys + plain])).collect()}
+    found = [[(s["o"], s["txt"]) for s in got[i]] == [(3, k)] for i, k in enumerate(keys)]
+    assert sum(found[::2]) >= 8 and sum(found[1::2]) >= 8  # of 10 without and 10 with one digit
+    assert not [s for i in range(len(keys), len(keys) + len(plain)) for s in got[i] if s["o"] == 3]
+
+
 def test_redaction_replaces_the_union_of_spans(documents):
     docs = documents(["keep me", "a token=abcdef0123456789abcdef0123456789 b", None])
     got = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(docs).collect()}
