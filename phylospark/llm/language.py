@@ -79,7 +79,7 @@ def _train(rows: list[tuple[int, np.ndarray, np.ndarray]], n_languages: int, wid
 
 
 def fit_language_model(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 2000, max_languages: int = 256, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, max_languages: int = 256, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
 ) -> LanguageModel:
     """Fit on a bounded sample of labelled rows.
 
@@ -87,6 +87,8 @@ def fit_language_model(
     whole texts into bucket counts, so the driver sees at most ``sample_rows`` sparse vectors of
     ``BUCKETS`` entries. A fifth of them is kept from training: it sets the softmax temperature and
     the score below which a prediction is rejected (half of the least score among right predictions).
+    At most ``max_languages`` languages, those of most rows, are learned, so that the model and the counts of
+    languages stay small; a text of a rarer one is rejected or taken for a learned one, never named rightly.
     Rows with null text or language don't take part. No labelled rows: a model that knows no language.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))

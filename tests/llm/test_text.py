@@ -292,6 +292,13 @@ def test_languages_are_told_apart(documents):
     assert all(got[i]["rejected"] for i in (100, 101, 102)) and not any(got[i]["rejected"] for i in range(100))
 
 
+def test_the_sample_has_about_3000_rows(documents, monkeypatch):
+    seen, train = [], language._train
+    monkeypatch.setattr(language, "_train", lambda rows, *a: seen.append(len(rows)) or train(rows[:50], *a))
+    language.fit_language_model(documents([f"text number {i}" for i in range(2900)]))
+    assert seen == [2320]  # four fifths of all rows
+
+
 def test_a_model_without_labels_knows_nothing(documents):
     model = language.fit_language_model(documents([]))
     assert language.identify_language(documents(["text"]), model).first()["lang_pred"] == "und"
