@@ -29,6 +29,30 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """An operator's rounds in the shared folder; a table replaces the former one of its name, whose files go.
+
+    The former is removed only after the new one has been written whole, so a lost executor's work can
+    always be done again from what is there.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if old := self.paths.pop(name, None):
+                at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+                at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

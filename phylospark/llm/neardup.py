@@ -9,20 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, mixed, read_table, word_hashes
+from .common import Scratch, mixed, read_table, word_hashes
 
 #: Half-keys on either side and minhashes in each: SIDE * SIDE tables from 2 * SIDE * WIDTH minhashes.
 SIDE, WIDTH = 8, 2
 MINHASHES = 2 * SIDE * WIDTH
-#: Verified are candidates that agree in so many of the minhashes at least. A pair of similarity 0.8
-#: agrees in 25.6 of 32 on average; it falls under 12 with probability below 1e-7.
-LEAST_AGREEING = 12
-#: The same on two bits of each minhash, where similarity 0.8 gives 4.8 of 32 differing; over 15 has probability 3e-6.
+#: Candidates may differ in so many of the minhashes, of which two bits each are compared, at most. Of a pair
+#: of similarity 0.8, 4.8 of 32 differ on average; over 15 has probability 3e-6.
 MOST_DIFFERING = 15
+#: Bits of a set's parity map, and the size of sets from which only a share of the shingles is mapped.
+PARITY, WHOLE = 512, 512
 #: First rounds, in which a class is paired with one leader among those of all its keys.
-REDUCING = 4
-#: Leading classes that a key's others are paired with in the round after those; four times as many in each later one.
-LEADERS = 16
+REDUCING = 3
+#: Leading classes that a key's others are paired with in the round after those; sixteen times as many in each later one.
+LEADERS = 64
 _MASK48 = np.uint64((1 << 48) - 1)
 
 
@@ -55,6 +55,23 @@ def _sketch(mh: np.ndarray) -> int:
     return int(((mh.astype(np.int64) & 3).astype(np.uint64) << np.arange(0, 2 * MINHASHES, 2, dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
 
 
+def thinning(n: int) -> int:
+    """Of a set of n shingles, one in 2**thinning is in its parity map: all of those below WHOLE."""
+    return max(0, int(n).bit_length() - WHOLE.bit_length() + 1)
+
+
+def parity_map(found: np.ndarray) -> np.ndarray:
+    """PARITY bits, each whether an odd number of the set's (thinned) shingles falls on it, as signed 64-bit integers.
+
+    Two sets' maps differ in at most as many bits as shingles are in one of the sets only.
+    """
+    h = mixed(found ^ np.uint64(0x6A09E667F3BCC909))
+    if thin := thinning(len(found)):
+        h = h[h >> np.uint64(64 - thin) == 0]
+    odd = np.bincount((h % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _packed(found: np.ndarray) -> bytes:
     """48 bits of every hash, sorted."""
     low = np.unique(found & _MASK48)
@@ -77,22 +94,25 @@ def _row() -> Column:
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, mark, n, cls, mh): the text's mark, and size, fingerprint and minhashes of each document's set."""
+    """(doc_id, mark, n, cls, mh, sketch, parity): the text's mark, and what is derived from each document's set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int64())]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cls, mh, sketch = [], [], [], []
+            rows = []
             for value in batch.column("text"):
                 found = shingles(value.as_py(), words)
-                n.append(len(found))
-                cls.append(_fingerprint(found) if len(found) else 0)
-                mh.append(minhashes(found) if len(found) else None)
-                sketch.append(_sketch(mh[-1]) if len(found) else 0)
-            arrays = [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mh, pa.list_(pa.int32())), pa.array(sketch, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "mark", "n", "cls", "mh", "sketch"])
+                if len(found):
+                    mh = minhashes(found)
+                    rows.append((len(found), _fingerprint(found), mh, _sketch(mh), parity_map(found)))
+                else:
+                    rows.append((0, 0, None, 0, None))
+            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), *made], ["doc_id", "mark", "n", "cls", "mh", "sketch", "parity"])
 
-    return docs.select("doc_id", "mark", "text").mapInArrow(sign, f"doc_id {kind}, mark long, n long, cls long, mh array<int>, sketch long")
+    return docs.select("doc_id", "mark", "text").mapInArrow(sign, f"doc_id {kind}, mark long, n long, cls long, mh array<int>, sketch long, parity array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -134,15 +154,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Every round takes the least label among neighbours and then the label's own label, and is written
     to the shared folder; a hub's neighbours meet by a join, so no neighbourhood is gathered anywhere.
     """
-    both = materialised(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    labels = materialised(both.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("comp")), "labels")
+    own = Scratch(edges.sparkSession)
+    both = own.write(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
+    labels = own.write(both.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("v").alias("b"), "comp"), "b").groupBy(F.col("a").alias("v")).agg(F.min("comp").alias("least"))
         lower = labels.join(near, "v").select("v", F.least("comp", "least").alias("comp"), F.col("comp").alias("old"))
         jump = labels.select(F.col("v").alias("comp"), F.col("comp").alias("next"))
-        moved = materialised(lower.join(jump, "comp", "left").select("v", F.least("comp", F.coalesce("next", "comp")).alias("comp"), "old"), "labels")
+        moved = own.write(lower.join(jump, "comp", "left").select("v", F.least("comp", F.coalesce("next", "comp")).alias("comp"), "old"), "labels")
         labels = moved.select("v", "comp")
         if not moved.where("comp <> old").limit(1).count():
+            own.drop("edges")
             return labels
 
 
@@ -155,8 +177,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     probability 0.9994, of 0.9 with more than 0.99999. The classes of a key aren't paired with one another:
     in a few first rounds, each class is paired with one leader of its keys, and candidates are verified on
     their full sets, so that components form. Then each class meets the key's leaders that lie in other
-    components, and the leaders leave; a key whose classes are one component is done. Leaders quadruple, so
+    components, and the leaders leave; a key whose classes are one component is done. Leaders grow sixteenfold, so
     rounds are few, and nobody's partners are capped: what is left unpaired at the end lies in one component.
+    A pair becomes a row only where parity maps of the two sets (512 bits, whose distance bounds the difference of
+    the sets from below) allow the similarity, so unlike texts that share keys cost a comparison of a few words.
 
     Returns doc_id, n_shingles, component_id (the smallest id reachable) and kept (doc_id = component_id).
     Null, empty and blank texts have no shingles and are their own component; texts of fewer words are one
@@ -184,74 +208,99 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_
 def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, mark, n_shingles, lead): each row, and the row (doc_id, mark) that leads its component."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
-    signed = materialised(_signatures(docs, words), "signatures")
-    classes = signed.where("n > 0").groupBy("cls").agg(F.min(_row()).alias("rep"), *[F.first(c).alias(c) for c in ("n", "mh", "sketch")])
-    classes = materialised(classes, "classes")
-    table, mh = F.col("t"), F.col("mh")
-    at = lambda k: F.element_at(mh, k + 1)
-    left, right = F.floor(table / SIDE).cast("int") * WIDTH, F.pmod(table, F.lit(SIDE)) * WIDTH + SIDE * WIDTH
-    keyed = classes.select("cls", "mh", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("t"))
-    keyed = keyed.select("cls", F.xxhash64("t", *[at(left + i) for i in range(WIDTH)], *[at(right + i) for i in range(WIDTH)]).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("cls").alias("lead"), F.max("cls").alias("last")).where("lead < last")
-    members = keyed.join(shared.select("key"), "key").join(classes.select("cls", "n", "sketch"), "cls")
-    members = materialised(members.select("key", "cls", "n", "sketch", F.col("cls").alias("comp"), F.lit(0).cast("long").alias("size")), "members")
-    sets, tried, comps, turn = None, None, None, 0
+    own = Scratch(docs.sparkSession)
+    signed = own.write(_signatures(docs, words), "signatures")
+    classes = signed.where("n > 0").groupBy("cls").agg(F.min(_row()).alias("rep"), *[F.first(c).alias(c) for c in ("n", "mh", "sketch", "parity")])
+    classes = own.write(classes, "classes")
+    members = own.write(_members(classes), "members")
+    if not members.limit(1).count():
+        return _named(signed, classes, None)
+    weights = members.groupBy("cls").agg(F.sum("size").alias("weight"))
+    traits = own.write(classes.join(weights, "cls").select("cls", "n", "sketch", "parity", "weight"), "traits")
+    sets = own.write(_sets(docs, classes.join(traits, "cls", "left_semi"), words), "sets")
+    comps, turn = None, 0
     while True:
         turn += 1
         if turn <= REDUCING:
-            pairs = _one_each(members, percent, turn)
+            pairs = _one_each(members, traits, percent, turn)
         else:
             draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) * F.col("size")
-            members = members.withColumn("leads", draw < (LEADERS << 2 * (turn - REDUCING - 1) << 30))
-            pairs = _candidates(members, percent)
+            members = members.withColumn("leads", draw < (LEADERS << 4 * (turn - REDUCING - 1) << 30))
+            pairs = _candidates(members, traits, percent)
             members = members.where("not leads")
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        mh_of = lambda side: classes.select(F.col("cls").alias(side), F.col("mh").alias(f"mh_{side}"))
-        agreeing = F.size(F.filter(F.zip_with("mh_a", "mh_b", lambda x, y: x == y), lambda x: x))
-        new = materialised(pairs.join(mh_of("a"), "a").join(mh_of("b"), "b").where(agreeing >= LEAST_AGREEING).select("a", "b"), "pairs")
-        if new.limit(1).count():
-            tried = new if tried is None else tried.union(new)
-            if sets is None:
-                wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi")
-                sets = materialised(_sets(docs, wanted, words), "sets")
-            links = materialised(_linked(new, sets, percent), "links")
-            if links.limit(1).count():
-                comps = connected_components(links) if comps is None else _joined(comps, links)
-        members = members.select("key", "cls", "n", "sketch")
-        if comps is None:
-            placed = members.withColumn("comp", F.col("cls"))
-        else:
-            placed = members.join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        links = own.write(_linked(own.write(pairs, "pairs"), sets, percent), "links")
+        if links.limit(1).count():
+            comps = own.write(connected_components(links) if comps is None else _joined(comps, links), "components")
+        placed = members.select("key", "cls").withColumn("comp", F.col("cls"))
+        if comps is not None:
+            placed = members.select("key", "cls").join(comps.select(F.col("v").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         keys = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("key", "size")
-        members = materialised(placed.join(keys, "key"), "members")
+        members = own.write(placed.join(keys, "key"), "members")
         if not members.limit(1).count():
+            own.drop("members", "traits", "sets", "pairs", "links")
             return _named(signed, classes, comps)
 
 
-def _possible(percent: int):
-    """Whether size and sketch of a class and of its leader allow a link."""
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, cls, comp, size): the classes of each key that several have, each its own component at first."""
+    at = lambda k: F.element_at("mh", k + 1)
+    left, right = F.floor(F.col("t") / SIDE).cast("int") * WIDTH, F.pmod("t", F.lit(SIDE)) * WIDTH + SIDE * WIDTH
+    keyed = classes.select("cls", "mh", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("t"))
+    keyed = keyed.select("cls", F.xxhash64("t", *[at(left + i) for i in range(WIDTH)], *[at(right + i) for i in range(WIDTH)]).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return keyed.join(shared, "key").select("key", "cls", F.col("cls").alias("comp"), "size")
+
+
+def _of_leader(traits: DataFrame) -> DataFrame:
+    return traits.select(*[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "sketch", "parity")])
+
+
+def _differing() -> Column:
+    """Bits in which the parity maps of a class and its leader differ."""
+    bits = [F.bit_count(F.element_at("parity", i).bitwiseXOR(F.element_at("l_parity", i))) for i in range(1, PARITY // 64 + 1)]
+    return sum(bits[1:], bits[0])
+
+
+def _possible(percent: int) -> Column:
+    """Whether sizes, sketches and parity maps of a class and of its leader allow a link.
+
+    Linked sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes. Maps of whole sets
+    hold that bound exactly; those of thinned ones, of equal thinning, within six standard deviations.
+    """
     differing = F.col("sketch").bitwiseXOR(F.col("l_sketch"))
     differing = F.bit_count(differing.bitwiseOR(F.shiftrightunsigned(differing, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING)
+    thin = lambda n: F.greatest(F.lit(0), F.length(F.bin(n)) - WHOLE.bit_length() + 1)
+    allowed = F.lit(100 - percent) * (F.col("n") + F.col("l_n")) / F.lit(100 + percent) / F.pow(F.lit(2.0), thin("n"))
+    within = _differing() <= F.when(thin("n") == 0, allowed + 1e-6).otherwise(allowed + 6 * F.sqrt(allowed))
+    return (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING) & ((thin("n") != thin("l_n")) | within)
 
 
-def _one_each(members: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each class with one leader: the first, in the round's order, of its keys' leaders in other components."""
-    order = lambda c: F.xxhash64(c, F.lit(turn))
-    lead = members.groupBy("key").agg(F.min_by(F.struct("cls", "n", "sketch", "comp"), F.struct(order("cls"), F.col("cls"))).alias("l"))
-    lead = lead.select("key", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("cls", "n", "sketch", "comp")])
-    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & _possible(percent))
-    one = met.groupBy("cls").agg(F.min_by("l_cls", F.struct(order("l_cls"), F.col("l_cls"))).alias("l_cls"))
-    return one.select(F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")).distinct()
+def _ordered() -> list[Column]:
+    return [F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")]
 
 
-def _candidates(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a key's leaders with its other classes in other components, where size and sketch allow a link."""
-    lead = members.where("leads").select("key", *[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "sketch", "comp")])
+def _one_each(members: DataFrame, traits: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each class with one of its keys' leaders in other components: the one whose parity map is nearest.
+
+    In the first round a key is led by the class that shares most keys with others, the hub of a group of copies;
+    then by others in a hashed order.
+    """
+    order = -F.col("weight") if turn == 1 else F.xxhash64("cls", F.lit(turn))
+    rows = members.join(traits.select("cls", "weight"), "cls") if turn == 1 else members
+    lead = rows.groupBy("key").agg(F.min_by(F.struct("cls", "comp"), F.struct(order, F.col("cls"))).alias("l"))
+    lead = lead.select("key", F.col("l.cls").alias("l_cls"), F.col("l.comp").alias("l_comp"))
+    met = members.join(lead, "key").where("comp <> l_comp").select("cls", "l_cls").distinct()
+    met = met.join(traits, "cls").join(_of_leader(traits), "l_cls").where(_possible(percent))
+    one = met.groupBy("cls").agg(F.min_by("l_cls", F.struct(_differing(), F.col("l_cls"))).alias("l_cls"))
+    return one.select(*_ordered()).distinct()
+
+
+def _candidates(members: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of a key's leaders with its other classes in other components, where a link is possible."""
+    lead = members.where("leads").select("key", F.col("cls").alias("l_cls"), F.col("comp").alias("l_comp")).join(_of_leader(traits), "l_cls")
     one_way = ~F.col("leads") | (F.col("cls") < F.col("l_cls"))
-    met = members.join(lead, "key").where((F.col("comp") != F.col("l_comp")) & one_way & _possible(percent))
-    return met.select(F.least("cls", "l_cls").alias("a"), F.greatest("cls", "l_cls").alias("b")).distinct()
+    met = members.join(traits, "cls").join(lead, "key").where((F.col("comp") != F.col("l_comp")) & one_way & _possible(percent))
+    return met.select(*_ordered()).distinct()
 
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,7 +310,7 @@ def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     merged = connected_components(lifted).select(F.col("v").alias("comp"), F.col("comp").alias("to"))
     known = comps.join(merged, "comp", "left").select("v", F.coalesce("to", "comp").alias("comp"))
     fresh = merged.select(F.col("comp").alias("v"), F.col("to").alias("comp")).join(known, "v", "left_anti")
-    return materialised(known.union(fresh), "components")
+    return known.union(fresh)
 
 
 def _named(signed: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
