@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialised, read_table
 
 _HITS = "array<struct<neg:double,vec_id:long>>"
 _WHOLE_HITS = "array<struct<neg:long,vec_id:long>>"
@@ -156,7 +156,8 @@ def fit_router(sample: np.ndarray, parts: int, k: int, recall: float, hidden: in
     """
     n = len(sample)
     k = max(1, min(k, n - 1))
-    if n < 8 * parts:
+    parts = min(parts, 1 << max(0, (n // 8).bit_length() - 1))  # eight rows a part at least
+    if parts == 1:
         return Router(np.zeros((sample.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
     graph = neighbour_graph(sample, k)
     label = balanced_parts(graph, parts.bit_length() - 1, seed)
@@ -185,7 +186,8 @@ def search_learned(
     many of its likeliest parts as a left-out quarter of the sample needs for ``recall``. Parts are dealt
     in blocks of about ``block_rows`` rows by a hash of the id, so a large part, or one vector that many
     rows repeat, spreads over tasks; queries of a block pass in chunks. Candidates' scores are the inner
-    products in double precision; ties go to the smaller id.
+    products in double precision; ties go to the smaller id. A query whose parts hold fewer than k other rows
+    visits the remaining parts too, so it gets k rows wherever the table has them.
 
     ``queries`` are rows of the same columns; a row of the same id isn't its own neighbour. Rows whose
     vector is null, zero, of another dimension, or holds null or non-finite components take no part on
@@ -215,13 +217,13 @@ def search_learned(
     sizes = {r["part"]: r["count"] for r in indexed.groupBy("part").count().collect()} if n else {}
     width = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // block_rows))) for p in range(parts)]), F.col("part") + 1)
     indexed = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), width).cast("int"))
+    in_blocks = lambda f: f.withColumn("block", F.explode(F.sequence(F.lit(0), (width - 1).cast("int"))))
     sent = asked.mapInArrow(lambda b: placed(b, probes), schema).select("vec_id", "v", F.explode("parts").alias("part"))
-    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), (width - 1).cast("int"))))
 
     def nearest(key: tuple, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "hits"]
         if not len(own) or not len(asked):
-            return pd.DataFrame({c: [] for c in names})
+            return pd.DataFrame([], columns=names)
         own = own.sort_values("vec_id")
         x, ids, found = _stacked(own["v"], d), own["vec_id"].to_numpy(), []
         q_all, q_ids = _stacked(asked["v"], d), asked["vec_id"].to_numpy()
@@ -238,7 +240,17 @@ def search_learned(
                 found.append((qi[r], [(-float(exact[j]), int(ids[near[j]])) for j in best]))
         return pd.DataFrame(found, columns=names)
 
-    hits = indexed.groupBy("part", "block").cogroup(sent.groupBy("part", "block")).applyInPandas(nearest, f"query_id long, hits {_HITS}")
+    def met(sent: DataFrame) -> DataFrame:
+        return indexed.groupBy("part", "block").cogroup(in_blocks(sent).groupBy("part", "block")).applyInPandas(nearest, f"query_id long, hits {_HITS}")
+
+    hits = met(sent)
+    if n and probes < len(sizes):
+        hits = materialised(hits, "hits")
+        enough = hits.groupBy(F.col("query_id").alias("vec_id")).agg(F.sum(F.size("hits")).alias("found")).where(F.col("found") >= k)
+        short = asked.join(enough, "vec_id", "left_anti")
+        rest = F.array_except(F.array(*[F.lit(p) for p in sizes]), F.slice("parts", 1, probes))
+        far = short.mapInArrow(lambda b: placed(b, probes), schema).select("vec_id", "v", F.explode(rest).alias("part"))
+        hits = hits.union(met(far))
     return _merged(hits, k, "double")
 
 
@@ -318,7 +330,8 @@ def search_exact(frame: DataFrame, queries: DataFrame, k: int = 10, scale: int =
     Rows are dealt in blocks of about ``block_rows`` by a hash of the id and every block meets the stated
     queries: means and deviations of 1, 2, 4 ... segments bound the scores from above (the distances
     from below), the seeds' exact scores set each query's floor, finer segments drop pairs below it,
-    and survivors are computed exactly. Blocks' best are merged a query at a time.
+    and survivors are computed exactly (by one product of a block where over a fifth of its pairs survive, which
+    is cheaper than a product a pair). Blocks' best are merged a query at a time.
 
     Rows whose vector is null, of another dimension, or holds null or non-finite components take no part.
     Zero vectors do. Rows that repeat an id each count; ties go to the smaller id. Other columns aren't

@@ -82,3 +82,44 @@ def test_exact_search_of_huge_components_and_zeros(vectors):
     big = 1024 * 2_000_000
     assert got[0, 1] == (2, big * big + 1024 * 2048) and got[0, 2] == (100, big * big - 1024 * 1024)
     assert ops.search_exact(rows.where("vec_id < 0"), rows).count() == 0
+
+
+def test_clustered_tables_of_all_sizes(vectors):
+    for n, seed in ((20, 1), (130, 2), (400, 3), (1000, 4)):
+        x = clustered(n, seed=seed)
+        x[n // 2 : n // 2 + 5] = x[0]
+        ids = np.arange(n)
+        rows = vectors([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)])
+        got = ops.search_learned(rows, rows.where("vec_id % 20 = 0"), k=20).collect()
+        hit = want = 0
+        for q in range(0, n, 20):
+            mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+            near = best(x, ids, q, q, 20)
+            assert [k for k, _ in mine] == list(range(1, len(near) + 1)), (n, q)
+            hit += len({i for _, i in mine} & {i for i, _ in near})
+            want += len(near)
+        assert hit / want >= 0.95, (n, hit / want)
+
+
+def test_the_registered_search(spark, vectors, tmp_path):
+    x = clustered(3000, seed=6)
+    vectors([(int(i), v.tolist()) for i, v in enumerate(x)] + BAD).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = ops.op2_neighbours(spark, str(tmp_path))
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    rows, ids = got.collect(), np.arange(3000)
+    hit = sum(len({r["vec_id"] for r in rows if r["query_id"] == q} & {i for i, _ in best(x, ids, q, q, 20)}) for q in range(0, 3000, 20))
+    assert len(rows) == 3000 and hit / len(rows) >= 0.95
+
+
+def test_bounds_drop_most_pairs_of_blockwise_vectors():
+    r = np.random.default_rng(7)
+    x = np.repeat(r.integers(-400, 400, (600, 4)), 8, axis=1).astype(float) + r.integers(-20, 20, (600, 32))
+    q, stats = x[:30], ops.segment_levels(32)
+    exact = q @ x.T
+    floor = -np.sort(-exact, axis=1)[:, 10]
+    survivors = (ops.segment_statistics(q, stats[2]) @ ops.segment_statistics(x, stats[2]).T >= floor[:, None]).mean()
+    got = ops.top_by_bounds(q, np.arange(30), x, np.arange(600), 10)
+    for i in range(30):
+        order = np.lexsort((np.arange(600), -exact[i]))
+        assert [v for _, v in sorted(got[i])] == [int(j) for j in order if j != i][:10]
+    assert survivors < 0.2
