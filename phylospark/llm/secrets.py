@@ -14,8 +14,12 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 #: Runs that the randomness tests look at, whatever letters and digits they hold.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
-#: False-discovery rate of calling a candidate non-random, and the p-value bins a decade.
+#: Share of reported candidates that may be no random strings, and the p-value bins a decade.
 RATE, BINS = 0.05, 50
+#: Random strings drawn for each encoding and band of lengths, and the longest band (64 characters or more).
+DRAWS, LONGEST = 1000, 6
+#: Where the estimate of how many candidates are random looks, and the share of random strings that may be given up.
+TAILS, FLOOR = (0.1, 0.25, 0.5), 0.01
 _SPAN = "array<struct<s:int,o:int,e:int,txt:string>>"
 
 
@@ -56,7 +60,7 @@ ENCODINGS = (
 
 
 def _tested(txt: Column) -> Column:
-    """(band of lengths, bin of the p-value) of a string, were it random over its encoding's alphabet."""
+    """(encoding's size, band of lengths, bin of the p-value) of a string, were it random over its encoding's alphabet."""
     alphabet = F.lit(ENCODINGS[-1][1])
     for pattern, letters in ENCODINGS[-2::-1]:
         alphabet = F.when(txt.rlike(pattern), F.lit(letters)).otherwise(alphabet)
@@ -85,6 +89,7 @@ def _tested(txt: Column) -> Column:
         chi = F.greatest(x.k / x.n * x.squares - x.n, F.lit(0.0))
         expected_share = F.when(x.k == 32, 6.0).otherwise(10.0) / x.k
         return F.struct(
+            x.k.cast("int").alias("k"),
             x.n.alias("n"),
             F.abs((x.digits - x.n * expected_share) / F.sqrt(x.n * expected_share * (1 - expected_share))).alias("digits_z"),
             ((F.pow(chi / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))).alias("chi_z"),
@@ -95,21 +100,47 @@ def _tested(txt: Column) -> Column:
     def grade(x: Column) -> Column:
         lowest = F.least(_upper_tail(x.chi_z), 2 * _upper_tail(x.digits_z), 2 * _upper_tail(x.runs_z), 2 * _upper_tail(x.serial_z))
         p = F.least(F.lit(1.0), 4 * lowest)
-        return F.struct(F.floor(F.log2(x.n)).cast("int").alias("band"), F.floor(-F.log10(p) * BINS).cast("int").alias("bin"))
+        return F.struct(x.k.alias("k"), F.least(F.lit(LONGEST), F.floor(F.log2(x.n)).cast("int")).alias("band"), F.floor(-F.log10(p) * BINS).cast("int").alias("bin"))
 
     return _let(_let(_let(held, moments), statistics), grade)
 
 
-def _rejected_from(tests: DataFrame) -> DataFrame:
-    """For each band of lengths the least bin whose p-values the step-up procedure rejects (bounded table).
+def _random_strings(spark) -> DataFrame:
+    """(k, band, bin, drawn): how the tests grade DRAWS random strings of each encoding and band.
 
-    p-values count as the upper edge of their bin, so the rate is kept; the counts are over all candidates.
+    Short strings have too few characters for the tests' approximations, so candidates are compared with these.
     """
-    bins = tests.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("band").orderBy(F.desc("bin"))
-    ranked = bins.withColumns({"rank": F.sum("c").over(w), "m": F.sum("c").over(Window.partitionBy("band"))})
-    passed = F.pow(F.lit(10.0), -F.col("bin") / BINS) <= RATE * F.col("rank") / F.col("m")
-    return ranked.groupBy("band").agg(F.min(F.when(passed, F.col("bin"))).alias("cut"))
+    alphabets, bands = [letters for _, letters in ENCODINGS], range(4, LONGEST + 1)
+    of = lambda values, at: F.element_at(F.array(*map(F.lit, values)), at.cast("int") + 1)
+    band = F.floor(F.col("id") / len(alphabets)) % len(bands)
+    low, high = [max(20, 1 << n) for n in bands], [2 << n for n in bands]
+    size = of(low, band) + F.pmod(F.xxhash64("id"), of(high, band) - of(low, band)) - 1
+    drawn = spark.range(DRAWS * len(alphabets) * len(bands)).select("id", of(alphabets, F.col("id") % len(alphabets)).alias("a"), size.alias("n"))
+    letter = lambda i: F.substring(F.col("a"), (F.pmod(F.xxhash64("id", i), F.length("a")) + 1).cast("int"), F.lit(1))
+    graded = drawn.select(_tested(F.array_join(F.transform(F.sequence(F.lit(0), F.col("n").cast("int")), letter), "")).alias("grade"))
+    return graded.groupBy("grade.k", "grade.band", "grade.bin").agg(F.count(F.lit(1)).alias("drawn"))
+
+
+def _cuts(tests: DataFrame) -> DataFrame:
+    """(k, band, cut): for each encoding and band of lengths the last bin that is reported (bounded table).
+
+    A candidate's share is that of the random strings that look less random than it. Random candidates' shares
+    are even over 0 to 1; words, names and paths have shares near 0. So the candidates with large shares tell how
+    many are random in all, and what passes a share beyond those is no random string. In each band the least
+    share is taken from which the rate of such false reports is at most RATE. All candidates are counted.
+    """
+    bins = tests.groupBy("k", "band", "bin").agg(F.count(F.lit(1)).alias("c"))
+    both = bins.withColumn("drawn", F.lit(0).cast("long")).unionByName(_random_strings(tests.sparkSession).withColumn("c", F.lit(0).cast("long")))
+    both = both.groupBy("k", "band", "bin").agg(F.sum("c").alias("c"), F.sum("drawn").alias("drawn"))
+    own = Window.partitionBy("k", "band")
+    worse = F.coalesce(F.sum("drawn").over(own.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shares = both.withColumn("share", worse / F.sum("drawn").over(own)).where("c > 0")
+    band = Window.partitionBy("band")
+    least = lambda tail: (F.sum(F.when(F.col("share") > tail, F.col("c")).otherwise(0)).over(band) + 1) / (1 - tail)
+    ranked = shares.withColumns({"reported": F.sum("c").over(band.orderBy(F.desc("share"))), "random": F.greatest(*map(least, TAILS))})
+    good = (F.col("share") >= FLOOR) & (1 - F.col("random") * (1 - F.col("share")) / F.col("reported") <= RATE)
+    passed = ranked.withColumn("from", F.min(F.when(good, F.col("share"))).over(band)).where(F.col("share") >= F.col("from"))
+    return passed.groupBy("k", "band").agg(F.max("bin").alias("cut"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -118,37 +149,47 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Base kinds: assignments to names of secrets, access keys, long hexadecimal runs. The method adds
     ``random``: long runs, with digits or without, whose characters pass, for the encoding inferred
     from their alphabet (hex, base32, base36, base64), a chi-squared test of uniformity and one of the
-    share of digits, a runs test about the middle of the alphabet and a test of serial correlation. A candidate counts as not random
-    if the step-up procedure at rate 0.05, in its band of lengths, rejects it; the rest are spans.
+    share of digits, a runs test about the middle of the alphabet and a test of serial correlation. How a
+    candidate fares is compared with random strings of its encoding and band of lengths, and in each band as many
+    are reported as keep the share of false reports at 0.05 (see ``_cuts``); with very few candidates in a band
+    one or two undecided ones may be reported. Random strings that are no secrets (identifiers drawn at random)
+    are reported too.
 
     Two scans with built-in functions; only the counts of p-value bins are shuffled, and the cuts of
-    about ten bands broadcast. Returns id, the ``keep`` columns, and ``spans``: array of (s, o, e, txt)
-    with places in code points, end exclusive, sorted by start, then kind (``o`` indexes KINDS).
+    a dozen encodings and bands broadcast. Returns doc_id, the ``keep`` columns, and ``spans``: array of (s, o, e, txt)
+    with places in code points, end exclusive, sorted by start, then kind (``o`` indexes KINDS). A kept column
+    that is named like one of those comes as ``kept_`` and its name.
 
     Null and empty texts have no spans. Repeated rows are scanned each. Columns other than the named
     ones aren't read. An empty table gives no rows.
     """
-    source = docs.select(F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    name = lambda c: f"kept_{c}" if c in ("doc_id", "spans") else c
+    return _scanned(docs, id_col, text_col, keep).select("doc_id", *[F.col(f"__kept_{c}").alias(name(c)) for c in keep], "spans")
+
+
+def _scanned(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, the kept columns behind a prefix, and the spans."""
+    source = docs.select(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`").alias(f"__kept_{c}") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     text = F.col("__text")
     graded = source.withColumn("__tests", F.transform(_found(text, CANDIDATE, 3), lambda x: F.struct(x.alias("span"), _tested(x.txt).alias("grade"))))
-    tests = graded.select(F.explode("__tests").alias("x")).select("x.grade.band", "x.grade.bin")
-    cuts = _rejected_from(tests).where(F.col("cut").isNotNull())
-    cut_of = cuts.agg(F.map_from_entries(F.collect_list(F.struct("band", "cut"))).alias("cuts"))
+    tests = graded.select(F.explode("__tests").alias("x")).select("x.grade.k", "x.grade.band", "x.grade.bin")
+    at = lambda k, band: 100 * band + k
+    cut_of = _cuts(tests).agg(F.map_from_entries(F.collect_list(F.struct(at(F.col("k"), F.col("band")), "cut"))).alias("cuts"))
     assign = F.filter(_found(text, ASSIGN, 0), lambda x: F.length(F.regexp_extract(x.txt, ASSIGN, 2)) >= 6)
-    scanned = graded.withColumns({"base": F.concat(assign, _found(text, ACCESS, 1), _found(text, HEX, 2)), "__cuts": cut_of.scalar()})
-    passed = F.filter("__tests", lambda x: x.grade.bin < F.coalesce(F.element_at("__cuts", x.grade.band), F.lit(1 << 30)))
-    added = F.filter(F.transform(passed, lambda x: x.span), lambda c: ~F.exists("base", lambda b: (b.s < c.e) & (c.s < b.e)))
-    return scanned.select("doc_id", *[F.col(f"kept_{c}").alias(c) for c in keep], F.array_sort(F.concat("base", added)).alias("spans"))
+    scanned = graded.withColumns({"__base": F.concat(assign, _found(text, ACCESS, 1), _found(text, HEX, 2)), "__cuts": cut_of.scalar()})
+    passed = F.filter("__tests", lambda x: x.grade.bin <= F.coalesce(F.element_at("__cuts", at(x.grade.k, x.grade.band)), F.lit(-1)))
+    added = F.filter(F.transform(passed, lambda x: x.span), lambda c: ~F.exists("__base", lambda b: (b.s < c.e) & (c.s < b.e)))
+    return scanned.select("doc_id", *[f"`__kept_{c}`" for c in keep], F.array_sort(F.concat("__base", added)).alias("spans"))
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every secret's span replaced by ``mark``; texts without secrets are left as they are.
 
-    Overlapping spans are replaced once, as their union. Null texts stay null.
+    Overlapping spans are replaced once, as their union. Null texts stay null, empty ones empty; repeated rows are
+    treated alike, columns may have any names, and an empty table stays empty.
     """
-    others = [c for c in docs.columns if c != id_col]
-    found = scan_secrets(docs, id_col, text_col, keep=tuple(others))
-    text = F.col(text_col)
+    found = _scanned(docs, id_col, text_col, tuple(docs.columns))
+    text = F.col(f"`__kept_{text_col}`")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -156,8 +197,8 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_i
         return F.struct(F.greatest(acc.at, x.e).alias("at"), cut.alias("out"))
 
     clean = F.aggregate("spans", start, step, lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text))))
-    rows = found.withColumn(text_col, F.when(text.isNull() | (F.size("spans") == 0), text).otherwise(clean))
-    return rows.withColumnRenamed("doc_id", id_col).select(*docs.columns)
+    clean = F.when(text.isNull() | (F.size("spans") == 0), text).otherwise(clean)
+    return found.select(*[(clean if c == text_col else F.col(f"`__kept_{c}`")).alias(c) for c in docs.columns])
 
 
 def _joined(spans: Column) -> Column:
