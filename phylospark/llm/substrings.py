@@ -22,6 +22,8 @@ WORD = 8
 FILTER_BITS = 1 << 29
 #: Bytes of contexts that make one suffix array.
 CHUNK = 1 << 18
+#: Distinct contexts of an anchor past which its windows are counted by their hashes instead, over all tasks.
+CROWD = 2048
 _AT = np.uint64((1 << 24) - 1)
 _RANDOM = np.random.default_rng(20)
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,7 +91,8 @@ def lyndon_groups(order: list[int], start: list[int]) -> tuple[list[int], list[i
     """Group all suffixes by their longest Lyndon prefix; also each one's previous smaller suffix.
 
     ``order`` has the positions sorted by symbol, ``start`` each position's first place in it; the last
-    symbol is the least and occurs once. Groups are finished from the largest down: a finished group's
+    symbol is the least and occurs once. Members of a group and counts of pointers are put in order by a comparison
+    sort, so the construction is linear but for those sorts. Groups are finished from the largest down: a finished group's
     members point to the nearest earlier suffix of a smaller group, and the suffixes pointed to move
     behind their own group, those with more pointers further back, since the finished prefix extends theirs.
     """
@@ -158,18 +161,37 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     return np.array(sa)
 
 
+def common_prefixes(symbols: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """How many symbols each suffix shares with the one before it in the suffix array, in text order's linear time."""
+    s, order = symbols.tolist(), sa.tolist()
+    place = [0] * len(order)
+    for k, i in enumerate(order):
+        place[i] = k
+    out, same = [0] * len(order), 0
+    for i, k in enumerate(place):
+        if k:
+            j = order[k - 1]
+            while s[i + same] == s[j + same]:
+                same += 1
+            out[k] = same
+            same = max(0, same - 1)
+        else:
+            same = 0
+    return np.array(out)
+
+
 def repeated_windows(contexts: list[bytes], offsets: list[int], length: int) -> list[list[tuple[int, int]]]:
     """Per context, ranges (first, last) of the windows of ``length`` bytes that another place holds too.
 
-    Contexts are cut into blocks counted from their anchor. The suffix array over the blocks brings together
-    the suffixes that agree in as many whole blocks as any window has; there windows are compared by
-    the hash of all their bytes.
+    Contexts are cut into blocks counted from their anchor. In the suffix array over the blocks, neighbours whose
+    common prefix has as many whole blocks as any window lie in one group; a window is repeated only if
+    another of its group has the same bytes on either side too, which the hash of all its bytes tells.
     """
     data = np.frombuffer(b"".join(contexts), np.uint8)
     sizes = np.array([len(c) for c in contexts])
     begins = np.cumsum(sizes) - sizes
     whole = (length - BLOCK + 1) // BLOCK * BLOCK
-    (block, run, window) = substring_hashes(data, (BLOCK, whole, length))
+    (block, window) = substring_hashes(data, (BLOCK, length))
     lead = np.array(offsets) % BLOCK
     counts = np.maximum((sizes - lead) // BLOCK, 0)
     owner = np.repeat(np.arange(len(contexts)), counts + 1)
@@ -181,23 +203,25 @@ def repeated_windows(contexts: list[bytes], offsets: list[int], length: int) ->
     symbols[~is_end] = rank + len(contexts)
     symbols[is_end] = np.arange(len(contexts))[::-1]  # ends differ; the last one is the least
     sa = suffix_array(symbols)
-    sa = sa[~is_end[sa]]
-    sa = sa[at[sa] + whole <= (begins + sizes)[owner[sa]]]
-    shared = run[at[sa]]
-    same = shared[1:] == shared[:-1]
-    close = np.zeros(len(sa), bool)
-    close[1:] |= same
-    close[:-1] |= same
-    near = sa[close]
+    same = common_prefixes(symbols, sa) >= whole // BLOCK
+    group = np.cumsum(~same)
+    close = same.copy()
+    close[:-1] |= same[1:]
+    near, group = sa[close], group[close]
     out: list[list[tuple[int, int]]] = [[] for _ in contexts]
     if not len(near):
         return out
     starts = (at[near][:, None] - np.arange(BLOCK)[None, :]).ravel()
-    own = np.repeat(owner[near], BLOCK)
+    own, group = np.repeat(owner[near], BLOCK), np.repeat(group, BLOCK)
     fits = (starts >= begins[own]) & (starts + length <= (begins + sizes)[own])
-    starts, own = starts[fits], own[fits]
-    _, inverse, times = np.unique(window[starts], return_inverse=True, return_counts=True)
-    starts = np.sort(starts[times[inverse] > 1])
+    starts, group = starts[fits], group[fits]
+    order = np.lexsort((window[starts], group))
+    starts, group = starts[order], group[order]
+    equal = (window[starts][1:] == window[starts][:-1]) & (group[1:] == group[:-1])
+    twice = np.zeros(len(starts), bool)
+    twice[1:] |= equal
+    twice[:-1] |= equal
+    starts = np.unique(starts[twice])
     if not len(starts):
         return out
     own = np.searchsorted(begins, starts, side="right") - 1
@@ -358,12 +382,31 @@ def _ranges(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.select("h", "cx", "n", "off", "context").mapInArrow(stream, "h long, cx long, a int, b int")
 
 
+def _crowded_ranges(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for anchors of very many contexts: their windows' hashes are counted by a shuffle, whoever holds them."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, cx, n, context in zip(*(batch.column(c).to_pylist() for c in ("h", "cx", "n", "context")), strict=True):
+                (w,) = substring_hashes(np.frombuffer(context, np.uint8), (length,))
+                same = len(w)
+                columns = [np.full(same, h), np.full(same, cx), np.full(same, n), np.arange(same, dtype=np.int32), w.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "cx", "n", "at", "w"])
+
+    found = contexts.select("h", "cx", "n", "context").mapInArrow(windows, "h long, cx long, n long, at int, w long")
+    repeated = found.groupBy("h", "w").agg(F.sum("n").alias("times")).where("times > 1").select("h", "w")
+    met = found.join(repeated, ["h", "w"]).select("h", "cx", "at").distinct()
+    return met.select("h", "cx", F.col("at").alias("a"), F.col("at").alias("b"))
+
+
 def _spans(docs: DataFrame, length: int, id_col: str, text_col: str, by_words: bool = False) -> DataFrame:
     """(doc, mark, span) of every range of repeated windows, in bytes of the text or in its words."""
     source = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
     size = length * WORD if by_words else length
     found = materialised(_occurrences(source, _repeated_anchors(source, size, by_words), size, by_words), "contexts")
-    ranges = _ranges(found.where("n is not null"), size)
+    contexts = found.where("n is not null")
+    crowds = materialised(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CROWD).select("h"), "crowds")
+    ranges = _ranges(contexts.join(crowds, "h", "left_anti"), size).union(_crowded_ranges(contexts.join(crowds, "h", "left_semi"), size))
     places = found.where("n is null").select("h", "cx", "mark", "doc", "first")
     met = places.join(ranges, ["h", "cx"]).select("doc", "mark", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
     if by_words:  # only windows that begin with a word
@@ -440,7 +483,8 @@ def drop_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", tex
 
     Every window of ``length`` bytes is anchored at its gram of least hash. Anchors that occur once are
     dropped by a filter of fixed size; the rest's contexts meet by anchor, equal contexts as one with a
-    count, and suffix arrays from Lyndon groups find which windows occur twice. Texts travel once, to meet
+    count, and common prefixes in suffix arrays from Lyndon groups find which windows occur twice. A task holds the
+    contexts of an anchor, CROWD of less than two lengths at most; of an anchor with more of them the windows' hashes are counted. Texts travel once, to meet
     their spans. Null texts stay null; repeated rows are each other's repeats; an empty table stays empty.
     """
     names = docs.columns
@@ -467,13 +511,17 @@ def op7_substrings(spark, sf_dir: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, removed, spans_, kept = [], [], [], []
+            size, removed, spans_, kept, left = [], [], [], [], []
             for value, found in zip(batch.column("text"), batch.column("__spans"), strict=True):
                 data, spans = (value.as_py() or "").encode("utf-8", "replace"), _merge(found.as_py())
                 size.append(len(data))
                 removed.append(sum(b - a for a, b in spans))
                 spans_.append(len(spans))
-                kept.append(hashlib.sha256(_kept(data, spans)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (size, removed, spans_)], pa.array(kept)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return _with_spans(docs, 400, "doc_id", "text").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+                rest = _kept(data, spans)
+                kept.append(hashlib.sha256(rest).hexdigest())
+                left.append(rest.decode("utf-8", "ignore"))
+            longs = [pa.array(x, pa.int64()) for x in (size, removed, spans_)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *longs, pa.array(kept, pa.string()), pa.array(left, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _with_spans(docs, 400, "doc_id", "text").mapInArrow(digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")

@@ -155,6 +155,33 @@ def test_redaction_replaces_the_union_of_spans(documents):
     assert secrets.redact_secrets(docs).columns == docs.columns
 
 
+def test_precision_and_recall_by_length(documents):
+    r = random.Random(12)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    parts = ["user", "profile", "index", "value", "config", "Handler", "Request", "Builder", "data", "local", "share", "module", "version", "2024", "test", "path", "manager", "session"]
+
+    def joined(mark, size):
+        out = r.choice(parts)
+        while len(out) < size:
+            out += mark + r.choice(parts)
+        return out[:size]
+
+    plain = [joined(mark, size) for size in (20, 32, 40, 64) for mark in ("", "_", "-", "/") for _ in range(40)]
+    drawn = {size: ["".join(r.choice(a) for _ in range(size)) for a in (lower + upper + digits + "+/", upper + "234567", lower + digits) for _ in range(40)] for size in (20, 32, 40, 64)}
+    texts = [*plain, *(k for size in drawn for k in drawn[size])]
+    got = {x["doc_id"]: [s for s in x["spans"] if s["o"] == 3] for x in secrets.scan_secrets(documents([f"see {x} here" for x in texts])).collect()}
+    found = {size: sum(bool(got[i]) for i, t in enumerate(texts) if i >= len(plain) and len(t) == size) / 120 for size in drawn}
+    false = sum(bool(got[i]) for i in range(len(plain)))
+    print("recall", found, "false", false, "of", sum(map(bool, got.values())))
+    assert false <= 0.1 * sum(map(bool, got.values())) and all(found[s] > 0.9 for s in (32, 40, 64)) and found[20] > 0.7
+
+
+def test_redaction_keeps_columns_of_any_name(documents):
+    docs = documents(["token=abcdef0123456789abcdef0123456789", "", None]).withColumns({"spans": F.lit("s"), "kept_text": F.lit(1), "__text": F.lit(2)})
+    again = secrets.redact_secrets(docs.union(docs).withColumnRenamed("doc_id", "row").withColumn("doc_id", F.lit(9)), id_col="row")
+    assert sorted(map(str, again.collect())) == sorted(str(r) for r in again.sparkSession.createDataFrame([(i, t, "en" if i % 2 == 0 else "fr", f"s{i % 3}", n, "s", 1, 2, 9) for i, t, n in [(0, "[SECRET]", 38), (1, "", 0), (2, None, 0)] for _ in range(2)], again.schema).collect())
+
+
 # ------------------------------------------------------------------ near duplicates
 
 
@@ -222,9 +249,79 @@ def test_no_documents_have_no_groups(documents):
     assert neardup.near_duplicates(documents([None, ""])).where("kept").count() == 2
 
 
+def test_a_hub_of_copies_that_are_not_near_one_another(documents):
+    base = words(5, 200).split()
+    texts = [" ".join(base)]
+    for i in range(60):  # each nine words from the hub, two of them about eighteen from each other
+        r, w = random.Random(100 + i), list(base)
+        for at in r.sample(range(0, 196, 4), 9 if i % 2 else 4):
+            w[at] = f"x{i}y{at}"
+        texts.append(" ".join(w))
+    pairs = list(enumerate(texts))
+    got = sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(documents(texts), 4).collect())
+    assert got == sorted((k, c) for k, _, c in brute_components(pairs, 4, 80))
+
+
+def test_links_at_the_bound_are_found(documents):
+    pairs, size = [], 0
+    for g in range(150):
+        base = words(g, 40 + 30 * (g % 40)).split()
+        n, w = len(base) - 3, list(base)
+        for at in range(0, len(base) - 4, 45):  # about a tenth of the shingles on either side
+            w[at + 2] = f"z{g}"
+        pairs += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(w))]
+        size = max(size, n)
+    want = sorted((k, c) for k, _, c in brute_components_of_pairs(pairs, 4, 80))
+    got = sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(documents(pairs), 4).collect())
+    assert size > 1000 and got == want and sum(k != c for k, c in want) > 100
+
+
+def brute_components_of_pairs(pairs, n, percent):
+    return [x for i in range(0, len(pairs), 2) for x in brute_components(pairs[i : i + 2], n, percent)]
+
+
+def test_parity_maps_bound_the_difference():
+    r = np.random.default_rng(6)
+    for n in (3, 100, 400, 511):
+        a = r.integers(0, 1 << 63, n, np.uint64)
+        b = np.concatenate([a[n // 5 :], r.integers(0, 1 << 63, n // 6, np.uint64)])
+        differing = sum(int(x).bit_count() for x in (neardup.parity_map(a) ^ neardup.parity_map(b)).view(np.uint64))
+        assert differing <= len(np.setxor1d(a, b)) and neardup.thinning(n) == 0
+    assert [neardup.thinning(n) for n in (512, 1023, 1024)] == [1, 1, 2]
+
+
+def test_rows_without_ids_are_linked(documents):
+    base = words(4, 60)
+    rows = [(None, base), (None, base + " one"), (2, base + " two"), (None, words(9, 60)), (3, words(8, 60))]
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(documents(rows), 4).collect()), key=str)
+    assert got == sorted([(None, 2, False), (None, 2, False), (2, 2, True), (None, None, True), (3, 3, True)], key=str)
+
+
+def test_the_registered_near_duplicates(spark, documents, tmp_path):
+    pairs = [(7, "a b c d e f g h"), (3, "A b c d e f g h"), (5, "x"), (6, None), (8, " ".join(["very"] * 200_000) + " long")]
+    documents(pairs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = neardup.op9_neardup(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect())) == [(3, 5, 3, True), (5, 1, 5, True), (6, 0, 6, True), (7, 5, 3, False), (8, 2, 8, True)]
+
+
 # ------------------------------------------------------------------ repeated substrings
 
 
+def test_common_prefixes_equal_brute_force():
+    r = random.Random(5)
+    for _ in range(100):
+        s = [r.randint(1, 3) for _ in range(r.randint(1, 30))] + [0]
+        sa = substrings.suffix_array(np.array(s))
+        want = [0] + [next(k for k in range(len(s)) if s[a + k] != s[b + k]) for a, b in zip(sa, sa[1:], strict=False)]
+        assert substrings.common_prefixes(np.array(s), sa).tolist() == want
+
+
+def test_crowded_anchors_equal_brute_force(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(substrings, "CROWD", 2)
+    test_digests_of_repeats(spark, documents, tmp_path)
+
+
 def test_suffix_arrays_equal_sorted_suffixes():
     r = random.Random(3)
     for _ in range(300):
@@ -273,6 +370,7 @@ def test_digests_of_repeats(spark, documents, tmp_path):
     got = {r["doc_id"]: r for r in substrings.op7_substrings(spark, str(tmp_path)).collect()}
     for i, (removed, spans, kept) in enumerate(brute_repeats(texts, 400)):
         r = got[i]
+        assert r["kept_text"] == kept.decode("utf-8", "ignore")
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len((texts[i] or "").encode()), removed, spans, hashlib.sha256(kept).hexdigest()), i
 
 
