@@ -32,10 +32,11 @@ def has_letter(text: str) -> bool:
 
 @dataclass
 class LanguageModel:
-    """What a prediction needs: embeddings times output weights, one row a bucket."""
+    """What a prediction needs: an embedding a bucket, output weights and a bias a language."""
 
     languages: list[str]
-    table: np.ndarray
+    embed: np.ndarray
+    out: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
@@ -44,7 +45,7 @@ class LanguageModel:
         if not text or not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0
         at = subwords(text)
-        z = (np.bincount(at, minlength=BUCKETS) @ self.table / len(at) + self.bias) / self.temperature
+        z = (np.bincount(at, minlength=BUCKETS) @ self.embed / len(at) @ self.out + self.bias) / self.temperature
         e = np.exp(z - z.max())
         best = int(e.argmax())
         return self.languages[best], float(min(1.0, e[best] / e.sum()))
@@ -79,7 +80,7 @@ def _train(rows: list[tuple[int, np.ndarray, np.ndarray]], n_languages: int, wid
 
 
 def fit_language_model(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, max_languages: int = 256, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 3000, width: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 7
 ) -> LanguageModel:
     """Fit on a bounded sample of labelled rows.
 
@@ -87,15 +88,14 @@ def fit_language_model(
     whole texts into bucket counts, so the driver sees at most ``sample_rows`` sparse vectors of
     ``BUCKETS`` entries. A fifth of them is kept from training: it sets the softmax temperature and
     the score below which a prediction is rejected (half of the least score among right predictions).
-    At most ``max_languages`` languages, those of most rows, are learned, so that the model and the counts of
-    languages stay small; a text of a rarer one is rejected or taken for a learned one, never named rightly.
-    Rows with null text or language don't take part. No labelled rows: a model that knows no language.
+    Every language is learned; where there are more than ``sample_rows`` of them, about one row of each is drawn.
+    The driver holds their names and counts, and ``width`` weights for each. Rows with null ids share one draw. Rows with null text or language don't take part. No labelled rows: a model that knows no language.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0))
+        return LanguageModel([], np.zeros((BUCKETS, width)), np.zeros((width, 0)), np.zeros(0))
     each = max(1, sample_rows // len(languages))
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, each / r["count"]))])
     draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
@@ -114,18 +114,18 @@ def fit_language_model(
                 made = pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(texts)).cast(pa.string()), langs, pa.array([x.tobytes() for x in at], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], ["id", "lang", "at", "n"])
                 yield made.filter(usable)
 
-    made = sample.mapInArrow(vectors, "id string, lang string, at binary, n binary").orderBy(F.xxhash64("id", F.lit(seed)), "id", "lang").limit(2 * sample_rows)
+    made = sample.mapInArrow(vectors, "id string, lang string, at binary, n binary").orderBy(F.xxhash64("id", F.lit(seed)), "id", "lang").limit(2 * max(sample_rows, len(languages)))
     number = {lang: i for i, lang in enumerate(languages)}
     data = []
     for r in made.toLocalIterator():  # small arrays, so that the driver holds a few dozen MB at most
         n = np.frombuffer(r["n"], np.int32).astype(np.float32)
         data.append((number[r["lang"]], np.array(np.frombuffer(r["at"], np.int16)), n / n.sum()))
     if not data:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0))
+        return LanguageModel([], np.zeros((BUCKETS, width)), np.zeros((width, 0)), np.zeros(0))
     kept, train = data[::5] if len(data) >= 50 else data, [x for i, x in enumerate(data) if i % 5 or len(data) < 50]
     embed, out, bias = _train(train, len(languages), width, epochs, rate, seed)
-    table = (embed @ out).astype(np.float64)
-    z = np.array([s @ table[a] + bias for _, a, s in kept])
+    embed, out = embed.astype(np.float64), out.astype(np.float64)
+    z = np.array([s @ embed[a] @ out + bias for _, a, s in kept])
     y = np.array([k for k, _, _ in kept])
 
     def shares(temperature: float) -> np.ndarray:
@@ -136,7 +136,7 @@ def fit_language_model(
     best = min(grid, key=lambda t: -np.log(shares(t)[np.arange(len(y)), y] + 1e-12).mean())
     p = shares(best)
     right = p.max(1)[p.argmax(1) == y]
-    return LanguageModel(languages, table, bias.astype(np.float64), float(best), float(right.min() / 2) if len(right) else 0.0)
+    return LanguageModel(languages, embed, out, bias.astype(np.float64), float(best), float(right.min() / 2) if len(right) else 0.0)
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
