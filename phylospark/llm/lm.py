@@ -228,7 +228,7 @@ def fit_ngram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     counts = materialised(texts.mapInArrow(tokens, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "tokens")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    segments = 1 << max(0, min(12, (total["n"] >> 16).bit_length()))
+    segments = 1 << max(0, min(16, (total["n"] >> 16).bit_length()))
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
