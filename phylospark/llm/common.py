@@ -57,6 +57,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What ``make`` gives, made once a worker process and kept for its later tasks."""
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drop what a worker holds of another operator (tokenizers and their caches) before a task that doesn't use it."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def crc_mod(column: str, modulus: int):
     """crc32 of the value as text, modulo ``modulus``; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

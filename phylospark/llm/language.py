@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, read_table, text_chunks
+from .common import crc_mod, let_go, read_table, text_chunks
 
 BUCKETS = 8192
 UNDETERMINED = "und"
@@ -102,6 +102,7 @@ def fit_language_model(
     sample = rows.where(draw < F.element_at(share, F.col("lang")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for first, texts in text_chunks(batch, "text"):
                 at, n = [], []
@@ -152,6 +153,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     names = base.columns
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = [model.predict(v.as_py()) for v in batch.column(names.index(text_col))]
             scores = [s for _, s in found]

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialised, mixed, read_table, text_chunks, word_hashes
+from .common import crc_mod, let_go, materialised, mixed, read_table, text_chunks, word_hashes
 
 #: Counts are quantised to powers of BASE; an n-gram of level q is in the filter q times.
 BASE = 1.5
@@ -212,6 +212,7 @@ def fit_ngram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(text_col).alias("text"))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[np.ndarray] = []
         for batch in batches:
             for _, part in text_chunks(batch, "text"):
@@ -231,6 +232,7 @@ def fit_ngram_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     segments = 1 << max(0, min(16, (total["n"] >> 16).bit_length()))
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[np.ndarray] = []
         for batch in batches:
             for _, part in text_chunks(batch, "text"):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mixed, read_table, word_hashes
+from .common import Scratch, let_go, mixed, read_table, word_hashes
 
 #: Half-keys on either side and minhashes in each: SIDE * SIDE tables from 2 * SIDE * WIDTH minhashes.
 SIDE, WIDTH = 8, 2
@@ -99,6 +99,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int64())]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             rows = []
             for value in batch.column("text"):
@@ -121,6 +122,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     chosen = docs.join(reps, docs["doc_id"].eqNullSafe(reps["r_id"]) & (docs["mark"] == reps["r_mark"]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = [shingles(v.as_py(), words) for v in batch.column("text")]
             own = pa.array([_fingerprint(s) == c for s, c in zip(found, batch.column("cls").to_pylist(), strict=True)], pa.bool_())  # not another text of the same mark
@@ -134,6 +136,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             good, last, x = [], None, None
             for left, right in zip(batch.column("x"), batch.column("y"), strict=True):

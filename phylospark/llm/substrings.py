@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, read_table, word_hashes
+from .common import let_go, materialised, read_table, word_hashes
 
 #: Bytes of the grams that anchor windows, and of the blocks that are a suffix array's symbols.
 GRAM, BLOCK = 32, 32
@@ -277,6 +277,7 @@ def _bytes(text: str | None, by_words: bool) -> bytes:
 
 def _repeated_anchors(source: DataFrame, length: int, by_words: bool) -> _Filter:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[np.ndarray] = []
         for batch in batches:
             for value in batch.column("text"):
@@ -317,6 +318,7 @@ def _occurrences(source: DataFrame, repeated: _Filter, length: int, by_words: bo
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "cx", "mark", "doc", "first", "n", "off", "context"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         wanted, places, contexts, size = shared.value, [], {}, 0
         for batch in batches:
             for doc, mark, value in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), strict=True):
@@ -361,6 +363,7 @@ def _ranges(contexts: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["h", "cx", "a", "b"])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         groups: list[list[list]] = []
         size = 0
         for batch in batches:
@@ -386,6 +389,7 @@ def _crowded_ranges(contexts: DataFrame, length: int) -> DataFrame:
     """The same for anchors of very many contexts: their windows' hashes are counted by a shuffle, whoever holds them."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for h, cx, n, context in zip(*(batch.column(c).to_pylist() for c in ("h", "cx", "n", "context")), strict=True):
                 (w,) = substring_hashes(np.frombuffer(context, np.uint8), (length,))

@@ -6,6 +6,8 @@ import re
 import unicodedata
 from array import array
 
+from .common import held
+
 #: Entries after which a worker's cache starts anew, so that its memory is bounded.
 CACHE_ENTRIES = 1_000_000
 
@@ -230,14 +232,9 @@ class PrefixBpe:
         return ",".join(ids), "".join(texts)[1:]
 
 
-_LOADED: dict[tuple[type, str], object] = {}
-
-
 def loaded(kind: type, path: str):
     """One instance a worker process; later tasks of the worker find its caches warm."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+    return held((kind, path), lambda: kind(path))
 
 
 def tokenizer_path(name: str) -> str:
