@@ -116,15 +116,22 @@ def neighbourhood(kmers: DataFrame, distance: int) -> DataFrame:
     return kmers
 
 
+#: Neighbours of adaptor k-mers up to which every task holds them all, of about 60 bytes each.
+HELD_KMERS = 1 << 20
+
+
 def trim_adaptors(reads: DataFrame, adaptors: DataFrame, k: int = 21, distance: int = 1) -> DataFrame:
     """Reads cut at the first place where a k-mer within ``distance`` of an adaptor's begins.
 
-    Adaptors are a short list; its k-mers join the reads' by key, so neither side is held whole by a task.
+    Adaptors are a short list. Their k-mers and neighbours are counted first: up to HELD_KMERS are broadcast, so
+    that reads' k-mers are looked up where they are and only reads with a match are shuffled; more meet the reads'
+    k-mers by key.
     """
     own = adaptors.where(F.length("sequence") >= k).select(F.col("name").alias("adaptor"), F.explode(F.transform(F.sequence(F.lit(1), F.length("sequence") - (k - 1)), lambda i: F.substring(F.lower("sequence"), i, F.lit(k)))).alias("kmer"))
     near = neighbourhood(own, distance).groupBy("kmer").agg(F.min("adaptor").alias("adaptor"))
+    few = own.distinct().count() * (1 + 3 * k) ** distance <= HELD_KMERS
     places = reads.where(F.length("sequence") >= k).select("sample", "read_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence") - (k - 1)), lambda i: F.substring(F.lower("sequence"), i, F.lit(k)))).alias("pos", "kmer"))
-    found = places.join(near, "kmer").groupBy("sample", "read_id").agg(F.min(F.struct("pos", "adaptor")).alias("hit"))
+    found = places.join(F.broadcast(near) if few else near, "kmer").groupBy("sample", "read_id").agg(F.min(F.struct("pos", "adaptor")).alias("hit"))
     out = reads.join(found, ["sample", "read_id"], "left")
     keep = F.coalesce(F.col("hit.pos"), F.length("sequence"))
     return out.withColumns({"adaptor": F.col("hit.adaptor"), "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("hit")

@@ -49,7 +49,7 @@ def site_stats(counts: DataFrame, keys: list[str], kind: str = "NT") -> DataFram
     constant = (known == 0) | (F.greatest(*held) == known)
     shared = sum((F.when(c >= 2, 1).otherwise(0) for c in held), F.lit(0))
     kind_of = F.when(constant, "constant").when(shared >= 2, "informative").otherwise("singleton")
-    return out.select(*keys, "pos", "rows", "gaps", "missing", kind_of.alias("class"), F.when(F.col("inner") >= 2, matches).otherwise(0.0).alias("matches"), F.when(F.col("inner") >= 2, pairs(F.col("inner")) - pairs(F.col("gaps"))).otherwise(0.0).alias("pairs"))
+    return out.select(*keys, "pos", "rows", "gaps", (F.col("rows") - F.col("inner")).alias("ends"), "missing", kind_of.alias("class"), F.when(F.col("inner") >= 2, matches).otherwise(0.0).alias("matches"), F.when(F.col("inner") >= 2, pairs(F.col("inner")) - pairs(F.col("gaps"))).otherwise(0.0).alias("pairs"))
 
 
 def column_patterns(aln: DataFrame, keys: list[str], order: str, kind: str = "NT") -> DataFrame:
@@ -122,8 +122,9 @@ def sample_summary(stats: DataFrame) -> DataFrame:
 
 def keep_columns(aln: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     """Rows reduced to the kept sites; ``kept`` has an array of 0-based positions a locus."""
-    s = F.transform(F.array_sort("kept"), lambda p: F.substring(F.col("sequence"), p + 1, F.lit(1)))
-    return aln.join(kept, keys).withColumn("sequence", F.array_join(s, "")).drop("kept")
+    # letters are split once a row, as a substring costs time by its place
+    picked = F.transform(F.array(F.split("sequence", "")), lambda letters: F.array_join(F.transform(F.array_sort("kept"), lambda p: F.get(letters, p)), ""))
+    return aln.join(kept, keys).withColumn("sequence", F.element_at(picked, 1)).drop("kept")
 
 
 def drop_empty_columns(aln: DataFrame, keys: list[str]) -> DataFrame:
@@ -141,28 +142,29 @@ def drop_short_rows(aln: DataFrame, keys: list[str], share: float = 0.3) -> Data
 
 
 def trim_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False) -> DataFrame:
-    """Sites kept by gap share and class.
+    """Rows of the kept sites; see ``kept_columns``."""
+    return keep_columns(aln, kept_columns(aln, keys, mode, gaps, kind, codons), keys)
+
+
+def kept_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False) -> DataFrame:
+    """Sites kept by gap share and class, as an array ``kept`` a locus.
 
     ``gappy``: gap share under ``gaps``; ``kpi``: informative; ``kpic``: informative or constant; either with
     ``-gappy`` for both. ``block-gappy``: only sites before the first and after the last good one go. With
     ``codons`` a codon stays whole if one of its sites does.
     """
     sites = site_stats(site_counts(aln, keys), keys, kind)
-    flat = aln.select(*keys, F.posexplode(F.split("sequence", "")).alias("pos", "residue")).groupBy(*keys, "pos").agg((F.count_if(F.col("residue") == "-") / F.count(F.lit(1))).alias("gap_share"))
-    sites = sites.join(flat, [*keys, "pos"])
-    full = F.col("gap_share") <= gaps
+    full = (F.col("gaps") + F.col("ends")) / F.col("rows") <= gaps
     informative, constant = F.col("class") == "informative", (F.col("class") == "constant") & (F.col("missing") < F.col("rows"))
     good = {"gappy": full, "block-gappy": full, "kpi": informative, "kpic": informative | constant, "kpi-gappy": informative & full, "kpic-gappy": (informative | constant) & full}[mode]
     sites = sites.withColumn("good", good)
     if mode == "block-gappy":
         ends = sites.where("good").groupBy(*keys).agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-        kept = ends.select(*keys, F.sequence("lo", "hi").alias("kept"))
-    else:
-        chosen = sites.where("good")
-        if codons:
-            chosen = chosen.select(*keys, F.floor(F.col("pos") / 3).alias("codon")).distinct().select(*keys, F.explode(F.sequence((F.col("codon") * 3).cast("int"), (F.col("codon") * 3 + 2).cast("int"))).alias("pos"))
-        kept = chosen.groupBy(*keys).agg(F.collect_list("pos").alias("kept"))
-    return keep_columns(aln, kept, keys)
+        return ends.select(*keys, F.sequence("lo", "hi").alias("kept"))
+    chosen = sites.where("good")
+    if codons:
+        chosen = chosen.select(*keys, F.floor(F.col("pos") / 3).alias("codon")).distinct().select(*keys, F.explode(F.sequence((F.col("codon") * 3).cast("int"), (F.col("codon") * 3 + 2).cast("int"))).alias("pos"))
+    return chosen.groupBy(*keys).agg(F.collect_list("pos").alias("kept"))
 
 
 def trim_by_depth(aln: DataFrame, keys: list[str], gaps: float = 0.2) -> DataFrame:
@@ -175,28 +177,26 @@ def trim_by_depth(aln: DataFrame, keys: list[str], gaps: float = 0.2) -> DataFra
 
 
 def pairwise_identity(a: Column, b: Column, kind: str = "NT", skip_gaps: bool = False) -> Column:
-    """Identity in percent over the overlap of two aligned sequences; ambiguity letters match in part."""
-    table = "".join(f" {k}{v:.17g};" for k, v in seq.pair_identity(kind).items() if 0 < v < 1)
-    sets = "".join(sorted(seq.letters(kind)))
+    """Identity in percent over the overlap of two aligned sequences; ambiguity letters match in part.
+
+    A pair of letters is looked up by their codes in a constant array, where -1 stands for pairs that don't count.
+    """
+    letters, low = sorted(seq.letters(kind)), 42
+    values, size = {"".join(sorted(p)): v for p, v in seq.pair_identity(kind).items()}, 91 - low
+    table = [-1.0] * (size * size)
+    for x in letters:
+        for y in letters:
+            if (x, y) != ("-", "-") and not (skip_gaps and "-" in (x, y)):
+                table[(ord(x) - low) * size + ord(y) - low] = float(values.get("".join(sorted(x + y)), 0.0))
+    known = F.array(*map(F.lit, table))
     lead = lambda s: F.length(F.regexp_extract(s, "^(-*)", 1))
     end = lambda s: F.length(F.regexp_replace(s, "-+$", ""))
     first, last = F.greatest(lead(a), lead(b)), F.least(end(a), end(b))
     cut = lambda s: F.split(F.substring(F.upper(s), first + 1, F.greatest(last - first, F.lit(0))), "")
-
-    def one(x: Column, y: Column) -> Column:
-        pair = F.concat(F.least(x, y), F.greatest(x, y))
-        known = (F.instr(F.lit(sets), x) > 0) & (F.instr(F.lit(sets), y) > 0) & (pair != "--")
-        gap = (x == "-") | (y == "-")
-        part = F.regexp_extract(F.substring(F.lit(table), F.instr(F.lit(table), F.concat(F.lit(" "), pair)), F.lit(28)), r"^ ..([0-9.e-]+);", 1)
-        at = F.instr(F.lit(table), F.concat(F.lit(" "), pair)) > 0
-        plain = (x == y) & F.instr(F.lit("".join(k for k, v in seq.letters(kind).items() if len(v) == 1)), x).cast("boolean")
-        value = F.when(plain, 1.0).when(at, part.cast("double")).otherwise(0.0)
-        counted = known & ~gap if skip_gaps else known
-        return F.struct(F.when(counted, value).otherwise(0.0).alias("m"), F.when(counted, 1).otherwise(0).alias("n"))
-
-    pairs = F.zip_with(cut(a), cut(b), one)
-    total = F.aggregate(pairs, F.struct(F.lit(0.0).alias("m"), F.lit(0).alias("n")), lambda acc, p: F.struct((acc.m + p.m).alias("m"), (acc.n + p.n).alias("n")))
-    return F.when(last > first, F.coalesce(F.try_divide(100.0 * total.m, total.n), F.lit(0.0))).otherwise(0.0)
+    value = lambda x, y: F.coalesce(F.get(known, (F.ascii(x) - low) * size + F.ascii(y) - low), F.lit(-1.0))
+    step = lambda acc, v: F.struct((acc.m + F.greatest(v, F.lit(0.0))).alias("m"), (acc.n + F.when(v >= 0, 1).otherwise(0)).alias("n"))
+    total = F.aggregate(F.zip_with(cut(a), cut(b), value), F.struct(F.lit(0.0).alias("m"), F.lit(0).alias("n")), step, lambda acc: F.coalesce(F.try_divide(100.0 * acc.m, acc.n), F.lit(0.0)))
+    return F.when(last > first, total).otherwise(0.0)
 
 
 def filter_paralogs_naive(aln: DataFrame, keys: list[str], min_samples: int = 4) -> DataFrame:
@@ -271,7 +271,16 @@ def sequence_to_sample(aln: DataFrame) -> DataFrame:
 
 
 def codon_align(protein: Column, bases: Column) -> Column:
-    """Codons laid out along an aligned protein; a gap is three gaps."""
-    letters = F.split(protein, "")
-    residue = F.transform(letters, lambda c, i: F.when(c == "-", F.lit("---")).otherwise(F.substring(bases, 3 * F.size(F.filter(F.slice(letters, F.lit(1), i), lambda x: x != "-")) + 1, F.lit(3))))
-    return F.array_join(residue, "")
+    """Codons laid out along an aligned protein; a gap is three gaps.
+
+    Residues between gaps are laid out as one piece, so a row costs time by its length and its gaps.
+    """
+    runs = F.regexp_extract_all(protein, F.lit("-+|[^-]+"), F.lit(0))
+    start = F.struct(F.lit(0).alias("used"), F.lit("").alias("out"))
+
+    def lay(acc: Column, run: Column) -> Column:
+        gap = run.startswith("-")
+        piece = F.when(gap, F.repeat(F.lit("---"), F.length(run))).otherwise(F.substring(bases, acc.used + 1, 3 * F.length(run)))
+        return F.struct((acc.used + F.when(gap, 0).otherwise(3 * F.length(run))).alias("used"), F.concat(acc.out, piece).alias("out"))
+
+    return F.aggregate(runs, start, lay, lambda acc: acc.out)

@@ -100,9 +100,9 @@ def unclipped(sam: DataFrame) -> DataFrame:
 
 
 def sample_of(src_file: str = "src_file", suffix: str = "__ext"):
-    """Sample from a file's directory, without the directory's suffix; null where the name holds the separator twice."""
-    folder = F.element_at(F.split(src_file, "/"), -2)
-    return F.regexp_replace(folder, f"{suffix}$", "")
+    """Sample from a file's directory, without the directory's suffix; null where the name still holds the separator."""
+    name = F.regexp_replace(F.element_at(F.split(src_file, "/"), -2), f"{suffix}$", "")
+    return F.when(~name.contains("__"), name)
 
 
 def import_assembly(records: DataFrame) -> DataFrame:

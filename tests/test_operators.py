@@ -139,7 +139,7 @@ def test_rare_segments_are_masked(spark):
     odd = common[:30] + "".join(random.choice([b for b in "ACGT" if b != c]) for c in common[30:60]) + common[60:]
     aln = spark.createDataFrame([("l", f"r{i}", common) for i in range(12)] + [("l", "odd", odd)], ["locus", "seq_name", "sequence"])
     got = {r["seq_name"]: r for r in grouped.mask_outliers(aln, ["locus"]).collect()}
-    assert got["r0"]["masked"] == 0 and 25 <= got["odd"]["masked"] <= 50 and "N" * 20 in got["odd"]["sequence"]
+    assert got["r0"]["masked"] == 0 and 25 <= got["odd"]["masked"] <= 50 and "?" * 20 in got["odd"]["sequence"]
 
 
 def test_repeats_are_masked(spark):
@@ -170,5 +170,53 @@ def test_phylip_and_nexus_agree_on_rows(spark):
     assert [r["line"] for r in writers.nexus_lines(m).orderBy("ord", "name").collect()][2] == "DIMENSIONS NTAX=2 NCHAR=4;"
 
 
-def test_outlier_runs_need_a_full_window():
-    assert not grouped.outlier_runs(np.ones(3), 5, 0.25, 0.1, 3.0).any()
+def plain_rare(level, sums, cutoff, k):
+    """All two-state paths whose changes take k windows; the most windows agreed with, then the heaviest."""
+
+    def walk(i, state):
+        own = (int((level[i] > cutoff) == bool(state)), sums[i] if state else 0.0)
+        if i == 0:
+            return own[0], own[1], [(0, state)]
+        before = [walk(i - 1, state)] + ([walk(i - k, 1 - state)] if i >= k else [])
+        top = max(before, key=lambda x: x[:2])
+        return top[0] + own[0], top[1] + own[1], [*top[2], (i, state)]
+
+    ends = [walk(len(level) - 1, state) for state in (0, 1)]
+    rare = np.zeros(len(level), bool)
+    for i, state in ends[int(ends[1][0] > ends[0][0])][2]:
+        rare[i] = state
+    return rare
+
+
+def test_rare_windows_equal_all_paths():
+    r = np.random.default_rng(3)
+    for _ in range(40):
+        level = np.where(r.random(12) < 0.4, 5.0, 1.0) + 0.01 * r.random(12)
+        sums = r.random(12)
+        assert (grouped.rare_windows(level, sums, 3.0, 3) == plain_rare(level, sums, 3.0, 3)).all()
+    assert grouped.split_level(np.array([1.0, 9.0, 1.1, 1.2, 8.0])) == 1.2
+    assert grouped.top_share(np.arange(10.0), 0.25) == 7.0 and grouped.top_share(np.arange(3.0), 1) == 0
+    level, sums = grouped.window_levels(np.array([1.0, 5.0, 2.0, 4.0, 3.0, 9.0]), 5)
+    assert level.tolist() == [3.0, 4.0] and sums.tolist() == [15.0, 23.0]
+    assert not len(grouped.window_levels(np.ones(3), 5)[0])
+
+
+def test_an_ambiguity_letter_ends_a_run():
+    w, none = np.concatenate([np.ones(40), np.full(34, 9.0), np.ones(40)]), np.zeros(114, bool)
+    cut = none.copy()
+    cut[57] = True
+    whole = grouped.rare_residues(w, [0.0] * 3, 3.0, none)
+    assert whole[40:74].all() and whole.sum() <= 54
+    only = grouped.PASSES
+    try:
+        grouped.PASSES = only[:1]  # runs under 30
+        assert not grouped.rare_residues(w, [0.0], 3.0, none).any() and grouped.rare_residues(w, [0.0], 3.0, cut)[40:74].all()
+    finally:
+        grouped.PASSES = only
+
+
+def test_greedy_paths_by_hand(spark):
+    cols = "k int, hit_id long, wscore double, identity double, q_start long, q_end long, region string"
+    rows = [(1, 1, 0.9, 90.0, 0, 100, "proximal"), (1, 2, 0.8, 91.0, 90, 200, "distal"), (1, 3, 0.7, 80.0, 210, 300, "distal"), (1, 4, 0.6, 90.5, 5, 95, "middle"), (1, 5, 0.5, 90.0, 0, 300, "full"), (1, 6, 0.4, 89.0, 250, 300, "distal"), (2, 7, 0.1, 70.0, 0, 300, "full")]
+    got = {r["hit_id"]: r["path"] for r in grouped.greedy_paths(spark.createDataFrame(rows, cols), ["k"]).collect()}
+    assert got == {1: "path0", 2: "path0", 3: "path1", 4: "path2", 5: "full0", 6: "path0", 7: "full0"}
