@@ -202,15 +202,15 @@ def test_rare_windows_equal_all_paths():
 
 
 def test_an_ambiguity_letter_ends_a_run():
-    w, none = np.concatenate([np.ones(40), np.full(34, 9.0), np.ones(40)]), np.zeros(114, bool)
+    w, none = np.concatenate([np.ones(240), np.full(34, 9.0), np.ones(240)]), np.zeros(514, bool)
     cut = none.copy()
-    cut[57] = True
+    cut[257] = True
     whole = grouped.rare_residues(w, [0.0] * 3, 3.0, none)
-    assert whole[40:74].all() and whole.sum() <= 54
+    assert whole[240:274].all() and whole.sum() <= 54
     only = grouped.PASSES
     try:
         grouped.PASSES = only[:1]  # runs under 30
-        assert not grouped.rare_residues(w, [0.0], 3.0, none).any() and grouped.rare_residues(w, [0.0], 3.0, cut)[40:74].all()
+        assert not grouped.rare_residues(w, [0.0], 3.0, none).any() and grouped.rare_residues(w, [0.0], 3.0, cut)[240:274].all()
     finally:
         grouped.PASSES = only
 
