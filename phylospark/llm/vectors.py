@@ -247,7 +247,9 @@ def search_learned(
     if n and probes < len(sizes):
         hits = materialised(hits, "hits")
         enough = hits.groupBy(F.col("query_id").alias("vec_id")).agg(F.sum(F.size("hits")).alias("found")).where(F.col("found") >= k)
-        short = asked.join(enough, "vec_id", "left_anti")
+        short = materialised(asked.join(enough, "vec_id", "left_anti"), "short")
+        if not short.limit(1).count():
+            return _merged(hits, k, "double")
         rest = F.array_except(F.array(*[F.lit(p) for p in sizes]), F.slice("parts", 1, probes))
         far = short.mapInArrow(lambda b: placed(b, probes), schema).select("vec_id", "v", F.explode(rest).alias("part"))
         hits = hits.union(met(far))
