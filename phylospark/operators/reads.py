@@ -144,13 +144,13 @@ def adaptor_counts(trimmed: DataFrame, samples: list[str] | None = None) -> Data
     return wide.withColumn("total", total).orderBy(F.desc("total"), "adaptor")
 
 
-def sample_reads(reads: DataFrame, bases: int, seed: int = 0, slots: int = 256) -> DataFrame:
+def sample_reads(reads: DataFrame, bases: int, seed: int = 0) -> DataFrame:
     """Fragments in a seeded order until a sample has ``bases`` bases; mates stay together.
 
     Bases are summed per hash slot first, so a sample's order is taken slot by slot, not in one sort.
     """
-    key = F.xxhash64("read_id", F.lit(seed))
-    slot = F.pmod(key, F.lit(slots))
+    key = F.md5(F.concat("read_id", F.lit(str(seed))).cast("binary"))
+    slot = F.substring(key, 1, 2)  # 256 of them
     fragments = reads.groupBy("sample", "read_id").agg(F.sum(F.length("sequence")).alias("n")).withColumns({"key": key, "slot": slot})
     slots_ = fragments.groupBy("sample", "slot").agg(F.sum("n").alias("m"))
     before = slots_.withColumn("before", F.sum("m").over(Window.partitionBy("sample").orderBy("slot")) - F.col("m"))

@@ -39,6 +39,31 @@ def seed_hits(targets: DataFrame, contigs: DataFrame, k: int = 15, min_seeds: in
     return out.where(F.col("seeds") >= min_seeds).withColumns({"t_start": F.col("q_start") + F.col("diagonal"), "t_end": F.col("q_end") + F.col("diagonal")})
 
 
+def _placed(hits: DataFrame, strand: Column, start: Column, end: Column) -> DataFrame:
+    size = F.col("contig.length")
+    minus = strand == "-"
+    places = {"t_start": F.when(minus, size - end).otherwise(start), "t_end": F.when(minus, size - start).otherwise(end)}
+    return hits.withColumns({"strand": strand, **places})
+
+
+def seed_hits_on_both_strands(targets: DataFrame, contigs: DataFrame, k: int = 15, min_seeds: int = 3) -> DataFrame:
+    """``seed_hits`` of targets on contigs and on their reverse complements, in places of the contig as it is."""
+    own = contigs.select("contig", F.length("sequence").alias("length"), F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.upper("sequence").alias("s")), F.struct(F.lit("-").alias("strand"), seq.reverse_complement(F.upper("sequence")).alias("s")))).alias("x"))
+    own = own.select(F.struct("contig", "length", "x.strand").alias("contig"), F.col("x.s").alias("sequence"))
+    out = _placed(seed_hits(targets, own, k, min_seeds), F.col("contig.strand"), F.col("t_start"), F.col("t_end"))
+    return out.select("target", F.col("contig.contig").alias("contig"), "strand", "diagonal", "seeds", "q_start", "q_end", "t_start", "t_end")
+
+
+def translated_hits(proteins: DataFrame, contigs: DataFrame, k: int = 7, min_seeds: int = 3, code: int = 1) -> DataFrame:
+    """Ungapped hits of protein targets on the six translations of contigs, in places of the contig's bases."""
+    frames = (1, 2, 3, -1, -2, -3)
+    tried = F.explode(F.array(*[F.struct(F.lit(f).alias("frame"), seq.translate(F.col("sequence"), code, f).alias("s")) for f in frames])).alias("x")
+    own = contigs.select("contig", F.length("sequence").alias("length"), tried).select(F.struct("contig", "length", "x.frame").alias("contig"), F.col("x.s").alias("sequence"))
+    shift, frame = F.abs("contig.frame") - 1, F.col("contig.frame")
+    out = _placed(seed_hits(proteins, own, k, min_seeds), F.when(frame < 0, "-").otherwise("+"), 3 * F.col("t_start") + shift, 3 * F.col("t_end") + shift)
+    return out.select("target", F.col("contig.contig").alias("contig"), frame.alias("frame"), "diagonal", "seeds", "q_start", "q_end", "t_start", "t_end")
+
+
 def colinear_hits(seeds: DataFrame, max_shift: int = 50) -> DataFrame:
     """Hits of near diagonals joined: block starts and sizes in order, matches and inserts, as hit rows."""
     w = Window.partitionBy("target", "contig").orderBy("diagonal")
@@ -63,12 +88,9 @@ def _edges(seqs: DataFrame, keys: list[str], identity: float, coverage: float, k
     """Pairs whose shared k-mers reach ``coverage`` of the shorter one and, by the Mash formula, ``identity``."""
     marks = kmers(seqs, [*keys, name], k).select(*keys, name, canonical(F.col("kmer")).alias("kmer")).distinct()
     sizes = marks.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n"))
-    # a bottom sketch of each sequence finds candidates; all k-mers then decide
-    rank = F.row_number().over(Window.partitionBy(*keys, name).orderBy(F.xxhash64("kmer")))
-    sketch = marks.withColumn("r", rank).where("r <= 24").drop("r")
-    other = lambda f: f.select(*keys, F.col(name).alias("other"), "kmer")
-    pairs = sketch.join(other(sketch), [*keys, "kmer"]).where(F.col(name) < F.col("other")).select(*keys, name, "other").distinct()
-    shared = pairs.join(marks, [*keys, name]).join(other(marks), [*keys, "other", "kmer"]).groupBy(*keys, name, "other").agg(F.count(F.lit(1)).alias("shared"))
+    # every shared k-mer is counted, so a short sequence inside a long one is found at any ratio of lengths
+    other = marks.select(*keys, F.col(name).alias("other"), "kmer")
+    shared = marks.join(other, [*keys, "kmer"]).where(F.col(name) < F.col("other")).groupBy(*keys, name, "other").agg(F.count(F.lit(1)).alias("shared"))
     n2 = sizes.select(*keys, F.col(name).alias("other"), F.col("n").alias("n2"))
     judged = shared.join(sizes, [*keys, name]).join(n2, [*keys, "other"])
     least = F.least("n", "n2")
@@ -79,11 +101,16 @@ def _edges(seqs: DataFrame, keys: list[str], identity: float, coverage: float, k
 def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 75.0, coverage: float = 50.0, k: int = 11, name: str = "name", save=None) -> DataFrame:
     """Greedy clusters: members meet identity and coverage with their centroid; longer sequences lead.
 
-    In rounds, a sequence that is the longest among its open neighbours becomes a centroid and takes them;
-    rounds end when none is open. ``save`` writes a frame out and reads it back to cut its lineage.
+    Equal sequences are one from the start and share a centroid. In rounds, a sequence that is the longest among
+    its open neighbours becomes a centroid and takes them; rounds end when none is open. Different sequences that
+    are all near one another cost a row for each pair and shared k-mer. ``save`` writes a frame out and reads it back to cut its lineage.
     """
     keys = list(keys)
     save = save or (lambda f: f.checkpoint())
+    text = F.upper("sequence")
+    lead = save(seqs.groupBy(*keys, text.alias("sequence")).agg(F.min(name).alias("lead")))
+    copies = save(seqs.select(*keys, name, text.alias("sequence")).join(lead, [*keys, "sequence"]).select(*keys, F.col("lead").alias("member"), F.col(name).alias("copy")))
+    seqs = lead.withColumnRenamed("lead", name)
     edges = save(_edges(seqs, keys, identity, coverage, k, name))
     both = save(edges.select(*keys, F.col(name).alias("a"), F.col("other").alias("b")).union(edges.select(*keys, F.col("other").alias("a"), F.col(name).alias("b"))))
     open_ = save(seqs.select(*keys, F.col(name).alias("a"), (-F.length("sequence")).alias("p")))
@@ -99,7 +126,7 @@ def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 7
         done = new if done is None else done.union(new)
         open_ = save(open_.join(new.select(*keys, F.col("member").alias("a")), [*keys, "a"], "left_anti"))
         if not open_.limit(1).count():
-            return done
+            return done.join(copies, [*keys, "member"]).select(*keys, "centroid", F.col("copy").alias("member"))
 
 
 def strand_votes(seqs: DataFrame, clusters: DataFrame, k: int = 15, name: str = "name") -> DataFrame:

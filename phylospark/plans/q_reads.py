@@ -100,7 +100,7 @@ def adaptor_trim(spark, sf_dir):
     return out.select("sample", "read_id", "adaptor", F.length("sequence").alias("kept"))
 
 
-@query("l04_sample_reads")
+@query("l04_sample_reads", f"with {READS}, f as (select sample, read_id, sum(length(sequence)) as n from reads group by 1, 2), r as (select *, sum(n) over (partition by sample order by md5(read_id || '0'), read_id rows unbounded preceding) as upto from f) select sample, read_id from reads join r using (sample, read_id) where upto <= 20000")
 def sample_reads(spark, sf_dir):
     return ops.sample_reads(views.reads(spark, sf_dir), bases=20_000).select("sample", "read_id")
 

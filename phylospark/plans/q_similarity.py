@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from phylospark.functions import seq
 from phylospark.operators import grouped, similarity
 from phylospark.operators import hits as hit_ops
 from phylospark.operators import sites as site_ops
@@ -13,6 +14,7 @@ from phylospark.sources import readers, writers
 from phylospark.streaming.ingest import ingest_new
 
 from . import views
+from .q_assembly import _REV, _aa
 from .registry import query
 from .views import ALIGNMENTS, CONTIGS, EXTRACTION, READS
 
@@ -62,6 +64,28 @@ def seed_hits(spark, sf_dir):
     return _seeds(spark, sf_dir)
 
 
+_TARGETS = f"tg as (select cast(item_id as varchar) as target, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{views._FROM}', '{views._TO}')) as s from benchmark)"
+
+
+def _benchmark_targets(spark, sf_dir):
+    text = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), views._FROM, views._TO)
+    return views.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("target"), text.alias("sequence"))
+
+
+@query("q10_both_strands", f"with {CONTIGS}, {_TARGETS}, ct as (select contig, length, '+' as strand, upper(sequence) as s from contigs where length >= 21 union all select contig, length, '-', translate(reverse(upper(sequence)), 'ACGT', 'TGCA') from contigs where length >= 21), a as (select target, i as q, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from tg where length(s) >= 21)), b as (select contig, length, strand, i as t, substr(s, i, 21) as kmer from (select *, unnest(range(1, length(s) - 19)) as i from ct)), h as (select target, contig, length, strand, t - q as diagonal, count(*) as seeds, min(q) - 1 as q_start, max(q) + 20 as q_end from a join b using (kmer) group by all having count(*) >= 3) select target, contig, strand, diagonal, seeds, q_start, q_end, case when strand = '-' then length - (q_end + diagonal) else q_start + diagonal end as t_start, case when strand = '-' then length - (q_start + diagonal) else q_end + diagonal end as t_end from h")
+def both_strands(spark, sf_dir):
+    return similarity.seed_hits_on_both_strands(_benchmark_targets(spark, sf_dir), views.contigs(spark, sf_dir).where("length >= 21"), k=21)
+
+
+_SIX = " union all ".join(f"select contig, length, {f} as frame, {_aa('upper(sequence)' if f > 0 else _REV, f)} as s from contigs where length >= 21" for f in (1, 2, 3, -1, -2, -3))
+
+
+@query("q10_translated", f"with {CONTIGS}, {_TARGETS}, pt as (select target, {_aa('s', 1)} as s from tg), ct as ({_SIX}), a as (select target, i as q, substr(s, i, 7) as kmer from (select *, unnest(range(1, length(s) - 5)) as i from pt where length(s) >= 7)), b as (select contig, length, frame, i as t, substr(s, i, 7) as kmer from (select *, unnest(range(1, length(s) - 5)) as i from ct where length(s) >= 7)), h as (select target, contig, length, frame, t - q as diagonal, count(*) as seeds, min(q) - 1 as q_start, max(q) + 6 as q_end from a join b using (kmer) group by all having count(*) >= 3), p as (select *, 3 * (q_start + diagonal) + abs(frame) - 1 as f, 3 * (q_end + diagonal) + abs(frame) - 1 as l from h) select target, contig, cast(frame as int) as frame, diagonal, seeds, q_start, q_end, case when frame < 0 then length - l else f end as t_start, case when frame < 0 then length - f else l end as t_end from p")
+def translated(spark, sf_dir):
+    proteins = _benchmark_targets(spark, sf_dir).withColumn("sequence", seq.translate(F.col("sequence")))
+    return similarity.translated_hits(proteins, views.contigs(spark, sf_dir).where("length >= 21"), k=7)
+
+
 @query("q10_colinear_hits", f"with {_SEEDS}, l as (select *, diagonal - lag(diagonal) over (partition by target, contig order by diagonal) as d from seeds), c as (select *, sum(case when d > 50 then 1 else 0 end) over (partition by target, contig order by diagonal) as chain from l) select target, contig, min(q_start) as q_start, max(q_end) as q_end, min(q_start + diagonal) as t_start, max(q_end + diagonal) as t_end, cast(sum(seeds) as bigint) as seeds, cast(count(*) as int) as block_count from c group by target, contig, chain")
 def colinear_hits(spark, sf_dir):
     return similarity.colinear_hits(_seeds(spark, sf_dir)).drop("block_sizes", "q_starts", "t_starts")
@@ -74,7 +98,7 @@ def deduplicated(spark, sf_dir):
 
 @query("q11_clusters")
 def clusters(spark, sf_dir):
-    c = views.contigs(spark, sf_dir).where("length >= 100").select(F.col("contig").alias("name"), "sequence")
+    c = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), "sequence")
     return similarity.cluster_sequences(c, identity=90.0, coverage=50.0, k=15, save=_saver(spark))
 
 

@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder with data."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(at) and any(not f.getPath().getName().startswith(("_", ".")) for f in files.listStatus(at))
+
+
 def ingest_new(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, overwrite: bool = False, key: str = "sample", fmt: str = "parquet") -> None:
     """Process the files of ``source`` that the checkpoint hasn't seen and write them partitioned by ``key``.
 
@@ -18,13 +25,9 @@ def ingest_new(spark: SparkSession, source: str, schema: str, target: str, check
 
     def put(batch: DataFrame, number: int) -> None:
         rows = transform(batch) if transform else batch
-        if not overwrite:
-            try:
-                done = spark.read.parquet(target).select(key).distinct()
-                rows = rows.join(done, key, "left_anti")
-            except Exception as e:  # the first batch finds no target
-                if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                    raise
+        if not overwrite and _holds_files(spark, target):
+            done = spark.read.parquet(target).select(key).distinct()
+            rows = rows.join(done, key, "left_anti")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(target)
 
     query = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

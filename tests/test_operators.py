@@ -123,6 +123,32 @@ def test_clusters_hold_members_near_their_centroid(spark):
     assert got == {f"{i}_{j}": f"{i}_0" for i in range(4) for j in range(3)}
 
 
+def test_a_short_sequence_inside_a_long_one_is_clustered(spark):
+    random.seed(6)
+    draw = lambda n: "".join(random.choice("ACGT") for _ in range(n))
+    big = draw(20_000)
+    rows = [("big", big), ("inside", big[9_000:9_200]), ("copy", big[9_000:9_200].lower()), ("other", draw(200)), ("tiny", "ACG")]
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    got = {r["member"]: r["centroid"] for r in similarity.cluster_sequences(spark.createDataFrame(rows, ["name", "sequence"]), identity=90.0, k=15).collect()}
+    assert got == {"big": "big", "inside": "big", "copy": "big", "other": "other", "tiny": "tiny"}
+
+
+def test_hits_on_the_other_strand_and_in_frames(spark):
+    random.seed(7)
+    draw = lambda n: "".join(random.choice("ACGT") for _ in range(n))
+    target = draw(90)
+    back = target[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    contigs = spark.createDataFrame([("plus", draw(31) + target + draw(20)), ("minus", draw(40) + back + draw(11))], ["contig", "sequence"])
+    targets = spark.createDataFrame([("t", target)], ["target", "sequence"])
+    got = {(r["contig"], r["strand"], r["t_start"], r["t_end"]) for r in similarity.seed_hits_on_both_strands(targets, contigs, k=21).collect()}
+    assert got == {("plus", "+", 31, 121), ("minus", "-", 40, 130)}
+    from phylospark.functions import seq
+
+    proteins = targets.withColumn("sequence", seq.translate(targets["sequence"]))
+    got = {(r["contig"], r["frame"], r["t_start"], r["t_end"]) for r in similarity.translated_hits(proteins, contigs, k=7).collect()}
+    assert got == {("plus", 2, 31, 121), ("minus", -3, 40, 130)}
+
+
 def test_windows_of_a_bait(spark):
     got = targets.tile(spark.createDataFrame([("a", "ac-gtac"), ("b", "ac")], ["name", "sequence"]), length=4).collect()
     assert [(r["bait_no"], r["bait"]) for r in got] == [(1, "ACGT"), (2, "CGTA"), (3, "GTAC")]
