@@ -28,8 +28,16 @@ def mean_contig_depth(frame: DataFrame, keys: list[str], names: str = "contigs")
     return frame.select(*keys, F.try_divide(F.aggregate(depths, F.lit(0.0), lambda a, x: a + x), F.size(depths)).alias("mean_depth"))
 
 
-def filter_contigs(contigs: DataFrame, max_gc: float = 100.0, min_depth: float = 1.5) -> DataFrame:
-    """Every contig with its GC percentage and whether it is accepted."""
+#: Least depth of a contig where none is given, with depths from mapped reads and without.
+AUTO_DEPTH = {True: 1.5, False: 1.0001}
+
+
+def filter_contigs(contigs: DataFrame, max_gc: float = 100.0, min_depth: float | None = None, mapped: bool = True) -> DataFrame:
+    """Every contig with its GC percentage and whether it is accepted.
+
+    Without ``min_depth`` it depends on whether depths come from mapped reads.
+    """
+    min_depth = AUTO_DEPTH[mapped] if min_depth is None else min_depth
     gc = F.round(F.coalesce(seq.gc_percent_strict(F.col("sequence")), F.lit(0.0)), 5)
     return contigs.withColumn("gc", gc).withColumn("accepted", (F.col("gc") <= max_gc) & (F.col("depth") >= min_depth))
 
@@ -51,6 +59,18 @@ def nx_lx(contigs: DataFrame, keys: list[str], shares: tuple[float, ...] = (0.5,
     return run.groupBy(*keys).agg(*found)
 
 
+def fragmentation(blocks: DataFrame, keys: list[str], reference: str, shares: tuple[float, ...] = (0.5, 0.9)) -> DataFrame:
+    """Nx, Lx of the blocks' ``length`` per group, and NGx, LGx against the length of its reference; 0 where that isn't reached."""
+    own = nx_lx(blocks, keys, shares)
+    down = Window.partitionBy(*keys).orderBy(F.desc("length"), F.desc("block"))
+    run = blocks.select(*keys, "length", reference, F.struct("*").alias("block")).withColumns({"upto": F.sum("length").over(down), "n": F.row_number().over(down)})
+    found = []
+    for x in shares:
+        reached = F.col("upto") >= F.col(reference) * x
+        found += [F.coalesce(F.max(F.when(reached, F.col("length"))), F.lit(0)).alias(f"ng{round(100 * x)}"), F.coalesce(F.min(F.when(reached, F.col("n"))), F.lit(0)).alias(f"lg{round(100 * x)}")]
+    return own.join(run.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_contigs"), *found), keys)
+
+
 def assembly_stats(contigs: DataFrame, keys: list[str]) -> DataFrame:
     """Numbers, lengths, GC, depth and shares of long contigs per group."""
     u = F.upper("sequence")

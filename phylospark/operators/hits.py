@@ -96,6 +96,18 @@ def overlap(a: Column, b: Column) -> Column:
     return F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + F.aggregate(b, F.lit(0).cast("long"), lambda c, y: c + F.greatest(F.lit(0), F.least(x.e, y.e) - F.greatest(x.s, y.s)).cast("long")))
 
 
+def overlap_kinds(a: Column, b: Column) -> Column:
+    """For each pair of blocks of two hits N (apart), F (one inside the other) or P (partly shared)."""
+    kind = lambda x, y: F.when((x.s >= y.e) | (y.s >= x.e), "N").when(((y.s <= x.s) & (y.e >= x.e)) | ((x.s <= y.s) & (x.e >= y.e)), "F").otherwise("P")
+    apart = (F.element_at(a, -1).e <= F.element_at(b, 1).s) | (F.element_at(b, -1).e <= F.element_at(a, 1).s)
+    return F.when(apart, "N").otherwise(F.array_join(F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: kind(x, y)))), ","))
+
+
+def overlap_percent(a: Column, b: Column, a_length: Column, b_length: Column) -> Column:
+    """Bases that two hits share as a percentage of the longer hit."""
+    return F.try_divide(100.0 * overlap(a, b), F.greatest(a_length, b_length))
+
+
 def extract_blocks(sequence: Column, blocks: Column, flank: int = FLANK) -> Column:
     """Matched blocks in upper case with what lies between and beside them in lower case."""
     first, last = F.element_at(blocks, 1).s, F.element_at(blocks, -1).e
@@ -216,3 +228,18 @@ def gff_lines(hits: DataFrame, source: str = "phylospark") -> DataFrame:
     lo, hi = F.least("t_start", "t_end") + 1, F.greatest("t_start", "t_end")
     attributes = F.concat_ws(";", F.concat(F.lit("ID="), F.col("hit_id").cast("string")), F.concat(F.lit("Name="), F.replace(F.url_encode(F.concat_ws(" ", F.col("locus").cast("string"), F.col("target").cast("string"))), F.lit("+"), F.lit("%20"))), F.concat(F.lit("WScore="), F.format_number("wscore", 5)))
     return hits.select("sample", F.concat_ws("\t", F.col("contig").cast("string"), F.lit(source), F.lit("match"), lo.cast("string"), hi.cast("string"), F.format_number("identity", 2), F.col("strand"), F.lit("."), attributes).alias("line"))
+
+
+def gff_block_lines(hits: DataFrame, kind: str, source: str = "phylospark", parent: bool = False) -> DataFrame:
+    """GFF3 lines of hits, one a block of ``blocks`` (0-based, half-open), numbered by ``part``.
+
+    With ``parent`` a hit has an mRNA line over all its blocks before them, as part 0.
+    """
+    one = lambda s, e, feature: F.struct(s.alias("s"), e.alias("e"), F.lit(feature).alias("feature"))
+    own = F.transform("blocks", lambda b: one(F.least(b.s, b.e) + 1, F.greatest(b.s, b.e), kind))
+    if parent:
+        own = F.concat(F.array(one(F.array_min(F.transform("blocks", lambda b: F.least(b.s, b.e))) + 1, F.array_max(F.transform("blocks", lambda b: F.greatest(b.s, b.e))), "mRNA")), own)
+    flat = hits.select("*", F.posexplode(own).alias("part", "x")).withColumn("part", F.col("part") + (0 if parent else 1))
+    quoted = lambda c: F.replace(F.url_encode(F.col(c).cast("string")), F.lit("+"), F.lit("%20"))
+    attributes = F.concat_ws(";", F.concat(F.lit("ID="), F.col("hit_id").cast("string")), F.concat(F.lit("Name="), quoted("locus")), F.concat(F.lit("Identity="), F.format_string("%.2f", "identity")), F.concat(F.lit("Coverage="), F.format_string("%.2f", "coverage")), F.concat(F.lit("Depth="), F.format_string("%.4f", "depth")), F.concat(F.lit("Target="), quoted("target")))
+    return flat.select("sample", "hit_id", "part", F.concat_ws("\t", quoted("contig"), F.lit(source), "x.feature", F.col("x.s").cast("string"), F.col("x.e").cast("string"), F.format_string("%.3f", "wscore"), "strand", F.lit("."), attributes).alias("line"))

@@ -146,7 +146,7 @@ def retained_exons(lengths: DataFrame, exons: DataFrame, keys: list[str]) -> Dat
 
 def curate_clusters(aln: DataFrame, focal: DataFrame, outgroup: DataFrame, addons: DataFrame, keys: list[str], bait_length: int = 120, gaps: float = 0.2) -> DataFrame:
     """Clusters cut to their well-filled middle, rows of a bait's length and more, with counts of who is in them."""
-    cut = sites.trim_by_depth(aln, keys, gaps)
+    cut = sites.trim_by_depth(aln, keys, gaps, addons)
     rows = cut.where(F.length(F.regexp_replace("sequence", "-", "")) >= bait_length)
     flag = lambda frame, name: frame.select("sample").distinct().withColumn(name, F.lit(True))
     own = rows.join(flag(focal, "focal"), "sample", "left").join(flag(outgroup, "outgroup"), "sample", "left").join(flag(addons, "addon"), "sample", "left")

@@ -137,6 +137,100 @@ def trim_adaptors(reads: DataFrame, adaptors: DataFrame, k: int = 21, distance:
     return out.withColumns({"adaptor": F.col("hit.adaptor"), "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("hit")
 
 
+def trim_adaptor_tips(reads: DataFrame, adaptors: DataFrame, least: int = 11, k: int = 21, distance: int = 1) -> DataFrame:
+    """Reads cut where their end is the start of an adaptor, ``least`` to ``k`` - 1 bases of it, within ``distance``.
+
+    The longest such end goes. A read gives one row a length, looked up among the starts' neighbours: a short
+    list of known size, broadcast up to HELD_KMERS.
+    """
+    lengths = F.sequence(F.lit(least), F.lit(k - 1))
+    starts = adaptors.select(F.col("name").alias("adaptor"), F.explode(F.transform(F.filter(lengths, lambda n: n <= F.length("sequence")), lambda n: F.substring(F.lower("sequence"), F.lit(1), n))).alias("kmer"))
+    near = neighbourhood(starts, distance).groupBy("kmer").agg(F.min("adaptor").alias("tip"))
+    few = starts.count() * (1 + 3 * k) ** distance <= HELD_KMERS
+    ends = reads.select("sample", "read_id", F.explode(F.transform(F.filter(lengths, lambda n: n <= F.length("sequence")), lambda n: F.substring(F.lower("sequence"), F.length("sequence") - n + 1, n))).alias("kmer"))
+    found = ends.join(F.broadcast(near) if few else near, "kmer").groupBy("sample", "read_id").agg(F.max(F.length("kmer")).alias("off"), F.max_by("tip", F.length("kmer")).alias("tip"))
+    out = reads.join(found, ["sample", "read_id"], "left")
+    keep = F.length("sequence") - F.coalesce(F.col("off"), F.lit(0))
+    named = F.coalesce(F.col("adaptor"), F.col("tip")) if "adaptor" in reads.columns else F.col("tip")
+    return out.withColumns({"adaptor": named, "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("off", "tip")
+
+
+#: K, least k at the tip, and distance of the two rounds of adaptor trimming.
+ADAPTOR_ROUNDS = ((21, 11, 2), (19, 9, 1))
+
+
+def trim_adaptors_in_rounds(reads: DataFrame, adaptors: DataFrame, rounds=ADAPTOR_ROUNDS, min_length: int = MIN_LENGTH) -> DataFrame:
+    """Rounds of ``trim_adaptors`` and ``trim_adaptor_tips``; reads that get short are dropped, columns name each round's adaptor."""
+    names = reads.columns
+    for n, (k, least, distance) in enumerate(rounds, 1):
+        cut = trim_adaptor_tips(trim_adaptors(reads, adaptors, k, distance), adaptors, least, k, distance)
+        names = [*names, f"adaptor_{n}"]
+        reads = cut.withColumnRenamed("adaptor", f"adaptor_{n}").where(F.length("sequence") >= min_length).select(*names)
+    return reads
+
+
+def trim_poly_a(reads: DataFrame, least: int = 4) -> DataFrame:
+    """Runs of A or of T at either end, ``least`` long or longer, cut from RNA reads."""
+    run = f"(?:[aA]{{{least},}}|[tT]{{{least},}})"
+    lead = F.length(F.regexp_extract("sequence", f"^({run})", 1))
+    rest = F.substring(F.col("sequence"), F.col("lead") + 1, F.length("sequence"))
+    own = reads.withColumn("lead", lead).withColumn("kept", F.length(F.regexp_replace(rest, f"{run}$", "")))
+    return own.withColumns({c: F.substring(F.col(c), F.col("lead") + 1, F.col("kept")) for c in ("sequence", "quality")}).drop("lead", "kept")
+
+
+def trim_pairs_evenly(reads: DataFrame, fragment: str = "fragment") -> DataFrame:
+    """Both mates of a fragment cut to the shorter one's length."""
+    shortest = reads.groupBy("sample", fragment).agg(F.min(F.length("sequence")).alias("__n"))
+    return reads.join(shortest, ["sample", fragment]).withColumns({c: F.substring(F.col(c), F.lit(1), F.col("__n")) for c in ("sequence", "quality")}).drop("__n")
+
+
+def drop_contaminated(reads: DataFrame, contaminants: DataFrame, k: int = 31, distance: int = 1) -> DataFrame:
+    """Reads without a k-mer within ``distance`` of a contaminant's, on either strand.
+
+    Contaminants are a short list; their k-mers' neighbours are broadcast up to HELD_KMERS, more meet by key.
+    """
+    windows = lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1)), lambda i: F.substring(F.lower(s), i, F.lit(k)))
+    own = contaminants.where(F.length("sequence") >= k).select(F.explode(windows(F.col("sequence"))).alias("kmer"))
+    own = own.union(own.select(seq.reverse_complement(F.col("kmer")))).distinct()
+    few = own.count() * (1 + 3 * k) ** distance <= HELD_KMERS
+    near = neighbourhood(own, distance)
+    met = reads.where(F.length("sequence") >= k).select("sample", "read_id", F.explode(windows(F.col("sequence"))).alias("kmer")).join(F.broadcast(near) if few else near, "kmer", "left_semi")
+    return reads.join(met.select("sample", "read_id").distinct(), ["sample", "read_id"], "left_anti")
+
+
+def qc_report(before: DataFrame, after: DataFrame, adaptor_content: DataFrame | None = None) -> DataFrame:
+    """Per sample: reads and bases in and out with their shares, mean length against before, shares of reads of quality 20 and 30, GC.
+
+    ``adaptor_content`` (sample, mate, position, pct) adds the mean over mates of the highest adaptor share at a place.
+    """
+    def totals(reads: DataFrame, end: str) -> DataFrame:
+        q = phred(F.col("quality"))
+        mean = F.floor(F.aggregate(q, F.lit(0), lambda a, x: a + x) / F.size(q))
+        own = reads.select("sample", F.length("sequence").alias("n"), mean.alias("q"), F.floor(F.coalesce(seq.gc_percent_strict(F.col("sequence")), F.lit(0.0)) + 0.5).alias("gc"))
+        share = lambda c, name: F.round(100.0 * F.count_if(c) / F.count(F.lit(1)), 4).alias(name)
+        out = [F.count(F.lit(1)).alias(f"reads_{end}"), F.sum("n").alias(f"bases_{end}")]
+        if end == "out":
+            out += [share(F.col("q") >= 20, "pct_reads_q20"), share(F.col("q") >= 30, "pct_reads_q30"), F.round(F.avg("gc"), 4).alias("mean_gc")]
+        return own.groupBy("sample").agg(*out)
+
+    both = totals(before, "in").join(totals(after, "out"), "sample", "left").na.fill(0, ["reads_out", "bases_out"])
+    pct = lambda a, b: F.round(F.try_divide(100.0 * a, b), 4)
+    c = F.col
+    out = both.withColumns({"pct_reads": pct(c("reads_out"), c("reads_in")), "pct_bases": pct(c("bases_out"), c("bases_in")), "pct_mean_length": pct(F.try_divide(c("bases_out"), c("reads_out")), F.try_divide(c("bases_in"), c("reads_in")))})
+    if adaptor_content is None:
+        return out
+    top = adaptor_content.groupBy("sample", "mate").agg(F.max("pct").alias("top")).groupBy("sample").agg(F.round(F.avg("top"), 4).alias("pct_adaptor"))
+    return out.join(top, "sample", "left")
+
+
+def adaptor_content(reads: DataFrame, trimmed: DataFrame) -> DataFrame:
+    """Share of a sample's reads in which an adaptor has begun at each place, from the cut of ``trimmed``; a row a place where one begins."""
+    all_ = reads.groupBy("sample", "mate").agg(F.count(F.lit(1)).alias("all"))
+    begun = trimmed.where(F.col("adaptor").isNotNull()).groupBy("sample", "mate", F.length("sequence").alias("position")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("sample", "mate").orderBy("position")
+    return begun.withColumn("n", F.sum("n").over(w)).join(all_, ["sample", "mate"]).select("sample", "mate", "position", F.round(100.0 * F.col("n") / F.col("all"), 4).alias("pct"))
+
+
 def adaptor_counts(trimmed: DataFrame, samples: list[str] | None = None) -> DataFrame:
     """Reads per adaptor, a column a sample, most frequent first."""
     wide = trimmed.where(F.col("adaptor").isNotNull()).groupBy("adaptor").pivot("sample", samples).count().na.fill(0)

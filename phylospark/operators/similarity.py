@@ -129,6 +129,21 @@ def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 7
             return done.join(copies, [*keys, "member"]).select(*keys, "centroid", F.col("copy").alias("member"))
 
 
+def deduplicate_near(seqs: DataFrame, keys: list[str], identity: float = 99.0, coverage: float = 80.0, k: int = 21, name: str = "name", save=None) -> DataFrame:
+    """One sequence of each near-equal group, the longest, on either strand: ``deduplicate``, then clusters at ``identity`` by shared k-mers."""
+    one = deduplicate(seqs, keys, name).withColumn("sequence", canonical(F.col("sequence")))
+    groups = cluster_sequences(one.select(*keys, name, "sequence"), keys, identity, coverage, k, name, save)
+    sizes = groups.join(one.select(*keys, F.col(name).alias("member"), "copies"), [*keys, "member"]).groupBy(*keys, F.col("centroid").alias(name)).agg(F.sum("copies").alias("copies"))
+    return seqs.select(*keys, name, "sequence").join(sizes, [*keys, name])
+
+
+def thin_clustered_baits(baits: DataFrame, identity: float = 98.0, overlap: float = 50.0, bait_length: int = 120, k: int = 15, save=None) -> DataFrame:
+    """Baits (``name``, ``sequence``) that lead clusters: a bait goes if a leading one shares ``overlap`` percent of its columns at ``identity``."""
+    least = 100.0 * max(1, round(bait_length * overlap / 100) - (k - 1)) / (bait_length - (k - 1))
+    groups = cluster_sequences(baits, [], identity, least, k, "name", save)
+    return baits.join(groups.select(F.col("centroid").alias("name")).distinct(), "name", "left_semi")
+
+
 def strand_votes(seqs: DataFrame, clusters: DataFrame, k: int = 15, name: str = "name") -> DataFrame:
     """Whether a member shares more k-mers with its centroid as it is or reversed."""
     ref = kmers(clusters.select("centroid").distinct().join(seqs.withColumnRenamed(name, "centroid"), "centroid"), ["centroid"], k).select("centroid", "kmer").distinct()

@@ -115,6 +115,25 @@ def sample_stats(aln: DataFrame, keys: list[str], kind: str = "NT") -> DataFrame
     return one.groupBy(*keys, "sample").agg(F.max("len_total").alias("len_total"), mean("len_gapped"), mean("len_ungapped"), mean("ambigs"), mean("gc"), F.count(F.lit(1)).alias("copies"))
 
 
+def codon_sample_stats(aln: DataFrame, keys: list[str]) -> DataFrame:
+    """Means over a sample's copies of GC at each codon position."""
+    bare = F.regexp_replace(F.upper("sequence"), "-", "")
+    one = aln.select(*keys, "sample", *[seq.gc_percent(seq.codon_position(bare, p)).alias(f"gc_codon_p{p}") for p in (1, 2, 3)])
+    return one.groupBy(*keys, "sample").agg(*[F.round(F.avg(f"gc_codon_p{p}"), 2).alias(f"gc_codon_p{p}") for p in (1, 2, 3)])
+
+
+def full_sample_summary(aln: DataFrame, keys: list[str], kind: str = "NT") -> DataFrame:
+    """The thirteen measures of a sample over all loci: lengths, gaps, ambiguities, GC by codon position, copies; references are left out."""
+    own = aln.where(~F.col("is_ref"))
+    per = sample_stats(own, keys, kind).join(codon_sample_stats(own, keys), [*keys, "sample"]).withColumn("gaps", F.col("len_gapped") - F.col("len_ungapped"))
+    mean = lambda c, name: F.round(F.avg(c), 4).alias(name)
+    return per.groupBy("sample").agg(
+        F.count(F.lit(1)).alias("num_loci"), F.expr("percentile(len_ungapped, 0.5)").alias("median_len"), mean("len_ungapped", "mean_len"), F.round(F.sum("len_ungapped"), 2).alias("total_len"),
+        mean("gaps", "mean_gaps"), F.round(F.sum("gaps"), 2).alias("total_gaps"), mean("ambigs", "mean_ambig"), mean("gc", "mean_gc"),
+        *[mean(f"gc_codon_p{p}", f"mean_gc_codon{p}") for p in (1, 2, 3)], F.expr("percentile(copies, 0.5)").alias("median_copies"), mean("copies", "mean_copies"),
+    )
+
+
 def sample_summary(stats: DataFrame) -> DataFrame:
     """Per sample over all loci: numbers, total and mean lengths, GC, copies."""
     return stats.groupBy("sample").agg(F.count(F.lit(1)).alias("loci"), F.round(F.sum("len_ungapped"), 2).alias("total_length"), F.round(F.avg("len_gapped"), 4).alias("mean_len_gapped"), F.round(F.avg("gc"), 4).alias("mean_gc"), F.round(F.avg("copies"), 4).alias("mean_copies"), F.expr("percentile(copies, 0.5)").alias("median_copies"))
@@ -167,13 +186,25 @@ def kept_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: flo
     return chosen.groupBy(*keys).agg(F.collect_list("pos").alias("kept"))
 
 
-def trim_by_depth(aln: DataFrame, keys: list[str], gaps: float = 0.2) -> DataFrame:
-    """First and last site with enough residues: ``floor(rows * (1 - gaps))`` of them."""
-    flat = aln.select(*keys, "seq_name", F.posexplode(F.split("sequence", "")).alias("pos", "residue"))
-    depth = flat.groupBy(*keys, "pos").agg(F.count_if(F.col("residue") != "-").alias("depth"), F.count(F.lit(1)).alias("rows"))
-    good = depth.where(F.col("depth") >= F.floor(F.col("rows") * (1 - gaps)))
-    span = good.groupBy(*keys).agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    return aln.join(span, keys).withColumn("sequence", F.substring(F.col("sequence"), F.col("first") + 1, F.col("last") - F.col("first") + 1)).drop("first", "last")
+def trim_by_depth(aln: DataFrame, keys: list[str], gaps: float = 0.2, addons: DataFrame | None = None) -> DataFrame:
+    """First and last site that enough rows span: ``floor(rows * (1 - gaps))`` of them.
+
+    A row spans the sites between its first and its last residue, gaps inside included. Rows of the samples of
+    ``addons`` neither count nor are counted on, and are cut like the others. Only the places where rows begin
+    and end are counted, not every residue.
+    """
+    ends = aln.select(*keys, "sample", F.length(F.regexp_extract("sequence", "^(-*)", 1)).alias("first"), F.length(F.regexp_replace("sequence", "-+$", "")).alias("last"))
+    if addons is not None:
+        ends = ends.join(addons.select("sample").distinct(), "sample", "left_anti")
+    rows = ends.groupBy(*keys).agg(F.floor(F.count(F.lit(1)) * (1 - gaps)).alias("least"))
+    steps = ends.where("last > first").select(*keys, F.explode(F.array(F.struct(F.col("first").alias("pos"), F.lit(1).alias("step")), F.struct(F.col("last").alias("pos"), F.lit(-1).alias("step")))).alias("x"))
+    counted = steps.groupBy(*keys, "x.pos").agg(F.sum("x.step").alias("step"))
+    w = Window.partitionBy(*keys).orderBy("pos")
+    spans = counted.withColumns({"depth": F.sum("step").over(w), "next": F.lead("pos").over(w)}).join(rows, keys).where(F.col("depth") >= F.col("least"))
+    cut = spans.groupBy(*keys).agg(F.min("pos").alias("first"), F.max("next").alias("last"))
+    whole = F.col("least") <= 0  # so few rows that no site is too thin
+    cut = rows.join(cut, keys, "left").where(whole | F.col("first").isNotNull()).select(*keys, F.when(whole, 0).otherwise(F.col("first")).alias("first"), F.when(whole, 1 << 30).otherwise(F.col("last")).alias("last"))
+    return aln.join(cut, keys).withColumn("sequence", F.substring(F.col("sequence"), F.col("first") + 1, F.col("last") - F.col("first"))).drop("first", "last")
 
 
 def pairwise_identity(a: Column, b: Column, kind: str = "NT", skip_gaps: bool = False) -> Column:

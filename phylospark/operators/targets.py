@@ -55,13 +55,20 @@ def inclusions(clusters: DataFrame) -> DataFrame:
     return holds.join(held, "locus", "full")
 
 
-def representatives(clusters: DataFrame, keys: list[str], length_share: float = 0.75, depth_share: float = 0.3333) -> DataFrame:
-    """Centroids of a locus in order of samples and length; others than the first need shares of its length and samples."""
-    c = cluster_copies(clusters).join(clusters.where(F.col("member") == F.col("centroid")).select("centroid", *keys), "centroid")
-    w = Window.partitionBy(*keys).orderBy(F.desc("samples"), F.desc("centroid_length"), "centroid")
+def representatives(clusters: DataFrame, keys: list[str], length_share: float = 0.75, depth_share: float = 0.3333, score: str | None = None, retain: DataFrame | None = None) -> DataFrame:
+    """Centroids of a locus in order of samples, length and ``score``; others than the first need shares of its length and sequences.
+
+    A centroid whose cluster holds a sample of ``retain`` needs only the length. Ties go to the smaller centroid.
+    """
+    lead = clusters.where(F.col("member") == F.col("centroid")).select("centroid", *keys, (F.col(score) if score else F.lit(0.0)).alias("__score"))
+    c = cluster_copies(clusters).join(lead, "centroid")
+    if retain is not None:
+        c = c.join(clusters.join(retain.select("sample").distinct(), "sample", "left_semi").select("centroid").distinct().withColumn("__held", F.lit(True)), "centroid", "left")
+    held = F.coalesce(F.col("__held"), F.lit(False)) if retain is not None else F.lit(False)
+    w = Window.partitionBy(*keys).orderBy(F.desc("samples"), F.desc("centroid_length"), F.desc("__score"), "centroid")
     first = lambda x: F.first(x).over(w)
-    ranked = c.withColumns({"rank": F.row_number().over(w), "top_length": first("centroid_length"), "top_samples": first("samples")})
-    good = (F.col("rank") == 1) | ((F.col("centroid_length") >= length_share * F.col("top_length")) & (F.col("samples") >= depth_share * F.col("top_samples")))
+    ranked = c.withColumns({"rank": F.row_number().over(w), "top_length": first("centroid_length"), "top_sequences": first("sequences")})
+    good = (F.col("rank") == 1) | ((F.col("centroid_length") >= length_share * F.col("top_length")) & ((F.col("sequences") >= depth_share * F.col("top_sequences")) | held))
     return ranked.where(good).select(*keys, "centroid", "rank", "samples", "centroid_length")
 
 
@@ -80,6 +87,13 @@ def long_and_short(seqs: DataFrame, keys: list[str], share: float = 0.5) -> Data
     return seqs.join(longest, keys).withColumn("part", F.when(F.col("length") > share * F.col("longest"), "long").otherwise("short")).drop("longest")
 
 
+def eligible_clusters(seqs: DataFrame, keys: list[str], min_samples: int = 4, max_copies: float = -1) -> DataFrame:
+    """Clusters worth an alignment: enough samples, and few enough copies in their median (-1: any)."""
+    per = seqs.groupBy(*keys, "sample").agg(F.count(F.lit(1)).alias("c"))
+    out = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"), F.expr("percentile(c, 0.5)").alias("median_copies"))
+    return out.where((F.col("samples") >= min_samples) & (F.lit(max_copies == -1) | (F.col("median_copies") <= max_copies)))
+
+
 def most_common_target(ext: DataFrame, min_samples: int = 4) -> DataFrame:
     """The target that best copies of a locus name most often; ties by name."""
     best = ext.where("hit = '00'").groupBy("locus", "target").agg(F.count(F.lit(1)).alias("n"))

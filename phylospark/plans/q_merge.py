@@ -181,7 +181,7 @@ def retained_exons(spark, sf_dir):
     return merge.retained_exons(part.select("locus", "cds_id", "retained"), part.drop("locus", "retained"), K)
 
 
-_CUT = f"{ALIGNMENTS}, fl as (select locus, seq_name, sample, i - 1 as pos, substr(sequence, i, 1) as c from (select *, unnest(range(1, 121)) as i from alignments)), dp as (select locus, pos, count(*) filter (where c <> '-') as d, count(*) as n from fl group by 1, 2), sp as (select locus, min(pos) as f, max(pos) as l from dp where d >= floor(n * 0.8) group by 1), ct as (select locus, seq_name, sample, substr(sequence, cast(f + 1 as bigint), cast(l - f + 1 as bigint)) as s from alignments join sp using (locus))"
+_CUT = f"{ALIGNMENTS}, en as (select locus, sample, length(sequence) - length(ltrim(sequence, '-')) as a, length(rtrim(sequence, '-')) as b from alignments), dp as (select locus, p as pos, count(*) filter (where sample not in ('s5', 's6') and a <= p and p < b) as d, count(*) filter (where sample not in ('s5', 's6')) as n from (select *, unnest(range(0, 120)) as p from en) group by 1, 2), sp as (select locus, min(pos) as f, max(pos) as l from dp where d >= floor(n * 0.8) and n > 0 group by 1), ct as (select locus, seq_name, sample, substr(sequence, cast(f + 1 as bigint), cast(l - f + 1 as bigint)) as s from alignments join sp using (locus))"
 
 
 @query("q24_curated_clusters", f"with {_CUT}, k as (select * from ct where length(replace(s, '-', '')) >= 60) select locus, max(length(s)) as width, count(*) as rows, count(distinct sample) as samples, count(distinct case when sample in ('s1', 's2', 's3') then sample end) as focal, count(distinct case when sample in ('s4') then sample end) as outgroup, count(distinct case when sample in ('s5', 's6') then sample end) as addon from k group by 1")

@@ -121,7 +121,7 @@ def trim_block(spark, sf_dir):
     return ops.trim_columns(_aln(spark, sf_dir), K, "block-gappy", gaps=0.1).select("locus", "seq_name", "sequence")
 
 
-@query("w09_depth_trim", _kept("select locus, unnest(range(min(pos), max(pos) + 1)) as pos from (select locus, pos from flat group by 1, 2 having count(*) filter (where raw <> '-') >= floor(count(*) * 0.88)) group by locus"))
+@query("w09_depth_trim", _kept("select locus, unnest(range(min(pos), max(pos) + 1)) as pos from (select locus, p as pos from (select *, unnest(range(0, 120)) as p from (select locus, length(sequence) - length(ltrim(sequence, '-')) as a, length(rtrim(sequence, '-')) as b from alignments)) group by 1, 2 having count(*) filter (where a <= p and p < b) >= floor(count(*) * 0.88)) group by locus"))
 def depth_trim(spark, sf_dir):
     return ops.trim_by_depth(_aln(spark, sf_dir), K, gaps=0.12).select("locus", "seq_name", "sequence")
 

@@ -68,7 +68,7 @@ def inclusions(spark, sf_dir):
     return ops.inclusions(_clusters(spark, sf_dir))
 
 
-_REPS = f"{_COPIES}, named as (select cc.*, c.locus from cc join clusters c on c.centroid = cc.centroid and c.member = c.centroid), rk as (select *, row_number() over w as rank, first_value(centroid_length) over w as tl, first_value(samples) over w as ts from named window w as (partition by locus order by samples desc, centroid_length desc, centroid)), reps as (select locus, centroid, rank, samples, centroid_length from rk where rank = 1 or centroid_length >= 0.75 * tl and samples >= 0.3333 * ts)"
+_REPS = f"{_COPIES}, named as (select cc.*, c.locus from cc join clusters c on c.centroid = cc.centroid and c.member = c.centroid), rk as (select *, row_number() over w as rank, first_value(centroid_length) over w as tl, first_value(sequences) over w as ts from named window w as (partition by locus order by samples desc, centroid_length desc, centroid)), reps as (select locus, centroid, rank, samples, centroid_length from rk where rank = 1 or centroid_length >= 0.75 * tl and sequences >= 0.3333 * ts)"
 
 
 @query("w10_representatives", f"with {_REPS} select * from reps")

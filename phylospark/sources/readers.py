@@ -123,14 +123,39 @@ def reference_targets(records: DataFrame, code: int = 1) -> DataFrame:
     return per.select(F.col("name").alias("target"), F.element_at(F.split("name", "-"), -1).alias("locus"), F.col("kind").alias("seq_type"), "sequence", seq.mask_premature_stops(protein).alias("protein"))
 
 
+def _strand_exons(cds: DataFrame, genome: DataFrame) -> DataFrame:
+    """Per CDS its exons in strand order, cut from the genome; of CDS with equal places the first id stays.
+
+    The first exon in strand order begins after the bases of its phase; places are those of the annotation.
+    """
+    own = cds.groupBy("cds_id", "seq_id", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end", "shift"))).alias("exons"))
+    minus = F.col("strand") == "-"
+    own = own.withColumn("exons", F.when(minus, F.reverse("exons")).otherwise(F.col("exons")))
+    places = F.array_join(F.transform("exons", lambda e: F.concat_ws("-", e.start.cast("string"), e.end.cast("string"))), ",")
+    own = own.withColumn("description", F.concat(F.lit("["), "seq_id", F.lit(":"), places, F.lit(":"), "strand", F.lit("]")))
+    own = own.groupBy("description").agg(F.min_by(F.struct("cds_id", "seq_id", "strand", "exons"), "cds_id").alias("x")).select("description", "x.*")
+
+    def piece(e, i):
+        off = F.when(i == 0, e.shift).otherwise(0)
+        text = F.substring(F.col("sequence"), e.start + F.when(minus, 0).otherwise(off), e.end - e.start + 1 - off)
+        return F.struct(e.start.alias("start"), e.end.alias("end"), F.when(minus, seq.reverse_complement(text)).otherwise(text).alias("s"))
+
+    return own.join(genome.select(F.col("name").alias("seq_id"), "sequence"), "seq_id").withColumn("exons", F.transform("exons", piece)).drop("sequence")
+
+
 def read_cds_exons(cds: DataFrame, genome: DataFrame, bait_length: int = 120) -> DataFrame:
     """Per CDS: joined exon sequence in strand order, numbers and lengths of long and short exons, introns and gene."""
-    part = F.substring(F.col("sequence"), F.col("start"), F.col("end") - F.col("start") + 1)
-    one = cds.join(genome.select(F.col("name").alias("seq_id"), "sequence"), "seq_id").select("cds_id", "seq_id", "strand", F.struct("start", "end", part.alias("s")).alias("x"))
-    own = one.groupBy("cds_id", "seq_id", "strand").agg(F.array_sort(F.collect_list("x")).alias("exons"))
-    joined = F.array_join(F.transform("exons", lambda e: e.s), "")
-    size = lambda e: e.end - e.start + 1
+    own = _strand_exons(cds, genome)
+    size = lambda e: F.length(e.s)
     total = lambda cond: F.aggregate(F.filter("exons", cond), F.lit(0), lambda a, e: a + size(e))
     long_, short = (lambda e: size(e) >= bait_length), (lambda e: size(e) < bait_length)
-    gene = F.element_at("exons", -1).end - F.element_at("exons", 1).start + 1
-    return own.select("cds_id", "seq_id", "strand", F.when(F.col("strand") == "-", seq.reverse_complement(joined)).otherwise(joined).alias("sequence"), F.size("exons").alias("exons"), F.size(F.filter("exons", long_)).alias("long_exons"), total(long_).alias("long_exons_len"), F.size(F.filter("exons", short)).alias("short_exons"), total(short).alias("short_exons_len"), gene.alias("gene_len"), (gene - F.aggregate("exons", F.lit(0), lambda a, e: a + size(e))).alias("introns_len"))
+    first, last = F.element_at("exons", 1), F.element_at("exons", -1)
+    gene = F.when(F.col("strand") == "-", first.end - last.start + 1).otherwise(last.end - first.start + 1)
+    return own.select("cds_id", "seq_id", "strand", "description", F.array_join(F.transform("exons", lambda e: e.s), "").alias("sequence"), F.size("exons").alias("exons"), F.size(F.filter("exons", long_)).alias("long_exons"), total(long_).alias("long_exons_len"), F.size(F.filter("exons", short)).alias("short_exons"), total(short).alias("short_exons_len"), gene.alias("gene_len"), (gene - F.aggregate("exons", F.lit(0), lambda a, e: a + size(e))).alias("introns_len"))
+
+
+def split_exons(cds: DataFrame, genome: DataFrame, bait_length: int = 120) -> DataFrame:
+    """A row an exon: its name by CDS and number in strand order, its places, sequence, and whether a bait fits it."""
+    flat = _strand_exons(cds, genome).select("cds_id", "seq_id", "strand", F.posexplode("exons").alias("n", "x"))
+    places = F.concat(F.lit("["), "seq_id", F.lit(":"), F.col("x.start").cast("string"), F.lit("-"), F.col("x.end").cast("string"), F.lit(":"), "strand", F.lit("]"))
+    return flat.select(F.concat(F.col("cds_id"), F.lit("_exon"), (F.col("n") + 1).cast("string")).alias("name"), places.alias("description"), F.col("x.s").alias("sequence"), (F.length("x.s") >= bait_length).alias("long"))

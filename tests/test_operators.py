@@ -37,7 +37,7 @@ def test_gff_cds(spark, tmp_path):
     assert [(r["cds_id"], r["start"], r["end"], r["shift"]) for r in got] == [("p1", 3, 8, 0), ("m1", 11, 14, 2)]
     genome = spark.createDataFrame([("chr1", "AACCGGTTAACCGGTT")], ["name", "sequence"])
     exons = {r["cds_id"]: r for r in readers.read_cds_exons(readers.read_gff_cds(spark, str(tmp_path / "g.gff")), genome, bait_length=5).collect()}
-    assert exons["p1"]["sequence"] == "CCGGTT" and exons["p1"]["long_exons"] == 1 and exons["m1"]["sequence"] == "CCGG"
+    assert exons["p1"]["sequence"] == "CCGGTT" and exons["p1"]["long_exons"] == 1 and exons["m1"]["sequence"] == "GG"  # after the two bases of its phase
 
 
 def test_psl_records(spark):
@@ -246,3 +246,52 @@ def test_greedy_paths_by_hand(spark):
     rows = [(1, 1, 0.9, 90.0, 0, 100, "proximal"), (1, 2, 0.8, 91.0, 90, 200, "distal"), (1, 3, 0.7, 80.0, 210, 300, "distal"), (1, 4, 0.6, 90.5, 5, 95, "middle"), (1, 5, 0.5, 90.0, 0, 300, "full"), (1, 6, 0.4, 89.0, 250, 300, "distal"), (2, 7, 0.1, 70.0, 0, 300, "full")]
     got = {r["hit_id"]: r["path"] for r in grouped.greedy_paths(spark.createDataFrame(rows, cols), ["k"]).collect()}
     assert got == {1: "path0", 2: "path0", 3: "path1", 4: "path2", 5: "full0", 6: "path0", 7: "full0"}
+
+
+def test_overlap_kinds_and_share(spark):
+    rows = spark.createDataFrame([([(0, 10), (20, 30)], [(5, 8), (25, 40)]), ([(0, 10)], [(10, 20)])], "a array<struct<s:int,e:int>>, b array<struct<s:int,e:int>>")
+    got = rows.select(hits.overlap_kinds(F.col("a"), F.col("b")).alias("k"), hits.overlap_percent(F.col("a"), F.col("b"), F.lit(30), F.lit(35)).alias("p")).collect()
+    assert [r["k"] for r in got] == ["F,N,N,P", "N"] and [round(r["p"], 4) for r in got] == [round(800 / 35, 4), 0]
+
+
+def test_depth_trim_counts_spans_without_addons(spark):
+    rows = [("L", "a", "s1", "-AC-TA--"), ("L", "b", "s2", "--CGT---"), ("L", "c", "x", "AAAAAAAA"), ("M", "d", "s1", "--AC--")]
+    aln = spark.createDataFrame(rows, "locus string, seq_name string, sample string, sequence string")
+    add = spark.createDataFrame([("x",)], "sample string")
+    got = {r["seq_name"]: r["sequence"] for r in sites.trim_by_depth(aln, ["locus"], 0.2, add).collect()}
+    assert got == {"a": "AC-TA", "b": "-CGT-", "c": "AAAAA", "d": "--AC--"}  # one of two rows is enough; a lone row isn't cut
+    strict = {r["seq_name"]: r["sequence"] for r in sites.trim_by_depth(aln.where("locus = 'L'"), ["locus"], 0.0, add).collect()}
+    assert strict == {"a": "C-T", "b": "CGT", "c": "AAA"}
+
+
+def test_adaptor_rounds_tips_and_poly_a(spark):
+    ad = "GATCGGAAGAGCACACGTCTG"
+    rows = [("s", "whole", "ACGTTGCAAGGCTTAACCGTTGGCACCTGA" + ad + "TTTT"), ("s", "tip", "ACGTTGCAAGGCTTAACCGTTGGCACCTGA" + ad[:12]), ("s", "clean", "ACGTTGCAAGGCTTAACCGTTGGCACCTGATT"), ("s", "short", "ACGTACC" + ad + "CC")]
+    frame = spark.createDataFrame([(*r, "I" * len(r[2])) for r in rows], "sample string, read_id string, sequence string, quality string")
+    adaptors = spark.createDataFrame([("ad", ad)], "name string, sequence string")
+    got = {r["read_id"]: (r["sequence"], r["adaptor_1"], len(r["quality"])) for r in reads.trim_adaptors_in_rounds(frame, adaptors, rounds=((21, 11, 1), (19, 9, 1))).collect()}
+    kept = "ACGTTGCAAGGCTTAACCGTTGGCACCTGA"
+    assert got == {"whole": (kept, "ad", 30), "tip": (kept, "ad", 30), "clean": (kept + "TT", None, 32)}
+    poly = spark.createDataFrame([("s", "a", "AAAACGTTTTT", "IIIIabcJJJJ"), ("s", "b", "AAACG", "IIIII"), ("s", "c", "TTTTTT", "IIIIII")], frame.schema)
+    assert {r["read_id"]: (r["sequence"], r["quality"]) for r in reads.trim_poly_a(poly).collect()} == {"a": ("CG", "ab"), "b": ("AAACG", "IIIII"), "c": ("", "")}
+
+
+def test_contaminated_reads_go_on_either_strand(spark):
+    bait = "ACGGTTCAGGATCCTTAGCA"
+    rev = bait[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [("s", "ahead", "TT" + bait), ("s", "back", rev + "GG"), ("s", "near", bait[:10] + "C" + bait[11:]), ("s", "none", "T" * 30), ("s", "short", "ACG")]
+    got = reads.drop_contaminated(spark.createDataFrame(rows, "sample string, read_id string, sequence string"), spark.createDataFrame([(bait,)], "sequence string"), k=20, distance=1)
+    assert {r["read_id"] for r in got.collect()} == {"none", "short"}
+
+
+def test_near_copies_go_and_distinct_sequences_stay(spark):
+    rng = random.Random(5)
+    base = "".join(rng.choice("ACGT") for _ in range(600))
+    changed = base[:300] + ("A" if base[300] != "A" else "C") + base[301:]
+    rev = base[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    other = "".join(rng.choice("ACGT") for _ in range(600))
+    rows = [("s", "a", base), ("s", "b", changed), ("s", "c", rev), ("s", "d", other), ("t", "e", base)]
+    got = similarity.deduplicate_near(spark.createDataFrame(rows, "sample string, name string, sequence string"), ["sample"]).collect()
+    assert {(r["sample"], r["copies"]) for r in got} == {("s", 3), ("s", 1), ("t", 1)} and {r["name"] for r in got if r["copies"] == 1} == {"d", "e"}
+    baits = spark.createDataFrame([("b1", base[:120]), ("b2", base[20:140]), ("b3", base[100:220]), ("b4", other[:120])], "name string, sequence string")
+    assert sorted(r["name"] for r in similarity.thin_clustered_baits(baits).collect()) == ["b1", "b3", "b4"]
