@@ -153,9 +153,9 @@ def translate(s: Column, code: int = 1, frame: int = 1, start_as_m: bool = False
     clean = reverse_complement(clean) if frame < 0 else clean
     codons = F.regexp_extract_all(F.substring(clean, abs(frame), 1 << 30), F.lit("..."), F.lit(0))
     first, middle, last = (codon_table(code, *x) for x in ((start_as_m, False), (False, False), (False, True)))
-    n = F.size(codons)
-    residue = lambda c, i: F.when(i == 0, _residue(c, first)).when(i == n - 1, _residue(c, last)).otherwise(_residue(c, middle))
-    return F.array_join(F.transform(codons, residue), "")
+    residue = lambda c, i, n: F.when(i == 0, _residue(c, first)).when(i == n - 1, _residue(c, last)).otherwise(_residue(c, middle))
+    # bound as one value, so that the codons are cut out once and not anew for every codon
+    return F.element_at(F.transform(F.array(codons), lambda own: F.array_join(F.transform(own, lambda c, i: residue(c, i, F.size(own))), "")), 1)
 
 
 def best_frame(s: Column, code: int = 1) -> Column:

@@ -126,7 +126,7 @@ def full_sample_summary(aln: DataFrame, keys: list[str], kind: str = "NT") -> Da
     """The thirteen measures of a sample over all loci: lengths, gaps, ambiguities, GC by codon position, copies; references are left out."""
     own = aln.where(~F.col("is_ref"))
     per = sample_stats(own, keys, kind).join(codon_sample_stats(own, keys), [*keys, "sample"]).withColumn("gaps", F.col("len_gapped") - F.col("len_ungapped"))
-    mean = lambda c, name: F.round(F.avg(c), 4).alias(name)
+    mean = lambda c, name: F.round(F.avg(c), 6).alias(name)
     return per.groupBy("sample").agg(
         F.count(F.lit(1)).alias("num_loci"), F.expr("percentile(len_ungapped, 0.5)").alias("median_len"), mean("len_ungapped", "mean_len"), F.round(F.sum("len_ungapped"), 2).alias("total_len"),
         mean("gaps", "mean_gaps"), F.round(F.sum("gaps"), 2).alias("total_gaps"), mean("ambigs", "mean_ambig"), mean("gc", "mean_gc"),

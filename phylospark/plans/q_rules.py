@@ -65,7 +65,7 @@ def reference_fragmentation(spark, sf_dir):
 
 
 _MID = "t_start + (t_end - t_start) // 2"
-_GFF = "contig || chr(9) || 'phylospark' || chr(9) || {f} || chr(9) || ({s} + 1) || chr(9) || {e} || chr(9) || printf('%.3f', round(wscore, 3)) || chr(9) || strand || chr(9) || '.' || chr(9) || 'ID=' || hit_id || ';Name=' || locus || ';Identity=' || printf('%.2f', identity) || ';Coverage=' || printf('%.2f', coverage) || ';Depth=' || printf('%.4f', depth) || ';Target=' || target"
+_GFF = "contig || chr(9) || 'phylospark' || chr(9) || {f} || chr(9) || ({s} + 1) || chr(9) || {e} || chr(9) || printf('%.3f', floor(wscore * 1000) / 1000) || chr(9) || strand || chr(9) || '.' || chr(9) || 'ID=' || hit_id || ';Name=' || locus || ';Identity=' || printf('%.2f', identity) || ';Coverage=' || printf('%.2f', coverage) || ';Depth=' || printf('%.4f', depth) || ';Target=' || target"
 
 
 @query("k06_gff_blocks", f"with {HITS} " + " union all ".join(f"select sample, hit_id, cast({n} as int) as part, {_GFF.format(f=f, s=s, e=e)} as line from hits" for n, f, s, e in ((0, "'mRNA'", "t_start", "t_end"), (1, "'protein_match'", "t_start", _MID), (2, "'protein_match'", f"({_MID})", "t_end"))))
@@ -73,7 +73,8 @@ def gff_blocks(spark, sf_dir):
     half = F.col("t_start") + F.floor((F.col("t_end") - F.col("t_start")) / 2)
     block = lambda s, e: F.struct(s.alias("s"), e.alias("e"))
     rows = views.hits(spark, sf_dir).withColumn("blocks", F.array(block(F.col("t_start"), half), block(half, F.col("t_end"))))
-    return hits.gff_block_lines(rows, "protein_match", parent=True)
+    whole = F.floor(F.col("wscore") * 1000) / 1000.0  # engines differ in how they round the halves
+    return hits.gff_block_lines(rows.withColumn("wscore", whole), "protein_match", parent=True)
 
 
 _GC = lambda s: f"100.0 * ({_GCW.format(s)}) / nullif({_LET.format(s)}, 0)"
@@ -81,7 +82,7 @@ _GC = lambda s: f"100.0 * ({_GCW.format(s)}) / nullif({_LET.format(s)}, 0)"  # n
 
 @query("a07_full_sample_summary", f"""with {ALIGNMENTS}, one as (select locus, sample, length(trim(sequence, '-')) as lg, length({_BARE}) as lu, length(regexp_replace({_BARE}, '[^MRWSYKVHDBN?]', '', 'g')) as am, {_GC(_BARE)} as gc, {", ".join(f"{_GC(_CODON.format(_BARE, i))} as g{i}" for i in (1, 2, 3))} from alignments where not is_ref),
     st as (select locus, sample, round(avg(lg), 2) as lg, round(avg(lu), 2) as lu, round(avg(am), 2) as am, round(cast(avg(gc) as double), 2) as gc, {", ".join(f"round(cast(avg(g{i}) as double), 2) as g{i}" for i in (1, 2, 3))}, count(*) as copies from one group by 1, 2)
-    select sample, count(*) as num_loci, median(lu) as median_len, round(avg(lu), 4) as mean_len, round(sum(lu), 2) as total_len, round(avg(lg - lu), 4) as mean_gaps, round(sum(lg - lu), 2) as total_gaps, round(avg(am), 4) as mean_ambig, round(avg(gc), 4) as mean_gc, {", ".join(f"round(avg(g{i}), 4) as mean_gc_codon{i}" for i in (1, 2, 3))}, median(copies) as median_copies, round(avg(copies), 4) as mean_copies from st group by 1""")
+    select sample, count(*) as num_loci, median(lu) as median_len, round(avg(lu), 6) as mean_len, round(sum(lu), 2) as total_len, round(avg(lg - lu), 6) as mean_gaps, round(sum(lg - lu), 2) as total_gaps, round(avg(am), 6) as mean_ambig, round(avg(gc), 6) as mean_gc, {", ".join(f"round(avg(g{i}), 6) as mean_gc_codon{i}" for i in (1, 2, 3))}, median(copies) as median_copies, round(avg(copies), 6) as mean_copies from st group by 1""")
 def full_sample_summary(spark, sf_dir):
     return sites.full_sample_summary(views.alignments(spark, sf_dir), ["locus"])
 
