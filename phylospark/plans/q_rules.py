@@ -10,7 +10,7 @@ from phylospark.sources import readers
 
 from . import views
 from .q_reads import _ADAPTORS, _FLAT, _Q, _adaptors
-from .q_similarity import _saver, shared_folder
+from .q_similarity import _benchmark_targets, _saver, shared_folder
 from .q_sites import _BARE, _CODON, _GCW, _LET
 from .q_targets import _COPIES
 from .registry import query
@@ -272,8 +272,9 @@ def masked_baits(spark, sf_dir):
 
 @query("q18_clustered_baits")
 def clustered_baits(spark, sf_dir):
-    rows = _baits(spark, sf_dir).select(F.concat_ws("_", "name", F.lpad(F.col("bait_no").cast("string"), 8, "0")).alias("name"), F.col("bait").alias("sequence"))
-    return similarity.thin_clustered_baits(rows, k=31, save=_saver(spark))
+    own = targets.tile(_benchmark_targets(spark, sf_dir), step=20, name="target")
+    rows = own.select(F.concat_ws("_", "name", F.lpad(F.col("bait_no").cast("string"), 8, "0")).alias("name"), F.col("bait").alias("sequence"))
+    return similarity.thin_clustered_baits(rows, save=_saver(spark))
 
 
 @query("s15_reference_targets", f"with {CONTIGS} select contig || '-' || sample as target, sample as locus, 'NT' as seq_type, length(sequence) as bases from contigs where sequence <> ''")
