@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from .common import let_go, materialised, read_table, word_hashes
 
-#: Bytes of the grams that anchor windows, and of the blocks that are a suffix array's symbols.
+#: Bytes of the grams that anchor windows, and of the blocks that are a suffix array's symbols. Where repeats are
+#: judged by words, a symbol of the text is a word's hash of 8 bytes, else a byte.
 GRAM, BLOCK = 32, 32
-#: Bytes that stand for a word where repeats are judged by words.
-WORD = 8
 #: Bound on the filter of repeated anchors that every worker holds: 2**29 bits are 64 MB.
 FILTER_BITS = 1 << 29
 #: Bytes of contexts that make one suffix array.
@@ -40,8 +39,8 @@ def _join(a: np.ndarray, b: np.ndarray, step: int) -> np.ndarray:
 
 
 def substring_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """64-bit hashes of all substrings of the given lengths, by doubling."""
-    powers, out = [_BYTES[data]], []
+    """64-bit hashes of all substrings of the given lengths, by doubling; ``data`` are bytes or hashes of words."""
+    powers, out = [_BYTES[data] if data.dtype == np.uint8 else data], []
     while 2 << (len(powers) - 1) <= max(lengths):
         h, n = powers[-1], 1 << (len(powers) - 1)
         powers.append(_join(h[:-n], h[n:], len(powers)) if len(h) > n else h[:0])
@@ -54,13 +53,14 @@ def substring_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndar
 
 
 def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, first window, last window) of the grams that anchor the windows of ``length`` bytes.
+    """(hash, position, first window, last window) of the grams that anchor the windows of ``length`` symbols.
 
     A window's anchor is the gram in it with the least hash, the leftmost of equals, so equal windows have
     equal anchors at equal offsets. Windows that share an anchor are consecutive.
     """
-    (gram,) = substring_hashes(data, (GRAM,))
-    wide = length - GRAM + 1
+    size = GRAM // data.itemsize
+    (gram,) = substring_hashes(data, (size,))
+    wide = length - size + 1
     found = []
     for base in range(0, max(1, len(data) - length + 1), 1 << 23):
         part = gram[base : base + (1 << 23) + wide - 1]
@@ -180,30 +180,31 @@ def common_prefixes(symbols: np.ndarray, sa: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def repeated_windows(contexts: list[bytes], offsets: list[int], length: int) -> list[list[tuple[int, int]]]:
-    """Per context, ranges (first, last) of the windows of ``length`` bytes that another place holds too.
+def repeated_windows(contexts: list[bytes], offsets: list[int], length: int, symbol: type = np.uint8) -> list[list[tuple[int, int]]]:
+    """Per context, ranges (first, last) of the windows of ``length`` symbols that another place holds too.
 
     Contexts are cut into blocks counted from their anchor. In the suffix array over the blocks, neighbours whose
     common prefix has as many whole blocks as any window lie in one group; a window is repeated only if
-    another of its group has the same bytes on either side too, which the hash of all its bytes tells.
+    another of its group has the same symbols on either side too, which the hash of all of them tells.
     """
-    data = np.frombuffer(b"".join(contexts), np.uint8)
-    sizes = np.array([len(c) for c in contexts])
+    data = np.frombuffer(b"".join(contexts), symbol)
+    wide = BLOCK // data.itemsize
+    sizes = np.array([len(c) // data.itemsize for c in contexts])
     begins = np.cumsum(sizes) - sizes
-    whole = (length - BLOCK + 1) // BLOCK * BLOCK
-    (block, window) = substring_hashes(data, (BLOCK, length))
-    lead = np.array(offsets) % BLOCK
-    counts = np.maximum((sizes - lead) // BLOCK, 0)
+    whole = (length - wide + 1) // wide
+    (block, window) = substring_hashes(data, (wide, length))
+    lead = np.array(offsets) % wide
+    counts = np.maximum((sizes - lead) // wide, 0)
     owner = np.repeat(np.arange(len(contexts)), counts + 1)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts + 1) - counts - 1, counts + 1)
-    at = begins[owner] + lead[owner] + nth * BLOCK
+    at = begins[owner] + lead[owner] + nth * wide
     is_end = nth == counts[owner]
     _, rank = np.unique(block[at[~is_end]], return_inverse=True)
     symbols = np.empty(len(owner), np.int64)
     symbols[~is_end] = rank + len(contexts)
     symbols[is_end] = np.arange(len(contexts))[::-1]  # ends differ; the last one is the least
     sa = suffix_array(symbols)
-    same = common_prefixes(symbols, sa) >= whole // BLOCK
+    same = common_prefixes(symbols, sa) >= whole
     group = np.cumsum(~same)
     close = same.copy()
     close[:-1] |= same[1:]
@@ -211,8 +212,8 @@ def repeated_windows(contexts: list[bytes], offsets: list[int], length: int) ->
     out: list[list[tuple[int, int]]] = [[] for _ in contexts]
     if not len(near):
         return out
-    starts = (at[near][:, None] - np.arange(BLOCK)[None, :]).ravel()
-    own, group = np.repeat(owner[near], BLOCK), np.repeat(group, BLOCK)
+    starts = (at[near][:, None] - np.arange(wide)[None, :]).ravel()
+    own, group = np.repeat(owner[near], wide), np.repeat(group, wide)
     fits = (starts >= begins[own]) & (starts + length <= (begins + sizes)[own])
     starts, group = starts[fits], group[fits]
     order = np.lexsort((window[starts], group))
@@ -269,10 +270,14 @@ class _Filter:
         return out
 
 
-def _bytes(text: str | None, by_words: bool) -> bytes:
-    """The UTF-8 bytes of a text, or WORD bytes of hash for each of its words."""
+def _symbol(by_words: bool) -> type:
+    return np.uint64 if by_words else np.uint8
+
+
+def _symbols(text: str | None, by_words: bool) -> np.ndarray:
+    """The UTF-8 bytes of a text, or a hash for each of its words."""
     data = (text or "").encode("utf-8", "replace")
-    return word_hashes(data)[0].tobytes() if by_words else data
+    return word_hashes(data)[0] if by_words else np.frombuffer(data, np.uint8)
 
 
 def _repeated_anchors(source: DataFrame, length: int, by_words: bool) -> _Filter:
@@ -281,9 +286,9 @@ def _repeated_anchors(source: DataFrame, length: int, by_words: bool) -> _Filter
         held: list[np.ndarray] = []
         for batch in batches:
             for value in batch.column("text"):
-                data = _bytes(value.as_py(), by_words)
+                data = _symbols(value.as_py(), by_words)
                 if len(data) >= length:
-                    held.append(anchors(np.frombuffer(data, np.uint8), length)[0])
+                    held.append(anchors(data, length)[0])
         if held:
             h, c = np.unique(np.concatenate(held), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
@@ -322,13 +327,13 @@ def _occurrences(source: DataFrame, repeated: _Filter, length: int, by_words: bo
         wanted, places, contexts, size = shared.value, [], {}, 0
         for batch in batches:
             for doc, mark, value in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), strict=True):
-                data = _bytes(value.as_py(), by_words)
+                data = _symbols(value.as_py(), by_words)
                 if len(data) < length:
                     continue
-                h, p, first, last = anchors(np.frombuffer(data, np.uint8), length)
+                h, p, first, last = anchors(data, length)
                 keep = np.flatnonzero(wanted.holds(h))
                 for hash_, at, a, b in zip(h[keep].view(np.int64).tolist(), p[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
-                    context = data[a : b + length]
+                    context = data[a : b + length].tobytes()
                     cx = xxhash.xxh3_64_intdigest(context, at - a) - (1 << 63)
                     places.append((hash_, cx, mark, doc, a))
                     known = contexts.get((hash_, cx))
@@ -345,19 +350,20 @@ def _occurrences(source: DataFrame, repeated: _Filter, length: int, by_words: bo
     return source.select("doc", "mark", "text").mapInArrow(find, _OCCURRENCES)
 
 
-def _ranges(contexts: DataFrame, length: int) -> DataFrame:
+def _ranges(contexts: DataFrame, length: int, symbol: type) -> DataFrame:
     """(h, cx, a, b): ranges of repeated windows in each context, from suffix arrays over anchors' contexts."""
+    unit = np.dtype(symbol).itemsize
 
     def solve(groups: list[list[list]]) -> pa.RecordBatch:
         rows, open_ = [], []
         for group in groups:
             for item in group:
                 if item[2] > 1:
-                    rows.append((item[0], item[1], 0, len(item[4]) - length))
+                    rows.append((item[0], item[1], 0, len(item[4]) // unit - length))
             if len(group) > 1:
                 open_ += group
         if open_:
-            found = repeated_windows([x[4] for x in open_], [x[3] for x in open_], length)
+            found = repeated_windows([x[4] for x in open_], [x[3] for x in open_], length, symbol)
             rows += [(x[0], x[1], a, b) for x, r in zip(open_, found, strict=True) if x[2] == 1 for a, b in r]
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["h", "cx", "a", "b"])
@@ -385,16 +391,18 @@ def _ranges(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.select("h", "cx", "n", "off", "context").mapInArrow(stream, "h long, cx long, a int, b int")
 
 
-def _crowded_ranges(contexts: DataFrame, length: int) -> DataFrame:
+def _crowded_ranges(contexts: DataFrame, length: int, symbol: type) -> DataFrame:
     """The same for anchors of very many contexts: their windows' hashes are counted by a shuffle, whoever holds them."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         for batch in batches:
-            for h, cx, n, context in zip(*(batch.column(c).to_pylist() for c in ("h", "cx", "n", "context")), strict=True):
-                (w,) = substring_hashes(np.frombuffer(context, np.uint8), (length,))
-                same = len(w)
-                columns = [np.full(same, h), np.full(same, cx), np.full(same, n), np.arange(same, dtype=np.int32), w.view(np.int64)]
+            for first in range(0, batch.num_rows, 64):  # some 25 000 windows at most
+                part = batch.slice(first, 64)
+                hashed = [substring_hashes(np.frombuffer(c, symbol), (length,))[0] for c in part.column("context").to_pylist()]
+                times = [len(w) for w in hashed]
+                columns = [np.repeat(part.column(c).to_numpy(), times) for c in ("h", "cx", "n")]
+                columns += [np.concatenate([np.arange(t, dtype=np.int32) for t in times]), np.concatenate(hashed).view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "cx", "n", "at", "w"])
 
     found = contexts.select("h", "cx", "n", "context").mapInArrow(windows, "h long, cx long, n long, at int, w long")
@@ -406,15 +414,13 @@ def _crowded_ranges(contexts: DataFrame, length: int) -> DataFrame:
 def _spans(docs: DataFrame, length: int, id_col: str, text_col: str, by_words: bool = False) -> DataFrame:
     """(doc, mark, span) of every range of repeated windows, in bytes of the text or in its words."""
     source = docs.select(F.col(id_col).cast("string").alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"), F.col(text_col).alias("text"))
-    size = length * WORD if by_words else length
-    found = materialised(_occurrences(source, _repeated_anchors(source, size, by_words), size, by_words), "contexts")
+    symbol = _symbol(by_words)
+    found = materialised(_occurrences(source, _repeated_anchors(source, length, by_words), length, by_words), "contexts")
     contexts = found.where("n is not null")
     crowds = materialised(contexts.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CROWD).select("h"), "crowds")
-    ranges = _ranges(contexts.join(crowds, "h", "left_anti"), size).union(_crowded_ranges(contexts.join(crowds, "h", "left_semi"), size))
+    ranges = _ranges(contexts.join(crowds, "h", "left_anti"), length, symbol).union(_crowded_ranges(contexts.join(crowds, "h", "left_semi"), length, symbol))
     places = found.where("n is null").select("h", "cx", "mark", "doc", "first")
     met = places.join(ranges, ["h", "cx"]).select("doc", "mark", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
-    if by_words:  # only windows that begin with a word
-        met = met.select("doc", "mark", F.ceil(F.col("a") / WORD).cast("int").alias("a"), F.floor(F.col("b") / WORD).cast("int").alias("b")).where("a <= b")
     return met.select("doc", "mark", F.struct("a", (F.col("b") + length).alias("b")).alias("span"))
 
 
