@@ -53,6 +53,18 @@ def test_passages_of_over_50_words_go(spark, documents):
     assert all(got[i] == " ".join(texts[i]) for i in (2, 3, 4))
 
 
+def test_passages_of_crowded_anchors_go(spark, documents, monkeypatch):
+    from phylospark.llm import substrings
+
+    monkeypatch.setattr(substrings, "CROWD", 2)
+    other = lambda name, n: [f"{name}{i}" for i in range(n)]
+    texts = [[*other(f"a{k}x", 60 + k), *other("p", 51 + k % 3), *other(f"b{k}x", 55)] for k in range(7)] + [other("p", 50) + other("q", 60)]
+    got = {r["doc_id"]: r["text"].split() for r in substrings.drop_repeats(documents([" ".join(t) for t in texts]), words=51).collect()}
+    for k in range(7):  # p51 and p52 are in a repeated run where more than one text goes on so far
+        assert got[k] == other(f"a{k}x", 60 + k) + other(f"b{k}x", 55)
+    assert got[7] == texts[7]
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_repeats_stage_equals_brute_force_by_bytes_and_words(spark):
     import re
