@@ -9,6 +9,8 @@ from .packing import op4_packing
 from .pieces import op5_pieces
 from .secrets import op8_secrets
 from .sharding import op6_sharding
+from .slack import op12_slack
+from .spelling import op13_spelling
 from .substrings import op7_substrings
 from .vectors import OP3_SQL, op2_neighbours, op3_topk
 
@@ -20,7 +22,7 @@ def pipeline(spark, sf_dir: str):
 
 
 def queries() -> dict:
-    ops = (op1_lm, op2_neighbours, op3_topk, op4_packing, op5_pieces, op6_sharding, op7_substrings, op8_secrets, op9_neardup, op10_language, pipeline)
+    ops = (op1_lm, op2_neighbours, op3_topk, op4_packing, op5_pieces, op6_sharding, op7_substrings, op8_secrets, op9_neardup, op10_language, op12_slack, op13_spelling, pipeline)
     return {f.__name__: f for f in ops}
 
 
