@@ -12,6 +12,7 @@ from .sharding import op6_sharding
 from .slack import op12_slack
 from .spelling import op13_spelling
 from .substrings import op7_substrings
+from .trie import op11_trie
 from .vectors import OP3_SQL, op2_neighbours, op3_topk
 
 
@@ -22,7 +23,7 @@ def pipeline(spark, sf_dir: str):
 
 
 def queries() -> dict:
-    ops = (op1_lm, op2_neighbours, op3_topk, op4_packing, op5_pieces, op6_sharding, op7_substrings, op8_secrets, op9_neardup, op10_language, op12_slack, op13_spelling, pipeline)
+    ops = (op1_lm, op2_neighbours, op3_topk, op4_packing, op5_pieces, op6_sharding, op7_substrings, op8_secrets, op9_neardup, op10_language, op11_trie, op12_slack, op13_spelling, pipeline)
     return {f.__name__: f for f in ops}
 
 
