@@ -15,16 +15,12 @@ from .common import materialised, read_table, text_chunks
 from .tokenize import ByteBpe, loaded, tokenizer_path
 
 
-def fullest_bins(counts: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Bins as (how many alike, [(length, how many of it in a bin)]), which use up every item of ``counts``.
+#: Tokens of a bin that may stay unused before shorter lengths are looked at; each is tried.
+SLACKS = (0, 2, 8, 32)
 
-    Each bin takes the longest item that is left and the fullest feasible combination of others beside it: a
-    bitset holds the sums that lengths, long to short, can reach, and is read backwards from the highest. A
-    combination is repeated as long as the counts allow it, so the work depends on the lengths, not on the items.
-    """
+
+def _filled(counts: dict[int, int], size: int, slack: int) -> list[tuple[int, list[tuple[int, int]]]]:
     left = {length: n for length, n in counts.items() if n > 0}
-    if any(not 0 < length <= size for length in left):
-        raise ValueError("lengths must lie between 1 and the bin size")
     order, out = sorted(left, reverse=True), []
     while order:
         top = order[0]
@@ -41,7 +37,7 @@ def fullest_bins(counts: dict[int, int], size: int) -> list[tuple[int, list[tupl
                 reach |= reach << length * step & mask
                 more -= step
                 step *= 2
-            if reach >> room & 1:
+            if reach >> max(0, room - slack):
                 break
         left[top] += 1
         goal, chosen = reach.bit_length() - 1, {top: 1}
@@ -57,6 +53,20 @@ def fullest_bins(counts: dict[int, int], size: int) -> list[tuple[int, list[tupl
     return out
 
 
+def fullest_bins(counts: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Bins as (how many alike, [(length, how many of it in a bin)]), which use up every item of ``counts``.
+
+    Each bin takes the longest item that is left and the fullest feasible combination of others beside it: a bitset
+    holds the sums that lengths, long to short, can reach, and is read backwards from the highest. Lengths are
+    added until one sum leaves no more than ``slack`` unused; a little slack spares the short items, which fill what
+    long ones can't. Of several such bounds, 0 among them, the way with the fewest bins is returned. A combination is
+    repeated as long as the counts allow it, so the work depends on the lengths, not on the items.
+    """
+    if any(not 0 < length <= size for length, n in counts.items() if n > 0):
+        raise ValueError("lengths must lie between 1 and the bin size")
+    return min((_filled(counts, size, way) for way in SLACKS), key=lambda bins: sum(repeats for repeats, _ in bins))
+
+
 def _placing(bins: list[tuple[int, list[tuple[int, int]]]], counts: dict[int, int]) -> np.ndarray:
     """Rows (length, first rank, copies in a bin, first bin, offset of the first copy), by length and rank."""
     rows, taken, first = [], dict.fromkeys(counts, 0), 0

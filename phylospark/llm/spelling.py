@@ -160,7 +160,6 @@ def _edits(words: list[str], alphabet: np.ndarray, shards: Shards) -> Iterator[t
 
 def _segments(vocab: DataFrame, shards: Shards) -> DataFrame:
     """(segment, blocks): every filter segment from its words."""
-    kind = F.least(F.char_length("word"), F.lit(LAST_CLASS))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,12 +176,12 @@ def _segments(vocab: DataFrame, shards: Shards) -> DataFrame:
         np.bitwise_or.at(words, part["block"].to_numpy(), part["mask"].to_numpy().view(np.uint64))
         return pd.DataFrame({"segment": [key[0]], "blocks": [words.tobytes()]})
 
-    made = vocab.where(kind >= 1).select("word").mapInArrow(hashed, "segment long, block long, mask long")
+    made = vocab.select("word").mapInArrow(hashed, "segment long, block long, mask long")
     return made.groupBy("segment").applyInPandas(built, "segment long, blocks binary")
 
 
 def near_words(vocab: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(word, n, near, near_n) of all pairs of ``vocab`` (word, n; words distinct) one edit apart, in both orders.
+    """(word, n, near, near_n) of all pairs of ``vocab`` (word, n; words distinct, none empty) one edit apart, in both orders.
 
     Edits are generated a block at a time and probed in filters that are cut by word length, and of one length by
     slices of the hash; up to ``max_bits`` of them are broadcast a pass, and a larger vocabulary takes further passes.
@@ -190,9 +189,9 @@ def near_words(vocab: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Letters are replaced by those that the vocabulary holds.
     """
     spark = vocab.sparkSession
-    counts = {r["c"]: r["n"] for r in vocab.groupBy(F.least(F.char_length("word"), F.lit(LAST_CLASS)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect() if r["c"]}
-    letters = vocab.select(F.explode(F.array_distinct(F.split("word", ""))).alias("l")).where("l <> ''").distinct()
-    alphabet = np.array(sorted(ord(r["l"]) for r in letters.collect()), np.uint32)
+    counts = {r["c"]: r["n"] for r in vocab.groupBy(F.least(F.char_length("word"), F.lit(LAST_CLASS)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    letters = vocab.select(F.explode(F.array_distinct(F.split("word", ""))).alias("l")).distinct()
+    alphabet = np.array(sorted(ord(r["l"]) for r in letters.collect() if r["l"]), np.uint32)
     slices, blocks = Shards.cut(counts)
     bare = Shards(slices, blocks, {})
     made = materialised(_segments(vocab, bare), "filters")
@@ -240,11 +239,11 @@ def group_spellings(vocab: DataFrame, ratio: int = 2, max_bits: int = MAX_BITS)
     A word's form is its most frequent near word (ties: the first in code-point order) if that is at least ``ratio``
     (2 or more) times as frequent. ``root`` follows forms to the last one; as counts grow at each step a chain is short,
     and it is followed by steps that double, each written to the shared folder. Words without near words have
-    ``n_near`` 0, no form and themselves as root. An empty vocabulary gives no rows.
+    ``n_near`` 0, no form and themselves as root. The empty string is no word and is left out. An empty vocabulary gives no rows.
     """
     if ratio < 2:
         raise ValueError("ratio must be 2 or more")
-    vocab = materialised(vocab.select("word", "n"), "vocabulary")
+    vocab = materialised(vocab.select("word", "n").where("word <> ''"), "vocabulary")
     best = near_words(vocab, max_bits).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("b"))
     is_form = -F.col("b.m") >= ratio * F.col("n")
     forms = materialised(
