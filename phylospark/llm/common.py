@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -92,13 +93,9 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         yield start, held
 
 
-_RNG = np.random.default_rng(41)
-_BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_STEP = 0x9E3779B97F4A7C15
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-#: Bytes that are hashed at a time, which bounds what a worker holds for it to some 20 MB.
+#: Bytes whose words are hashed at a time, which bounds what a worker holds for it to some 50 MB.
 _BLOCK = 1 << 19
 
 
@@ -109,38 +106,34 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS["up"]) < n:
-        size = max(n, 1 << 16)
-        for name, step in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
-            factors = np.full(size, step, np.uint64)
-            factors[0] = 1
-            _POWERS[name] = np.multiply.accumulate(factors)
-    return _POWERS["up"], _POWERS["down"]
+class _Words(dict):
+    """Hashes of words, looked up or made; of short words a bounded number stays."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 32 and len(self) < 200_000:
+            self[word] = h
+        return h
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of lower-cased UTF-8 text, and the byte at which each begins.
 
-    Words are what is left between ASCII white space. All are hashed at once: a running sum of random
-    values a byte times powers gives every word's polynomial as a difference, which is then stirred.
+    Words are what is left between ASCII white space. Each is hashed by its own bytes with a cryptographic hash, so
+    unlike words that hash alike can't be made up; a worker keeps the hashes of frequent words.
     """
     whole = np.frombuffer(data, np.uint8)
+    known = held(_Words, _Words)
     hashes, places, first = [], [], 0
     while first < len(whole):
         last = min(len(whole), first + _BLOCK)
         while last < len(whole) and not _IS_SPACE[whole[last]]:  # a word isn't cut
             last += 1
-        b = whole[first:last]
-        up, down = _powers(len(b))
-        space = np.ones(len(b) + 2, bool)
-        space[1:-1] = _IS_SPACE[b]
-        starts = np.flatnonzero(~space[1:-1] & space[:-2])
-        ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
-        sums = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
-        hashes.append(mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-        places.append(starts + first)
+        words = data[first:last].split()
+        hashes.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+        space = np.ones(last - first + 1, bool)
+        space[1:] = _IS_SPACE[whole[first:last]]
+        places.append(np.flatnonzero(~space[1:] & space[:-1]) + first)
         first = last
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)

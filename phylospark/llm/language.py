@@ -84,22 +84,22 @@ def fit_language_model(
 ) -> LanguageModel:
     """Fit on a bounded sample of labelled rows.
 
-    Of every language an equal share of ``sample_rows`` is drawn by a hash of the id; the tasks turn
+    Of every language an equal share of ``sample_rows`` is drawn by a hash of id and text, and of every language at least one row; the tasks turn
     whole texts into bucket counts, so the driver sees at most ``sample_rows`` sparse vectors of
     ``BUCKETS`` entries. A fifth of them is kept from training: it sets the softmax temperature and
     the score below which a prediction is rejected (half of the least score among right predictions).
     Every language is learned; where there are more than ``sample_rows`` of them, about one row of each is drawn.
-    The driver holds their names and counts, and ``width`` weights for each. Rows with null ids share one draw. Rows with null text or language don't take part. No labelled rows: a model that knows no language.
+    The driver holds their names and counts, and ``width`` weights for each. Ids may be null or repeat; rows equal in id and text share one draw. Rows with null text or language don't take part. No labelled rows: a model that knows no language.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = rows.groupBy("lang").count().collect()
+    draw = F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least")).collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, width)), np.zeros((width, 0)), np.zeros(0))
     each = max(1, sample_rows // len(languages))
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, each / r["count"]))])
-    draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < F.element_at(share, F.col("lang")))
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], max(min(1.0, each / r["n"]), r["least"]))])
+    sample = rows.where(draw <= F.element_at(share, F.col("lang")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
