@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
-from phylospark.operators import grouped, similarity
+from phylospark.operators import gapped, grouped, similarity
 from phylospark.operators import hits as hit_ops
 from phylospark.operators import sites as site_ops
 from phylospark.sources import readers, writers
@@ -91,6 +91,11 @@ def colinear_hits(spark, sf_dir):
     return similarity.colinear_hits(_seeds(spark, sf_dir)).drop("block_sizes", "q_starts", "t_starts")
 
 
+@query("q10_gapped_hits")
+def gapped_hits(spark, sf_dir):
+    return gapped.gapped_hits(_benchmark_targets(spark, sf_dir), views.contigs(spark, sf_dir), k=15, min_seeded=30, min_score=60, min_identity=75.0)
+
+
 @query("q12_deduplicated", f"with {CONTIGS}, c as (select *, upper(sequence) as u from contigs), k as (select *, least(u, translate(reverse(u), 'ACGT', 'TGCA')) as canonical from c) select sample, min(contig) as contig, arg_min(sequence, contig) as sequence, count(*) as copies from k group by sample, canonical")
 def deduplicated(spark, sf_dir):
     return similarity.deduplicate(views.contigs(spark, sf_dir), ["sample"], "contig")
