@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
+from phylospark.operators.near import Near, first_near, tips_near
 
 #: Trimming defaults.
 MIN_LENGTH, TRIM_QUALITY, MEAN_QUALITY, MAX_N = 25, 13, 16, 5
@@ -108,51 +111,83 @@ def trim_quality(reads: DataFrame, trim: int = TRIM_QUALITY, mean: int = MEAN_QU
     return good.where(seq.count_of(F.upper("sequence"), "N") <= max_n)
 
 
-def neighbourhood(kmers: DataFrame, distance: int) -> DataFrame:
-    """All k-mers within a Hamming distance of the given ones."""
-    for _ in range(distance):
-        changed = kmers.select("*", F.explode(F.sequence(F.lit(1), F.length("kmer"))).alias("p")).select(*[c for c in kmers.columns if c != "kmer"], F.explode(F.transform(F.array(*map(F.lit, "acgt")), lambda b: F.concat(F.substring(F.col("kmer"), F.lit(1), F.col("p") - 1), b, F.substring(F.col("kmer"), F.col("p") + 1, F.length("kmer"))))).alias("kmer"))
-        kmers = changed.distinct()
-    return kmers
+#: Windows of adaptors or contaminants that a task holds at a time, 16 bytes each and as much for each piece; more go in further slices.
+HELD_KMERS = 1 << 20
 
 
-#: Neighbours of adaptor k-mers up to which every task holds them all, of about 60 bytes each.
-HELD_KMERS = 1 << 20
+def _listed(frame: DataFrame, windows: Column) -> list[tuple[list[str], list[str]]]:
+    """Slices of (windows, names) of a list of short sequences, each of bounded size."""
+    rows = frame.select("name", F.explode(windows).alias("w")).groupBy("w").agg(F.min("name").alias("name")).orderBy("w")
+    slices: list[tuple[list[str], list[str]]] = [([], [])]
+    for row in rows.toLocalIterator():
+        if len(slices[-1][0]) == HELD_KMERS:
+            slices.append(([], []))
+        slices[-1][0].append(row["w"])
+        slices[-1][1].append(row["name"])
+    return slices
+
+
+def _windows(k: int) -> Column:
+    n = F.length("sequence")
+    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.substring(F.lower("sequence"), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
+def _first(windows: list[str], names: list[str], k: int, distance: int) -> Column:
+    """The first window of ``sequence`` near one of ``windows``: (place from 0, least name), null where there is none."""
+    order = sorted(set(names))
+    rank = {n: i for i, n in enumerate(order)}
+    near = Near(windows, [rank[n] for n in names], k, distance)
 
+    @F.arrow_udf(returnType="pos int, name string")
+    def search(sequences: pa.Array) -> pa.Array:
+        place, name = first_near(sequences, near)
+        return _found(place, name, order, place < 0)
 
-def trim_adaptors(reads: DataFrame, adaptors: DataFrame, k: int = 21, distance: int = 1) -> DataFrame:
-    """Reads cut at the first place where a k-mer within ``distance`` of an adaptor's begins.
+    return search(F.col("sequence"))
 
-    Adaptors are a short list. Their k-mers and neighbours are counted first: up to HELD_KMERS are broadcast, so
-    that reads' k-mers are looked up where they are and only reads with a match are shuffled; more meet the reads'
-    k-mers by key.
+
+def _found(value: np.ndarray, name: np.ndarray, order: list[str], none: np.ndarray) -> pa.Array:
+    names = pa.array(order, pa.string()).take(pa.array(name, pa.int64(), mask=none))
+    return pa.StructArray.from_arrays([pa.array(value, pa.int32(), mask=none), names], ["pos", "name"], mask=pa.array(none))
+
+
+def trim_adaptors(reads: DataFrame, adaptors: DataFrame, k: int = 21, distance: int = 2) -> DataFrame:
+    """Reads cut at the first place where a k-mer within ``distance`` places of an adaptor's begins, with that ``adaptor``.
+
+    A near k-mer agrees with the adaptor's in one of ``distance`` + 1 pieces, so candidates are looked up by pieces where the
+    read is and their differences counted; no k-mer and no read is shuffled. Only sequences go through Arrow. Adaptors are a
+    short list, which the driver reads; past ``HELD_KMERS`` k-mers it is searched in slices. Letters other than A, C, G and T
+    differ from all. Null sequences have no adaptor.
     """
-    own = adaptors.where(F.length("sequence") >= k).select(F.col("name").alias("adaptor"), F.explode(F.transform(F.sequence(F.lit(1), F.length("sequence") - (k - 1)), lambda i: F.substring(F.lower("sequence"), i, F.lit(k)))).alias("kmer"))
-    near = neighbourhood(own, distance).groupBy("kmer").agg(F.min("adaptor").alias("adaptor"))
-    few = own.distinct().count() * (1 + 3 * k) ** distance <= HELD_KMERS
-    places = reads.where(F.length("sequence") >= k).select("sample", "read_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("sequence") - (k - 1)), lambda i: F.substring(F.lower("sequence"), i, F.lit(k)))).alias("pos", "kmer"))
-    found = places.join(F.broadcast(near) if few else near, "kmer").groupBy("sample", "read_id").agg(F.min(F.struct("pos", "adaptor")).alias("hit"))
-    out = reads.join(found, ["sample", "read_id"], "left")
-    keep = F.coalesce(F.col("hit.pos"), F.length("sequence"))
-    return out.withColumns({"adaptor": F.col("hit.adaptor"), "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("hit")
+    found = F.array_compact(F.array(*[_first(*own, k, distance) for own in _listed(adaptors, _windows(k))]))
+    out = reads.withColumn("__hit", F.array_min(found))
+    keep = F.coalesce(F.col("__hit.pos"), F.length("sequence"))
+    return out.withColumns({"adaptor": F.col("__hit.name"), "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("__hit")
 
 
-def trim_adaptor_tips(reads: DataFrame, adaptors: DataFrame, least: int = 11, k: int = 21, distance: int = 1) -> DataFrame:
+def trim_adaptor_tips(reads: DataFrame, adaptors: DataFrame, least: int = 11, k: int = 21, distance: int = 2) -> DataFrame:
     """Reads cut where their end is the start of an adaptor, ``least`` to ``k`` - 1 bases of it, within ``distance``.
 
-    The longest such end goes. A read gives one row a length, looked up among the starts' neighbours: a short
-    list of known size, broadcast up to HELD_KMERS.
+    The longest such end goes. Starts of adaptors are looked up by pieces, as in ``trim_adaptors``.
     """
-    lengths = F.sequence(F.lit(least), F.lit(k - 1))
-    starts = adaptors.select(F.col("name").alias("adaptor"), F.explode(F.transform(F.filter(lengths, lambda n: n <= F.length("sequence")), lambda n: F.substring(F.lower("sequence"), F.lit(1), n))).alias("kmer"))
-    near = neighbourhood(starts, distance).groupBy("kmer").agg(F.min("adaptor").alias("tip"))
-    few = starts.count() * (1 + 3 * k) ** distance <= HELD_KMERS
-    ends = reads.select("sample", "read_id", F.explode(F.transform(F.filter(lengths, lambda n: n <= F.length("sequence")), lambda n: F.substring(F.lower("sequence"), F.length("sequence") - n + 1, n))).alias("kmer"))
-    found = ends.join(F.broadcast(near) if few else near, "kmer").groupBy("sample", "read_id").agg(F.max(F.length("kmer")).alias("off"), F.max_by("tip", F.length("kmer")).alias("tip"))
-    out = reads.join(found, ["sample", "read_id"], "left")
-    keep = F.length("sequence") - F.coalesce(F.col("off"), F.lit(0))
-    named = F.coalesce(F.col("adaptor"), F.col("tip")) if "adaptor" in reads.columns else F.col("tip")
-    return out.withColumns({"adaptor": named, "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("off", "tip")
+    tips, names = [], set()
+    for n in range(least, k):
+        starts = _listed(adaptors.where(F.length("sequence") >= n), F.array(F.substring(F.lower("sequence"), 1, n)))
+        tips += [(own, name, n) for own, name in starts]
+        names |= {x for _, name in starts for x in name}
+    order = sorted(names)
+    rank = {n: i for i, n in enumerate(order)}
+    near = [Near(own, [rank[x] for x in name], n, distance) for own, name, n in tips if own]
+
+    @F.arrow_udf(returnType="pos int, name string")
+    def search(sequences: pa.Array) -> pa.Array:
+        size, name = tips_near(sequences, near)
+        return _found(size, name, order, size == 0)
+
+    out = reads.withColumn("__hit", search(F.col("sequence")))
+    keep = F.length("sequence") - F.coalesce(F.col("__hit.pos"), F.lit(0))
+    named = F.coalesce(F.col("adaptor"), F.col("__hit.name")) if "adaptor" in reads.columns else F.col("__hit.name")
+    return out.withColumns({"adaptor": named, "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("__hit")
 
 
 #: K, least k at the tip, and distance of the two rounds of adaptor trimming.
@@ -185,17 +220,10 @@ def trim_pairs_evenly(reads: DataFrame, fragment: str = "fragment") -> DataFrame
 
 
 def drop_contaminated(reads: DataFrame, contaminants: DataFrame, k: int = 31, distance: int = 1) -> DataFrame:
-    """Reads without a k-mer within ``distance`` of a contaminant's, on either strand.
-
-    Contaminants are a short list; their k-mers' neighbours are broadcast up to HELD_KMERS, more meet by key.
-    """
-    windows = lambda s: F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1)), lambda i: F.substring(F.lower(s), i, F.lit(k)))
-    own = contaminants.where(F.length("sequence") >= k).select(F.explode(windows(F.col("sequence"))).alias("kmer"))
-    own = own.union(own.select(seq.reverse_complement(F.col("kmer")))).distinct()
-    few = own.count() * (1 + 3 * k) ** distance <= HELD_KMERS
-    near = neighbourhood(own, distance)
-    met = reads.where(F.length("sequence") >= k).select("sample", "read_id", F.explode(windows(F.col("sequence"))).alias("kmer")).join(F.broadcast(near) if few else near, "kmer", "left_semi")
-    return reads.join(met.select("sample", "read_id").distinct(), ["sample", "read_id"], "left_anti")
+    """Reads without a k-mer within ``distance`` of a contaminant's, on either strand; found inside the row by pieces."""
+    both = contaminants.select("sequence").union(contaminants.select(seq.reverse_complement(F.col("sequence")))).withColumn("name", F.lit(""))
+    found = F.array_compact(F.array(*[_first(*own, k, distance) for own in _listed(both, _windows(k))]))
+    return reads.where(F.size(found) == 0)
 
 
 def qc_report(before: DataFrame, after: DataFrame, adaptor_content: DataFrame | None = None) -> DataFrame:

@@ -109,3 +109,15 @@ def sample_reads(spark, sf_dir):
 def wide_counts(spark, sf_dir):
     items = views.table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("adaptor"), F.col("l_returnflag").alias("sample"))
     return ops.adaptor_counts(items, ["R", "A", "N"])
+
+
+def _passage_adaptors(spark, sf_dir):
+    text = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), views._FROM, views._TO)
+    return views.table(spark, sf_dir, "benchmark").select(F.format_string("ad%05d", "item_id").alias("name"), F.substring(text, 1, 34).alias("sequence"))
+
+
+@query("q07_default_rounds")
+def default_rounds(spark, sf_dir):
+    """Both rounds at their default k and distance: adaptors are the first 34 bases of every benchmark passage."""
+    out = ops.trim_adaptors_in_rounds(views.reads(spark, sf_dir), _passage_adaptors(spark, sf_dir))
+    return out.select("sample", "read_id", "adaptor_1", "adaptor_2", F.length("sequence").alias("kept"))
