@@ -199,9 +199,14 @@ def region_gate(hits: DataFrame, least: float = 10.0) -> DataFrame:
 
 
 def recovery_summary(ext: DataFrame, keys: list[str]) -> DataFrame:
-    """Loci, paralogs, lengths and coverage of best copies per sample."""
+    """Loci, paralogs, lengths and coverage (of two decimal places) of best copies per sample.
+
+    Means are taken from whole numbers and rounded half up at four places, so no order of summation shows in them.
+    """
     best = F.col("hit") == "00"
-    return ext.groupBy(*keys).agg(F.count_distinct("locus").alias("loci"), F.count_if(~best).alias("paralogs"), F.round(F.avg(F.when(best, F.col("ref_len_matched"))), 4).alias("mean_best_length"), F.sum(F.when(best, F.col("ref_len_matched"))).alias("total_best_length"), F.round(F.avg(F.when(best, F.col("coverage"))), 4).alias("mean_best_coverage"))
+    own = ext.groupBy(*keys).agg(F.count_distinct("locus").alias("loci"), F.count_if(~best).alias("paralogs"), F.count_if(best).alias("n"), F.sum(F.when(best, F.col("ref_len_matched"))).alias("total_best_length"), F.sum(F.when(best, F.round(F.col("coverage") * 100).cast("long"))).alias("hundredths"))
+    mean = lambda total, units: F.expr(f"({2 * units} * {total} + n) div (2 * n)") / F.lit(10000.0)
+    return own.select(*keys, "loci", "paralogs", mean("total_best_length", 10000).alias("mean_best_length"), "total_best_length", mean("hundredths", 100).alias("mean_best_coverage"))
 
 
 def best_hit_report(ext: DataFrame) -> DataFrame:

@@ -157,7 +157,7 @@ def _ext(spark, sf_dir):
     return views.extraction(spark, sf_dir)
 
 
-@query("a20_recovery", f"with {EXTRACTION}, r as (select *, row_number() over (partition by sample, locus order by wscore desc, hit_id) as n from extraction) select sample, count(distinct locus) as loci, count(*) filter (where n > 1) as paralogs, round(avg(ref_len_matched) filter (where n = 1), 4) as mean_best_length, cast(sum(ref_len_matched) filter (where n = 1) as bigint) as total_best_length, round(avg(coverage) filter (where n = 1), 4) as mean_best_coverage from r group by 1")
+@query("a20_recovery", f"with {EXTRACTION}, r as (select *, row_number() over (partition by sample, locus order by wscore desc, hit_id) as n from extraction), s as (select sample, count(distinct locus) as loci, count(*) filter (where n > 1) as paralogs, cast(count(*) filter (where n = 1) as bigint) as m, cast(sum(ref_len_matched) filter (where n = 1) as bigint) as total_best_length, cast(sum(cast(round(coverage * 100) as bigint)) filter (where n = 1) as bigint) as hundredths from r group by 1) select sample, loci, paralogs, cast((20000 * total_best_length + m) // (2 * m) as double) / 10000 as mean_best_length, total_best_length, cast((200 * hundredths + m) // (2 * m) as double) / 10000 as mean_best_coverage from s")
 def recovery(spark, sf_dir):
     return ops.recovery_summary(ops.ranked(_ext(spark, sf_dir), K), ["sample"])
 
