@@ -84,26 +84,37 @@ def deduplicate(seqs: DataFrame, keys: list[str], name: str = "name") -> DataFra
     return seqs.groupBy(*keys, canonical(F.col("sequence")).alias("canonical")).agg(F.min_by(F.struct(name, "sequence"), name).alias("x"), F.count(F.lit(1)).alias("copies")).select(*keys, f"x.{name}", "x.sequence", "copies")
 
 
-def _edges(seqs: DataFrame, keys: list[str], identity: float, coverage: float, k: int, name: str) -> DataFrame:
-    """Pairs whose shared k-mers reach ``coverage`` of the shorter one and, by the Mash formula, ``identity``."""
-    marks = kmers(seqs, [*keys, name], k).select(*keys, name, canonical(F.col("kmer")).alias("kmer")).distinct()
-    sizes = marks.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n"))
-    # every shared k-mer is counted, so a short sequence inside a long one is found at any ratio of lengths
-    other = marks.select(*keys, F.col(name).alias("other"), "kmer")
-    shared = marks.join(other, [*keys, "kmer"]).where(F.col(name) < F.col("other")).groupBy(*keys, name, "other").agg(F.count(F.lit(1)).alias("shared"))
-    n2 = sizes.select(*keys, F.col(name).alias("other"), F.col("n").alias("n2"))
-    judged = shared.join(sizes, [*keys, name]).join(n2, [*keys, "other"])
-    least = F.least("n", "n2")
-    near = F.pow(F.col("shared") / least, F.lit(1.0 / k)) * 100
-    return judged.where((near >= identity) & (100.0 * F.col("shared") / least >= coverage)).select(*keys, name, "other")
+def _edges(seqs: DataFrame, keys: list[str], identity: float, coverage: float, k: int, name: str, save) -> DataFrame:
+    """Pairs whose shared k-mers reach ``coverage`` of the shorter set and, by the Mash formula, ``identity``.
+
+    Both bounds are one share of the smaller set. Each set is ordered by how few sequences hold a k-mer; what two near sets
+    share can't lie in the frequent end alone, so only the rare prefix that the bound requires meets the other sets' k-mers, and
+    only where enough could follow on both sides. A pair is one row from then on, and is verified on the whole sets.
+    """
+    share = max(coverage / 100.0, (identity / 100.0) ** k)
+    marks = kmers(seqs, [*keys, name], k).select(*keys, name, F.xxhash64(canonical(F.col("kmer"))).alias("token")).distinct()
+    held = marks.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("df"))
+    sets = save(marks.join(held, [*keys, "token"]).groupBy(*keys, name).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held")).withColumn("n", F.size("held")))
+    least = F.ceil(F.col("n") * share - 1e-9)
+    placed = sets.select(*keys, name, "n", least.alias("least"), F.posexplode("held").alias("at", "x")).where("x.df > 1").select(*keys, name, "n", "least", "at", F.col("x.token").alias("token"))
+    few = placed.where(F.col("at") <= F.col("n") - F.col("least"))
+    other = placed.select(*keys, F.col(name).alias("other"), F.col("n").alias("n2"), F.col("at").alias("at2"), "token")
+    smaller = F.struct(F.col("n").alias("n"), F.col(name).alias("m")) < F.struct(F.col("n2").alias("n"), F.col("other").alias("m"))
+    room = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= F.col("least")
+    # the first k-mer that two near sets share leaves room for all the others, so a pair that may hold is kept by it
+    pairs = few.join(other, [*keys, "token"]).where(smaller & room).select(*keys, name, "other").distinct()
+    tokens = sets.select(*keys, name, "n", F.col("held.token").alias("a"))
+    both = pairs.join(tokens, [*keys, name]).join(tokens.select(*keys, F.col(name).alias("other"), F.col("a").alias("b")), [*keys, "other"])
+    return both.where(F.size(F.array_intersect("a", "b")) >= F.ceil(F.col("n") * share - 1e-9)).select(*keys, name, "other")
 
 
 def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 75.0, coverage: float = 50.0, k: int = 11, name: str = "name", save=None) -> DataFrame:
     """Greedy clusters: members meet identity and coverage with their centroid; longer sequences lead.
 
     Equal sequences are one from the start and share a centroid. In rounds, a sequence that is the longest among
-    its open neighbours becomes a centroid and takes them; rounds end when none is open. Different sequences that
-    are all near one another cost a row for each pair and shared k-mer. ``save`` writes a frame out and reads it back to cut its lineage.
+    its open neighbours becomes a centroid and takes them; rounds end when none is open. Among sequences of one length a hash
+    of the name decides, so a chain of neighbours takes few rounds. Candidates come from rare k-mers (see ``_edges``), all of
+    them. Sequences shorter than ``k`` stay alone. ``save`` writes a frame out and reads it back to cut its lineage.
     """
     keys = list(keys)
     save = save or (lambda f: f.checkpoint())
@@ -111,11 +122,13 @@ def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 7
     lead = save(seqs.groupBy(*keys, text.alias("sequence")).agg(F.min(name).alias("lead")))
     copies = save(seqs.select(*keys, name, text.alias("sequence")).join(lead, [*keys, "sequence"]).select(*keys, F.col("lead").alias("member"), F.col(name).alias("copy")))
     seqs = lead.withColumnRenamed("lead", name)
-    edges = save(_edges(seqs, keys, identity, coverage, k, name))
+    edges = save(_edges(seqs, keys, identity, coverage, k, name, save))
     both = save(edges.select(*keys, F.col(name).alias("a"), F.col("other").alias("b")).union(edges.select(*keys, F.col("other").alias("a"), F.col(name).alias("b"))))
-    open_ = save(seqs.select(*keys, F.col(name).alias("a"), (-F.length("sequence")).alias("p")))
-    done = None
-    while True:
+    whole = seqs.select(*keys, F.col(name).alias("a"), F.struct((-F.length("sequence")).alias("l"), F.xxhash64(name).alias("h")).alias("p"))
+    linked = both.select(*keys, "a").distinct()
+    done = save(whole.join(linked, [*keys, "a"], "left_anti").select(*keys, F.col("a").alias("centroid"), F.col("a").alias("member")))
+    open_ = save(whole.join(linked, [*keys, "a"], "left_semi"))
+    while open_.limit(1).count():
         order = F.struct("p", "a")
         near = both.join(open_.withColumnRenamed("a", "b").withColumn("o", F.struct("p", "b")).drop("p"), [*keys, "b"])
         best = near.groupBy(*keys, "a").agg(F.min("o").alias("o"))
@@ -123,10 +136,9 @@ def cluster_sequences(seqs: DataFrame, keys: list[str] = (), identity: float = 7
         lead = judged.where(F.col("o").isNull() | (order < F.struct(F.col("o.p").alias("p"), F.col("o.b").alias("a")))).select(*keys, "a", "p")
         taken = lead.join(both, [*keys, "a"]).join(open_.select(*keys, F.col("a").alias("b")), [*keys, "b"]).groupBy(*keys, "b").agg(F.min(F.struct("p", "a")).alias("c")).select(*keys, F.col("c.a").alias("centroid"), F.col("b").alias("member"))
         new = save(taken.union(lead.select(*keys, F.col("a").alias("centroid"), F.col("a").alias("member"))))
-        done = new if done is None else done.union(new)
+        done = done.union(new)
         open_ = save(open_.join(new.select(*keys, F.col("member").alias("a")), [*keys, "a"], "left_anti"))
-        if not open_.limit(1).count():
-            return done.join(copies, [*keys, "member"]).select(*keys, "centroid", F.col("copy").alias("member"))
+    return done.join(copies, [*keys, "member"]).select(*keys, "centroid", F.col("copy").alias("member"))
 
 
 def deduplicate_near(seqs: DataFrame, keys: list[str], identity: float = 99.0, coverage: float = 80.0, k: int = 21, name: str = "name", save=None) -> DataFrame:

@@ -10,7 +10,7 @@ from phylospark.sources import readers
 
 from . import views
 from .q_reads import _ADAPTORS, _FLAT, _Q, _adaptors
-from .q_similarity import _benchmark_targets, _saver, shared_folder
+from .q_similarity import _saver, shared_folder
 from .q_sites import _BARE, _CODON, _GCW, _LET
 from .q_targets import _COPIES
 from .registry import query
@@ -272,7 +272,8 @@ def masked_baits(spark, sf_dir):
 
 @query("q18_clustered_baits")
 def clustered_baits(spark, sf_dir):
-    own = targets.tile(_benchmark_targets(spark, sf_dir), step=20, name="target")
+    """Baits of all contigs, 20 bases apart."""
+    own = targets.tile(views.contigs(spark, sf_dir).withColumnRenamed("contig", "name"), step=20)
     rows = own.select(F.concat_ws("_", "name", F.lpad(F.col("bait_no").cast("string"), 8, "0")).alias("name"), F.col("bait").alias("sequence"))
     return similarity.thin_clustered_baits(rows, save=_saver(spark))
 
