@@ -15,8 +15,6 @@ from . import sites
 MAX_ORGANELLE = {"PTD": 550_000, "MIT": 1_000_000}
 #: The stage and formats of alignments whose connecting ``n`` are residues.
 CODING_FORMATS = ("AA", "NT")
-#: Least overlap of two contigs' ends, and identity that makes it one.
-LEAST_OVERLAP, OVERLAP_IDENTITY = 21, 0.9667
 
 
 def merge_tables(tables: list[DataFrame]) -> DataFrame:
@@ -181,14 +179,6 @@ def file_statistics(aln: DataFrame, keys: list[str]) -> DataFrame:
     return stats.unionByName(sites.alignment_stats(aa, keys, "AA").withColumn("kind", F.lit("AA")), allowMissingColumns=True)
 
 
-def overlap_length(trail: Column, lead: Column, longest: int = 400) -> Column:
-    """Longest end of one sequence that the other begins with at nearly full identity, 0 under the least overlap."""
-    n = F.least(F.length(trail), F.length(lead), F.lit(longest))
-    sizes = F.when(n > LEAST_OVERLAP, F.sequence(n, F.lit(LEAST_OVERLAP), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    matches = lambda k: F.aggregate(F.zip_with(F.split(F.upper(F.substring(trail, F.length(trail) - k + 1, k)), ""), F.split(F.upper(F.substring(lead, F.lit(1), k)), ""), lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda a, v: a + v)
-    return F.coalesce(F.try_element_at(F.filter(sizes, lambda k: matches(k) >= OVERLAP_IDENTITY * k), F.lit(1)), F.lit(0))
-
-
 def reference_candidates(clusters: DataFrame, single: bool = True, min_samples: int = 4) -> DataFrame:
     """Centroids that may stand as references, by samples and length; the first of a locus, or all."""
     per = clusters.groupBy("centroid").agg(F.count_distinct("sample").alias("samples"), F.max("length").alias("longest"), F.min(F.when(F.col("member") == F.col("centroid"), F.col("locus"))).alias("locus"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
-from phylospark.operators import assembly, merge, sites
+from phylospark.operators import assembly, merge, sites, stitch
 from phylospark.operators import targets as target_ops
 from phylospark.sources import readers, writers
 
@@ -220,7 +220,7 @@ _ENDS = f"{CONTIGS}, e as (select contig, upper(right(sequence, 60)) || upper(le
 def overlaps(spark, sf_dir):
     c = views.contigs(spark, sf_dir).where("length >= 120")
     head = F.substring(F.upper("sequence"), F.lit(1), (15 + F.col("contig").cast("long") % 40).cast("int"))
-    return c.select("contig", merge.overlap_length(F.concat(F.substring(F.upper("sequence"), F.length("sequence") - 59, F.lit(60)), head), F.concat(head, F.repeat(F.lit("A"), F.lit(30)))).alias("overlap"))
+    return c.select("contig", stitch.overlap_length(F.concat(F.substring(F.upper("sequence"), F.length("sequence") - 59, F.lit(60)), head), F.concat(head, F.repeat(F.lit("A"), F.lit(30)))).alias("overlap"))
 
 
 @query("q20_reference_candidates", f"with {CLUSTERS}, p as (select centroid, count(distinct sample) as samples, max(length) as longest, min(case when member = centroid then locus end) as locus from clusters group by 1), r as (select *, row_number() over (partition by locus order by samples desc, longest desc, centroid) as k from p where samples >= 4) select centroid, locus, samples from r where k = 1")

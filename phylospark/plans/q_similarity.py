@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
-from phylospark.operators import gapped, grouped, similarity
+from phylospark.operators import gapped, grouped, similarity, stitch
 from phylospark.operators import hits as hit_ops
 from phylospark.operators import sites as site_ops
 from phylospark.sources import readers, writers
@@ -136,6 +136,24 @@ def stitched_hits(spark, sf_dir):
     return grouped.stitched(h, grouped.greedy_paths(h, ["sample", "locus"]), ["sample", "locus"])
 
 
+@query("j11_stitched_sequences")
+def stitched_sequences(spark, sf_dir):
+    """Gapped hits of the benchmark passages, partial ones joined to copies, with the sequences of all their parts."""
+    contigs = views.contigs(spark, sf_dir).where("length > 0")
+    found = gapped.gapped_hits(_benchmark_targets(spark, sf_dir), contigs, k=15, min_seeded=30, min_score=40)
+    size, start, end, t_size, t_start, t_end = (F.col(x) for x in ("q_size", "q_start", "q_end", "t_size", "t_start", "t_end"))
+    matched = F.col("matches") + F.col("mismatches")
+    hits = found.withColumns(
+        {
+            "hit_id": F.xxhash64("q_name", "t_name", "strand", "t_start", "q_start"), "contig": F.col("t_name"), "coverage": 100.0 * matched / size,
+            "region": hit_ops.hit_region(size, start, end, t_size, t_start, t_end, F.col("strand")), "blocks": F.zip_with("t_starts", "block_sizes", lambda s, n: F.struct(s.alias("s"), (s + n).alias("e"))),
+        }
+    ).withColumn("wscore", hit_ops.weighted_score(F.col("identity"), F.col("coverage")))
+    hits = _saver(spark)(hits.join(contigs.select("contig", "depth"), "contig"))
+    paths = grouped.greedy_paths(hits, ["q_name"])
+    return stitch.stitch_paths(hits, paths, contigs.select("contig", "sequence"), ["q_name"])
+
+
 @query("q06_masked_outliers")
 def masked_outliers(spark, sf_dir):
     return grouped.mask_outliers(views.alignments(spark, sf_dir), ["locus"])
