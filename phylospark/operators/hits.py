@@ -130,6 +130,36 @@ def top_targets(hits: DataFrame, keys: list[str], n: int = 100) -> DataFrame:
     return hits.join(best.withColumn("r", rank).where(F.col("r") <= n).select(*keys, "target"), [*keys, "target"], "left_semi")
 
 
+#: Targets of a locus after the first and the final round, a chromosome's least size, and comparisons across loci at most.
+TARGETS_FIRST, TARGETS_FINAL, CHROMOSOME, COMPARISONS = 7, 100, 10_000_000, 400_000_000
+
+
+def target_numbers(hits: DataFrame, group: list[str], first_round: bool, budget: int = COMPARISONS, chromosome: int = CHROMOSOME) -> DataFrame:
+    """How many targets a locus may keep in each group of hits (``best_n``; null: all).
+
+    The number is limited in the first round, and wherever all targets against one another exceed the ``budget``. In the first round
+    within it the limit is the small number, else the large one; contigs of a chromosome's size halve the one and leave a tenth of the
+    other. The large one is lowered, to one at least, until all loci's targets against those of the other loci meet the budget.
+    """
+    c = F.col
+    own = hits.groupBy(*group).agg(F.count_distinct("locus", "target").alias("t"), F.count_distinct("locus").alias("loci"), F.max("t_size").alias("largest"))
+    within, large = c("t") * (c("t") - 1) < budget, c("largest") >= chromosome
+    small = F.when(large, max(1, TARGETS_FIRST // 2)).otherwise(TARGETS_FIRST)
+    most = F.when(large, TARGETS_FINAL // 10).otherwise(TARGETS_FINAL)
+    fits = F.filter(F.sequence(F.lit(2).cast("long"), F.greatest(most.cast("long"), F.lit(2).cast("long"))), lambda n: c("loci") * (c("loci") - 1) * n * n <= budget)
+    lowered = F.least(most, F.coalesce(F.array_max(fits), F.lit(1)))
+    limited = F.lit(first_round) | (c("t") * (c("t") - 1) > budget)
+    return own.select(*group, F.when(limited, F.when(F.lit(first_round) & within, small).otherwise(lowered)).cast("int").alias("best_n"))
+
+
+def budgeted_targets(hits: DataFrame, group: list[str], first_round: bool = False, budget: int = COMPARISONS, chromosome: int = CHROMOSOME) -> DataFrame:
+    """Hits of each locus's best targets by their highest score, as many as ``target_numbers`` allows; ties go to the smaller target."""
+    best = hits.groupBy(*group, "locus", "target").agg(F.max("wscore").alias("best"))
+    rank = F.row_number().over(Window.partitionBy(*group, "locus").orderBy(F.desc("best"), "target"))
+    allowed = best.withColumn("r", rank).join(target_numbers(hits, group, first_round, budget, chromosome), group).where(F.col("best_n").isNull() | (F.col("r") <= F.col("best_n")))
+    return hits.join(allowed.select(*group, "locus", "target"), [*group, "locus", "target"], "left_semi")
+
+
 def drop_overlaps(hits: DataFrame, max_overlap: float = 5.0, width: int = BIN, allowed: list[tuple] = ()) -> DataFrame:
     """Hits that no better hit on the contig overlaps by more than ``max_overlap`` percent of the longer one.
 

@@ -67,6 +67,23 @@ def top_targets(spark, sf_dir):
     return ops.top_targets(_hits(spark, sf_dir), ["locus"], 7).select("hit_id")
 
 
+_BUDGET = f"""{HITS}, g as (select sample, count(distinct locus || '_' || target) as t, count(distinct locus) as loci, max(t_size) as largest from hits group by 1), tg as (select sample, locus, target, row_number() over (partition by sample, locus order by max(wscore) desc, target) as r from hits group by 1, 2, 3),
+    ns as (select g.sample, s.stage, s.budget, s.chromosome, t, loci, case when largest >= s.chromosome then 3 else 7 end as small, case when largest >= s.chromosome then 10 else 100 end as most from g, (values ('first', 400000000, 12000), ('first', 2000, 20000), ('final', 400000000, 20000), ('final', 40000, 20000), ('final', 100, 12000)) as s(stage, budget, chromosome)),
+    nb as (select *, case when stage = 'final' and t * (t - 1) <= budget then 1000000 when stage = 'first' and t * (t - 1) < budget then small else (select coalesce(max(n), 1) from range(2, 101) as x(n) where n <= most and loci * (loci - 1) * n * n <= budget) end as best_n from ns)
+    select stage, cast(budget as bigint) as budget, hit_id from hits join tg using (sample, locus, target) join nb using (sample) where r <= best_n"""
+
+
+@query("l01_budgeted_targets", f"with {_BUDGET}")
+def budgeted_targets(spark, sf_dir):
+    """Both rounds, with and without chromosomes, within the budget and over it."""
+    h = _hits(spark, sf_dir)
+    out = None
+    for first, budget, chromosome in ((True, 400_000_000, 12_000), (True, 2000, 20_000), (False, 400_000_000, 20_000), (False, 40_000, 20_000), (False, 100, 12_000)):
+        rows = ops.budgeted_targets(h, ["sample"], first, budget, chromosome).select(F.lit("first" if first else "final").alias("stage"), F.lit(budget).cast("long").alias("budget"), "hit_id")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 @query(
     "j05_drop_overlaps",
     f"""with {HITS} select hit_id from hits h where not exists (select 1 from hits b where b.sample = h.sample and b.contig = h.contig

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
-from phylospark.operators import assembly, hits, reads, similarity, sites, targets
+from phylospark.operators import assembly, hits, reads, references, similarity, sites, targets
 from phylospark.sources import readers
 
 from . import views
@@ -283,3 +283,22 @@ def reference_targets(spark, sf_dir):
     rows = views.contigs(spark, sf_dir).where("length > 0").select(F.concat_ws("-", "contig", "sample").alias("name"), "sequence", F.lit("f").alias("src_file"))
     found = readers.reference_targets(rows)
     return found.select("target", "locus", "seq_type", F.length("sequence").alias("bases"))
+
+
+def _located(spark, sf_dir):
+    return views.contigs(spark, sf_dir).where("length >= 60").select(F.concat_ws("-", "contig", "sample").alias("name"), F.col("sample").alias("locus"), "sample", "sequence")
+
+
+@query("q19_clustered_targets")
+def clustered_targets(spark, sf_dir):
+    """Contigs as targets of their source's locus, with as many baits as 60 bases apart give."""
+    own = _located(spark, sf_dir)
+    baits = _baits(spark, sf_dir).groupBy(F.col("sample").alias("locus")).agg(F.count(F.lit(1)).alias("baits"))
+    return references.target_set(own.select("name", "locus", "sequence"), baits, remove_ambiguous=False, save=_saver(spark))[0]
+
+
+@query("q20_two_rounds")
+def two_rounds(spark, sf_dir):
+    """References from contigs that at least two sources share."""
+    own = _located(spark, sf_dir).select("name", "sample", "sequence")
+    return references.reference_candidates(own, min_samples=2, max_copies=5.0, min_length=200, save=_saver(spark))
