@@ -293,7 +293,8 @@ def _located(spark, sf_dir):
 def clustered_targets(spark, sf_dir):
     """Contigs as targets of their source's locus, with as many baits as 60 bases apart give."""
     own = _located(spark, sf_dir)
-    baits = _baits(spark, sf_dir).groupBy(F.col("sample").alias("locus")).agg(F.count(F.lit(1)).alias("baits"))
+    of = views.contigs(spark, sf_dir).select(F.col("contig").alias("name"), F.col("sample").alias("locus"))
+    baits = _baits(spark, sf_dir).join(of, "name").groupBy("locus").agg(F.count(F.lit(1)).alias("baits"))
     return references.target_set(own.select("name", "locus", "sequence"), baits, remove_ambiguous=False, save=_saver(spark))[0]
 
 
