@@ -114,3 +114,35 @@ def tips_near(column: pa.Array, tips: list[Near]) -> tuple[np.ndarray, np.ndarra
             lead = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else order
             size[part[w[lead]]], name[part[w[lead]]] = near.k, found[order][lead]
     return size, name
+
+
+def _letters_of(column: pa.Array, complement: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A row's bases as codes (or their complements') in a padded matrix, and lengths. Other letters and padding match nothing."""
+    text, begin = _bytes(column)
+    code, odd = coded(text)
+    own = (3 - code if complement else code).astype(np.int8)
+    own[odd] = 5 if complement else 4
+    size = np.diff(begin)
+    out = np.full((len(size), int(size.max(initial=0))), 7 if complement else 6, np.int8)
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(len(text)) - begin[row]] = own
+    return out, size
+
+
+def insert_lengths(one: pa.Array, other: pa.Array, penalty: int, least: int) -> np.ndarray:
+    """Length of the fragment that two mates were read from, by the offset with most votes; -1 where none has enough.
+
+    If it is n, base i of the one faces base n - 1 - i of the other. Each pair of facing bases that are complements is a vote, each
+    other pair costs ``penalty``; the highest sum counts if it is ``least`` or more, and of equal ones the longest fragment.
+    """
+    a, la = _letters_of(one, False)
+    b, lb = _letters_of(other, True)
+    best, found = np.full(len(la), least), np.full(len(la), -1)
+    for n in range(1, a.shape[1] + b.shape[1]):
+        first, end = max(0, n - b.shape[1]), min(a.shape[1], n)
+        same = (a[:, first:end] == b[:, n - end : n - first][:, ::-1]).sum(1)
+        faced = np.maximum(np.minimum(la, n) - np.maximum(0, n - lb), 0)
+        votes = same - penalty * (faced - same)
+        better = (votes >= best) & (faced > 0)
+        best[better], found[better] = votes[better], n
+    return found

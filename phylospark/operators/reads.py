@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
-from phylospark.operators.near import Near, first_near, tips_near
+from phylospark.operators.near import Near, first_near, insert_lengths, tips_near
 
 #: Trimming defaults.
 MIN_LENGTH, TRIM_QUALITY, MEAN_QUALITY, MAX_N = 25, 13, 16, 5
@@ -219,6 +219,31 @@ def trim_pairs_evenly(reads: DataFrame, fragment: str = "fragment") -> DataFrame
     return reads.join(shortest, ["sample", fragment]).withColumns({c: F.substring(F.col(c), F.lit(1), F.col("__n")) for c in ("sequence", "quality")}).drop("__n")
 
 
+#: Reads whose mates are held against them at a time.
+PAIRS = 4096
+
+
+def trim_mate_overlap(reads: DataFrame, fragment: str = "fragment", mate: str = "mate", penalty: int = 3, least: int = 14) -> DataFrame:
+    """Reads that run past the fragment they come from, cut at its end, which the mate shows; ``insert`` is the fragment's length.
+
+    A read's facing bases are held against its mate's complements at every offset (``near.insert_lengths``); the insert is null where no offset
+    has enough votes, and where there is no mate. Mates meet by sample and fragment, the one shuffle; of several rows of one
+    mate the least sequence stands for it. Rows stay as many as they are.
+    """
+    other = reads.where(F.col("sequence").isNotNull()).groupBy("sample", fragment, mate).agg(F.min("sequence").alias("__other"))
+    other = other.withColumn(mate, 3 - F.col(mate))
+
+    @F.arrow_udf(returnType="int")
+    def inserts(one: pa.Array, two: pa.Array) -> pa.Array:
+        found = [insert_lengths(one.slice(i, PAIRS), two.slice(i, PAIRS), penalty, least) for i in range(0, len(one), PAIRS)]
+        n = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return pa.array(n, pa.int32(), mask=n < 0)
+
+    out = reads.join(other, ["sample", fragment, mate], "left").withColumn("insert", inserts(F.col("sequence"), F.col("__other")))
+    keep = F.coalesce(F.col("insert"), F.length("sequence"))
+    return out.withColumns({c: F.substring(F.col(c), F.lit(1), keep) for c in ("sequence", "quality")}).select(*reads.columns, "insert")
+
+
 def drop_contaminated(reads: DataFrame, contaminants: DataFrame, k: int = 31, distance: int = 1) -> DataFrame:
     """Reads without a k-mer within ``distance`` of a contaminant's, on either strand; found inside the row by pieces."""
     both = contaminants.select("sequence").union(contaminants.select(seq.reverse_complement(F.col("sequence")))).withColumn("name", F.lit(""))

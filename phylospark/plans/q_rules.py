@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from phylospark.functions import seq
 from phylospark.operators import assembly, hits, reads, references, similarity, sites, targets
-from phylospark.sources import readers
+from phylospark.sources import files, readers
 
 from . import views
 from .q_reads import _ADAPTORS, _FLAT, _Q, _adaptors
@@ -303,3 +303,30 @@ def two_rounds(spark, sf_dir):
     """References from contigs that at least two sources share."""
     own = _located(spark, sf_dir).select("name", "sample", "sequence")
     return references.reference_candidates(own, min_samples=2, max_copies=5.0, min_length=200, save=_saver(spark))
+
+
+@query("k02_locus_files", f"with {ALIGNMENTS} select locus, seq_name as name, sequence from alignments")
+def locus_files(spark, sf_dir):
+    """Every alignment written to a file of its locus's name, and all files read again."""
+    path = shared_folder(spark, "loci")
+    files.write_fasta_files(views.alignments(spark, sf_dir).select("locus", F.col("seq_name").alias("name"), "sequence"), path, width=50)
+    found = readers.read_fasta(spark, path)
+    return found.select(F.regexp_extract("src_file", r"([^/]+)\.fasta$", 1).alias("locus"), "name", "sequence")
+
+
+@query("k03_nexus_files", f"""with {ALIGNMENTS}, z as (select locus, count(*) as n, max(length(sequence)) as w, max(length(seq_name)) as p from alignments group by 1), b as (select locus, seq_name, sequence, p, unnest(range(0, 3)) as k from alignments join z using (locus))
+    select locus || '.nex' as file, rpad(seq_name, cast(p as int), ' ') || ' ' || substr(sequence, cast(k * 50 + 1 as bigint), 50) as line from b union all select locus || '.nex', unnest(['#NEXUS', 'BEGIN DATA;', 'DIMENSIONS NTAX=' || n || ' NCHAR=' || w || ';', 'FORMAT INTERLEAVE DATATYPE=DNA GAP=- MISSING=?;', 'MATRIX', '', '', '', ';', 'END;']) from z""")
+def nexus_files(spark, sf_dir):
+    """Interleaved NEXUS files of every locus, read again line by line."""
+    path = shared_folder(spark, "nexus")
+    files.write_nexus_files(views.alignments(spark, sf_dir).select("locus", F.col("seq_name").alias("name"), "sequence"), path, width=50)
+    lines = spark.read.text(path).select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("file"), F.col("value").alias("line"))
+    return lines
+
+
+@query("q07_mate_overlap")
+def mate_overlap(spark, sf_dir):
+    """Windows two by two as mates: each read's fragment by its mate's facing bases."""
+    part = F.split("read_id", "_")
+    fragment = F.concat_ws("_", part[0], F.floor(part[1].cast("long") / 2).cast("string"))
+    return reads.trim_mate_overlap(views.reads(spark, sf_dir).withColumn("fragment", fragment)).select("sample", "read_id", "insert", F.length("sequence").alias("kept"))

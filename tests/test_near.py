@@ -99,3 +99,44 @@ def test_contaminants_equal_every_comparison(spark):
     kept = {x["read_id"] for x in reads.drop_contaminated(frame(spark, rows), spark.createDataFrame([(bait,), ("ACGT",)], "sequence string")).collect()}
     both = [("x", bait), ("y", back)]
     assert kept == {f"r{i}" for i, s in enumerate(rows) if s is None or plain_cut(s, both, 31, 1)[1] is None}
+
+
+def plain_insert(a, b, penalty=3, least=14):
+    """Every offset, every pair of facing bases."""
+    pair, best, found = {"A": "T", "T": "A", "C": "G", "G": "C"}, least, None
+    for n in range(1, len(a) + len(b)):
+        faced = [(a[i], b[n - 1 - i]) for i in range(len(a)) if 0 <= n - 1 - i < len(b)]
+        same = sum(pair.get(x) == y for x, y in faced)
+        votes = same - penalty * (len(faced) - same)
+        if faced and votes >= best:
+            best, found = votes, n
+    return found
+
+
+def test_inserts_of_mates_equal_every_offset(spark):
+    rows, reads_of = [], {}
+    for f in range(120):
+        n = r.choice([10, 14, 30, 60, 90, 140, 200])
+        whole = dna(n)
+        back = whole[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        a, b = (x[:80] + dna(max(0, 80 - len(x))) for x in (whole, back))
+        a, b = slipped(a, r.choice([0, 0, 2, 8]))[: r.choice([80, 55])], slipped(b, r.choice([0, 0, 2]))
+        if f % 10 == 0:
+            b = "AC" * 30
+        reads_of[f] = (a, b)
+        rows += [("s", f, 1, a, "I" * len(a)), ("s", f, 2, b, "J" * len(b))]
+    rows += [("s", 900, 1, "ACGT" * 10, "I" * 40), ("s", 901, 1, None, None), ("s", 901, 2, "ACGT" * 9, "I" * 36), ("t", 0, 2, "A" * 50, "I" * 50), ("s", 902, 1, "", ""), ("s", 902, 2, "", "")]
+    frame = spark.createDataFrame(rows, "sample string, fragment long, mate int, sequence string, quality string")
+    out = reads.trim_mate_overlap(frame).collect()
+    assert len(out) == len(rows)
+    cut = 0
+    for x in out:
+        if x["sample"] == "s" and x["fragment"] < 900:
+            pair = reads_of[x["fragment"]]
+            own, other = pair if x["mate"] == 1 else pair[::-1]
+            n = plain_insert(own, other)
+            assert x["insert"] == n and x["sequence"] == own[:n] and len(x["quality"]) == len(x["sequence"])
+            cut += n is not None and n < len(own)
+        else:
+            assert x["insert"] is None
+    assert cut > 40
