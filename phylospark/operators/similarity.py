@@ -23,9 +23,10 @@ def kmers(frame: DataFrame, keep: list[str], k: int, step: int = 1, sequence: st
 
 
 def assign_reads(reads: DataFrame, contigs: DataFrame, k: int = 31, step: int = 10) -> DataFrame:
-    """Reads per contig of the same sample by k-mer votes; a read that ties between contigs is shared among them."""
-    own = kmers(reads, ["sample", "read_id"], k, step)
-    ref = kmers(contigs, ["sample", "contig"], k).select("sample", "contig", "kmer").distinct()
+    """Reads of either strand per contig of the same sample by k-mer votes; a read that ties between contigs is shared among them."""
+    either = canonical(F.col("kmer")).alias("kmer")
+    own = kmers(reads, ["sample", "read_id"], k, step).select("sample", "read_id", either)
+    ref = kmers(contigs, ["sample", "contig"], k).select("sample", "contig", either).distinct()
     votes = own.join(ref, ["sample", "kmer"]).groupBy("sample", "read_id", "contig").agg(F.count(F.lit(1)).alias("votes"))
     w = Window.partitionBy("sample", "read_id")
     best = votes.withColumn("top", F.max("votes").over(w)).where("votes = top").withColumn("share", 1.0 / F.count(F.lit(1)).over(w))
@@ -193,10 +194,12 @@ def thin_baits(baits: DataFrame, bait_length: int = 120, overlap: float = 50.0,
 
 
 def exonic(baits: DataFrame, exons: DataFrame, k: int = 31) -> DataFrame:
-    """Baits whose first and last k-mer both lie in one exon, on one diagonal: those that map without a clip."""
-    n = F.length("bait")
-    ends = baits.select("name", "bait_no", F.upper(F.substring("bait", 1, k)).alias("first"), F.upper(F.substring(F.col("bait"), n - (k - 1), F.lit(k))).alias("last"), n.alias("n"))
+    """Baits, on either strand, whose first and last k-mer both lie in one exon, on one diagonal: those that map without a clip."""
+    turned = F.explode(F.array(F.upper("bait"), seq.reverse_complement(F.upper("bait"))))
+    both = baits.select("name", "bait_no", turned.alias("b"))
+    n = F.length("b")
+    ends = both.select("name", "bait_no", F.substring("b", 1, k).alias("first"), F.substring(F.col("b"), n - (k - 1), F.lit(k)).alias("last"), n.alias("n"))
     ref = kmers(exons, ["exon"], k)
     one = ends.join(ref.select("exon", F.col("pos").alias("a"), F.col("kmer").alias("first")), "first")
-    both = one.join(ref.select("exon", F.col("pos").alias("b"), F.col("kmer").alias("last")), ["exon", "last"]).where(F.col("b") - F.col("a") == F.col("n") - k)
-    return baits.join(both.select("name", "bait_no").distinct(), ["name", "bait_no"], "left_semi")
+    met = one.join(ref.select("exon", F.col("pos").alias("b"), F.col("kmer").alias("last")), ["exon", "last"]).where(F.col("b") - F.col("a") == F.col("n") - k)
+    return baits.join(met.select("name", "bait_no").distinct(), ["name", "bait_no"], "left_semi")

@@ -160,20 +160,32 @@ def drop_short_rows(aln: DataFrame, keys: list[str], share: float = 0.3) -> Data
     return own.join(median, keys).where(F.col("__n") >= share * F.col("__median")).drop("__n", "__median")
 
 
-def trim_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False) -> DataFrame:
+def trim_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False, min_data: int = 0) -> DataFrame:
     """Rows of the kept sites; see ``kept_columns``."""
-    return keep_columns(aln, kept_columns(aln, keys, mode, gaps, kind, codons), keys)
+    return keep_columns(aln, kept_columns(aln, keys, mode, gaps, kind, codons, min_data), keys)
 
 
-def kept_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False) -> DataFrame:
+def gap_threshold(rows: Column, min_data: int) -> Column:
+    """Gap share at which ``min_data`` rows of a site have data: rounded to one place more than the rows have after their first digit."""
+    share = 1 - F.least(rows, F.lit(min_data)) / rows
+    digits = F.length(rows.cast("long").cast("string"))
+    rounded = F.lit(None).cast("double")
+    for d in range(1, 13):
+        rounded = F.when(digits == d, F.bround(share, d)).otherwise(rounded)
+    return F.when(rows == min_data, F.lit(1.0)).otherwise(rounded)
+
+
+def kept_columns(aln: DataFrame, keys: list[str], mode: str = "gappy", gaps: float = 0.9, kind: str = "NT", codons: bool = False, min_data: int = 0) -> DataFrame:
     """Sites kept by gap share and class, as an array ``kept`` a locus.
 
+    With ``min_data`` each locus's threshold is ``gap_threshold`` of its rows instead of ``gaps``.
+
     ``gappy``: gap share under ``gaps``; ``kpi``: informative; ``kpic``: informative or constant; either with
     ``-gappy`` for both. ``block-gappy``: only sites before the first and after the last good one go. With
     ``codons`` a codon stays whole if one of its sites does.
     """
     sites = site_stats(site_counts(aln, keys), keys, kind)
-    full = (F.col("gaps") + F.col("ends")) / F.col("rows") <= gaps
+    full = (F.col("gaps") + F.col("ends")) / F.col("rows") <= (gap_threshold(F.col("rows"), min_data) if min_data > 0 else F.lit(gaps))
     informative, constant = F.col("class") == "informative", (F.col("class") == "constant") & (F.col("missing") < F.col("rows"))
     good = {"gappy": full, "block-gappy": full, "kpi": informative, "kpic": informative | constant, "kpi-gappy": informative & full, "kpic-gappy": (informative | constant) & full}[mode]
     sites = sites.withColumn("good", good)
@@ -257,6 +269,19 @@ def filter_paralogs_informed(aln: DataFrame, refs: DataFrame, keys: list[str], t
     return out.select(*keys, "sample", "seq_name", "target", "pid", "score", (F.col("first") & passed).alias("accepted"))
 
 
+def apply_accepted(rows: DataFrame, judged: DataFrame, keys: list[str], files: list[str], min_samples: int = 4) -> DataFrame:
+    """Accepted copies and references in every format of a locus, under names without rank, where enough samples are left.
+
+    ``judged`` is what ``filter_paralogs_informed`` says of the copies of one format; ``rows`` hold all formats, of which ``files`` (with
+    the locus) names one file. Copies that weren't judged go, as rejected ones do.
+    """
+    accepted = judged.where("accepted").select(*keys, "seq_name").distinct()
+    kept = rows.where("is_ref").unionByName(rows.where("not is_ref").join(accepted, [*keys, "seq_name"], "left_semi"))
+    enough = kept.where("not is_ref").groupBy(*files).agg(F.count_distinct("sample").alias("n")).where(F.col("n") >= min_samples)
+    named = F.when(F.col("is_ref") | ~F.col("seq_name").contains("__"), F.col("seq_name")).otherwise(F.regexp_replace("seq_name", "__[^_]*$", ""))
+    return kept.join(enough.select(*files), files, "left_semi").withColumn("seq_name", named)
+
+
 def add_references(aln: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     """The references that a locus's rows name, each once, beside those it has."""
     needed = aln.where(~F.col("is_ref")).select(*keys, "target").distinct()

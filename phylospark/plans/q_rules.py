@@ -255,7 +255,7 @@ def _baits(spark, sf_dir):
     return targets.tile(views.contigs(spark, sf_dir).withColumnRenamed("contig", "name"), step=60)
 
 
-@query("q15_exonic_baits", f"with {_BAITS}, ex as (select upper(substr(sequence, 31, 200)) as s from contigs where length >= 400 and cast(contig as bigint) % 2 = 0) select name, bait_no from bt where exists (select 1 from ex where contains(ex.s, upper(bt.bait)))")
+@query("q15_exonic_baits", f"with {_BAITS}, ex as (select upper(substr(sequence, 31, 200)) as s from contigs where length >= 400 and cast(contig as bigint) % 2 = 0) select name, bait_no from bt where exists (select 1 from ex where contains(ex.s, upper(bt.bait)) or contains(ex.s, translate(reverse(upper(bt.bait)), 'ACGT', 'TGCA')))")
 def exonic_baits(spark, sf_dir):
     exons = views.contigs(spark, sf_dir).where("length >= 400 and cast(contig as bigint) % 2 = 0").select(F.col("contig").alias("exon"), F.substring("sequence", 31, 200).alias("sequence"))
     found = similarity.exonic(_baits(spark, sf_dir), exons, k=60)  # two ends of 60 bases are the whole bait

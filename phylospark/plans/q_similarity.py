@@ -39,8 +39,8 @@ _FIRST = "short as (select sample, contig, upper(sequence) as s from contigs whe
 
 @query(
     "q09_read_assignment",
-    f"""with {READS}, {_FIRST}, ref as (select distinct sample, contig, substr(s, i, 31) as kmer from (select *, unnest(range(1, length(s) - 29)) as i from short)),
-    own as (select sample, read_id, substr(upper(sequence), i, 31) as kmer from (select *, unnest(range(1, length(sequence) - 29, 10)) as i from reads where length(sequence) >= 31)),
+    f"""with {READS}, {_FIRST}, ref as (select distinct sample, contig, least(k, translate(reverse(k), 'ACGT', 'TGCA')) as kmer from (select *, substr(s, i, 31) as k from (select *, unnest(range(1, length(s) - 29)) as i from short))),
+    own as (select sample, read_id, least(k, translate(reverse(k), 'ACGT', 'TGCA')) as kmer from (select *, substr(upper(sequence), i, 31) as k from (select *, unnest(range(1, length(sequence) - 29, 10)) as i from reads where length(sequence) >= 31))),
     v as (select sample, read_id, contig, count(*) as votes from own join ref using (sample, kmer) group by 1, 2, 3), b as (select *, max(votes) over (partition by sample, read_id) as top from v),
     c as (select *, 1.0 / count(*) over (partition by sample, read_id) as share from b where votes = top) select sample, contig, round(sum(cast(share as double)), 6) as num_reads from c group by 1, 2""",
 )

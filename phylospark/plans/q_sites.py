@@ -121,6 +121,12 @@ def trim_block(spark, sf_dir):
     return ops.trim_columns(_aln(spark, sf_dir), K, "block-gappy", gaps=0.1).select("locus", "seq_name", "sequence")
 
 
+@query("q05_trim_min_data", _kept("select s.locus, pos from shares s join (select locus, count(*) as n from alignments group by 1) using (locus) where gap_share <= case when n = 9 then 1.0 when n < 10 then round_even(1 - least(n, 9) / cast(n as double), 1) when n < 100 then round_even(1 - 9 / cast(n as double), 2) when n < 1000 then round_even(1 - 9 / cast(n as double), 3) else round_even(1 - 9 / cast(n as double), 4) end"))
+def trim_min_data(spark, sf_dir):
+    """Sites with data in nine rows, by the threshold that each locus's number of rows gives."""
+    return ops.trim_columns(_aln(spark, sf_dir), K, "gappy", min_data=9).select("locus", "seq_name", "sequence")
+
+
 @query("w09_depth_trim", _kept("select locus, unnest(range(min(pos), max(pos) + 1)) as pos from (select locus, p as pos from (select *, unnest(range(0, 120)) as p from (select locus, length(sequence) - length(ltrim(sequence, '-')) as a, length(rtrim(sequence, '-')) as b from alignments)) group by 1, 2 having count(*) filter (where a <= p and p < b) >= floor(count(*) * 0.88)) group by locus"))
 def depth_trim(spark, sf_dir):
     return ops.trim_by_depth(_aln(spark, sf_dir), K, gaps=0.12).select("locus", "seq_name", "sequence")
@@ -154,6 +160,16 @@ def informed_paralogs(spark, sf_dir):
     return ops.filter_paralogs_informed(aln, _refs(aln), K, tolerance=1.0)
 
 
+@query("q02_accepted_in_all_formats", f"""with {ALIGNMENTS}, {_REFS}, {_PID}, lim as (select locus, avg(pid) - 1.0 * stddev_samp(pid) as least from firsts where first group by 1), ok as (select locus, seq_name from firsts join lim using (locus) where first and coalesce(pid >= least, true)),
+    al as (select *, unnest(['NT', 'GE']) as format from alignments), kp as (select * from al where is_ref union all select al.* from al join ok using (locus, seq_name) where not is_ref), en as (select locus, format from kp where not is_ref group by 1, 2 having count(distinct sample) >= 3)
+    select locus, format, seq_name, is_ref from kp join en using (locus, format)""")
+def accepted_in_all_formats(spark, sf_dir):
+    aln = _aln(spark, sf_dir)
+    judged = ops.filter_paralogs_informed(aln, _refs(aln), K, tolerance=1.0)
+    rows = aln.withColumn("format", F.explode(F.array(F.lit("NT"), F.lit("GE"))))
+    return ops.apply_accepted(rows, judged, K, ["locus", "format"], min_samples=3).select("locus", "format", "seq_name", "is_ref")
+
+
 @query("q01_naive_paralogs", f"with {ALIGNMENTS}, n as (select * from alignments where is_ref or rank = 0), g as (select locus from n where not is_ref and {_BARE} <> '' group by 1 having count(distinct sample) >= 4) select locus, seq_name, sample from n where locus in (select locus from g)")
 def naive_paralogs(spark, sf_dir):
     return ops.filter_paralogs_naive(_aln(spark, sf_dir), K).select("locus", "seq_name", "sample")
