@@ -22,6 +22,39 @@ def parse_headers(frame: DataFrame, name: str = "name") -> DataFrame:
     return frame.withColumns({"length": number("length", "int"), "depth": number("cov", "double"), "k": number("k", "int")})
 
 
+#: Headers of the assemblers that are told apart.
+NODE_STYLE = r"^(NODE|EDGE)_\d+_length_\d+_cov_\d+\.\d+"
+FLAG_STYLE = r"^k\d{2,3}_\d+\sflag=\d\smulti=\d+\.\d+\slen=\d+$"
+CONTIG_STYLE = r"^Contig_\d+_\d+\.\d+(_Circ)?$"
+
+
+def normalise_headers(records: DataFrame, file: str = "src_file", order: str = "ord") -> DataFrame:
+    """Contig names of every file as ``NODE_<i>_length_<L>_cov_<C>``, with what its assembler says besides, and the file's ``assembler``.
+
+    A file's first record decides the style of all. Of ``k<K>_<i> flag=<F> multi=<C> len=<L>`` the name goes on with ``_k_<K>_flag_<F>``; of
+    ``Contig_<i>_<C>`` the length is the sequence's, and ``_Circ`` becomes ``_circular``. Both lose their description; names and descriptions of
+    other styles stay. ``records`` hold name, description, sequence, the file and the place in it.
+    """
+    c = F.col
+    header = F.trim(F.concat_ws(" ", "name", F.coalesce("description", F.lit(""))))
+    first = records.groupBy(file).agg(F.min_by(header, order).alias("h"))
+    style = F.when(c("h").rlike(NODE_STYLE), "node").when(c("h").rlike(FLAG_STYLE), "flag").when(c("h").rlike(CONTIG_STYLE), "contig").otherwise("unknown")
+    own = records.join(first.select(file, style.alias("assembler")), file).withColumn("__f", F.split(header, r"\s+|_"))
+    field = lambda i: F.coalesce(F.get("__f", F.lit(i)), F.lit(""))
+    value = lambda i: F.regexp_extract(field(i), r"=(.*)$", 1)
+    flag = F.concat_ws("_", F.lit("NODE"), field(1), F.lit("length"), value(4), F.lit("cov"), value(3), F.lit("k"), F.substring(field(0), 2, 99), F.lit("flag"), value(2))
+    contig = F.concat(F.concat_ws("_", F.lit("NODE"), field(1), F.lit("length"), F.length("sequence").cast("string"), F.lit("cov"), field(2)), F.when(F.array_contains(F.split("name", "_"), "Circ"), "_circular").otherwise(""))
+    named = F.when(c("assembler") == "flag", flag).when(c("assembler") == "contig", contig).otherwise(c("name"))
+    kept = F.when(c("assembler").isin("flag", "contig"), F.lit("")).otherwise(c("description"))
+    return own.withColumns({"name": named, "description": kept}).drop("__f")
+
+
+def file_kind(records: DataFrame, file: str = "src_file") -> DataFrame:
+    """(file, kind): AA if a record of the file holds letters of proteins alone that nucleotides don't have, else NT."""
+    kind = seq.sequence_kind(F.col("sequence"))
+    return records.groupBy(file).agg(F.min(F.when(kind == "AA", "AA").otherwise("NT")).alias("kind"))
+
+
 def mean_contig_depth(frame: DataFrame, keys: list[str], names: str = "contigs") -> DataFrame:
     """Mean depth over the distinct contigs that an array of names holds."""
     depths = F.transform(F.array_distinct(names), lambda n: F.expr("0D") + F.regexp_extract(n, "_cov_([0-9.]+)", 1).cast("double"))

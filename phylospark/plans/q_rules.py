@@ -330,3 +330,21 @@ def mate_overlap(spark, sf_dir):
     part = F.split("read_id", "_")
     fragment = F.concat_ws("_", part[0], F.floor(part[1].cast("long") / 2).cast("string"))
     return reads.trim_mate_overlap(views.reads(spark, sf_dir).withColumn("fragment", fragment)).select("sample", "read_id", "insert", F.length("sequence").alias("kept"))
+
+
+_HEADERS = f"""recs as (select sample as src_file, cast(contig as bigint) as ord, style, sequence, case style when 0 then 'NODE_' || contig || '_length_' || length || '_cov_' || depth when 1 then 'k141_' || contig when 2 then 'Contig_' || contig || '_' || depth || case when cast(contig as bigint) % 5 = 0 then '_Circ' else '' end else 'scaffold' || contig end as name,
+    case style when 1 then 'flag=1 multi=' || depth || ' len=' || length when 3 then 'as it is' else '' end as description from (select *, length(sample) * 7 % 4 as style from contigs where length > 0))"""
+
+
+@query("p01_normalised_headers", f"""with {CONTIGS}, {_HEADERS} select src_file, sequence, case style when 0 then 'node' when 1 then 'flag' when 2 then 'contig' else 'unknown' end as assembler, case when style in (0, 3) then description else '' end as description,
+    case style when 1 then 'NODE_' || ord || '_length_' || length(sequence) || '_cov_' || regexp_extract(description, 'multi=([0-9.]+)', 1) || '_k_141_flag_1' when 2 then 'NODE_' || ord || '_length_' || length(sequence) || '_cov_' || regexp_extract(name, '_([0-9.]+)(_Circ)?$', 1) || case when ord % 5 = 0 then '_circular' else '' end else name end as name from recs""")
+def normalised_headers(spark, sf_dir):
+    """Contigs of every source under one assembler's headers, by the length of the source's name."""
+    c, style = F.col, F.length("sample") * 7 % 4
+    depth, size = c("depth").cast("string"), c("length").cast("string")
+    own = views.contigs(spark, sf_dir).where("length > 0").withColumn("style", style)
+    circular = F.when(c("contig").cast("long") % 5 == 0, "_Circ").otherwise("")
+    name = F.when(c("style") == 0, F.concat(F.lit("NODE_"), "contig", F.lit("_length_"), size, F.lit("_cov_"), depth)).when(c("style") == 1, F.concat(F.lit("k141_"), "contig")).when(c("style") == 2, F.concat(F.lit("Contig_"), "contig", F.lit("_"), depth, circular)).otherwise(F.concat(F.lit("scaffold"), "contig"))
+    described = F.when(c("style") == 1, F.concat(F.lit("flag=1 multi="), depth, F.lit(" len="), size)).when(c("style") == 3, "as it is").otherwise("")
+    records = own.select(c("sample").alias("src_file"), c("contig").cast("long").alias("ord"), name.alias("name"), described.alias("description"), "sequence")
+    return readers.import_assemblies(records).select("src_file", "sequence", "assembler", "description", "name")

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
+from phylospark.operators.assembly import file_kind, normalise_headers
 from phylospark.operators.hits import parse_psl
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """FASTA records: name, description, sequence, src_file.
+def read_fasta(spark: SparkSession, paths: str | list[str], with_order: bool = False) -> DataFrame:
+    """FASTA records: name, description, sequence, src_file, and their order (``ord``) on demand.
 
     Records end where a line begins with ``>``; files may be gzipped. Lines of a record are joined, records
     without residues are dropped, and of equal names in a file the last one stands.
@@ -21,8 +22,8 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     head = F.regexp_extract("value", "^([^\n]*)", 1)
     body = F.regexp_replace(F.regexp_replace("value", "^[^\n]*", ""), r"\s", "")
     out = raw.select(F.regexp_extract(head, r"^(\S+)", 1).alias("name"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), body.alias("sequence"), "src_file", "ord").where((F.col("name") != "") & (F.col("sequence") != ""))
-    last = out.groupBy("src_file", "name").agg(F.max_by(F.struct("description", "sequence"), "ord").alias("x"))
-    return last.select("name", "x.description", "x.sequence", "src_file")
+    last = out.groupBy("src_file", "name").agg(F.max_by(F.struct("description", "sequence"), "ord").alias("x"), F.min("ord").alias("ord"))
+    return last.select("name", "x.description", "x.sequence", "src_file", *["ord"] * with_order)
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -110,6 +111,13 @@ def import_assembly(records: DataFrame) -> DataFrame:
     return records.where(seq.sequence_kind(F.col("sequence")) == "NT").withColumn("sequence", F.translate(F.col("sequence"), "Uu", "Tt"))
 
 
+def import_assemblies(records: DataFrame, order: str = "ord") -> DataFrame:
+    """Records of the files that hold nucleotides, U as T, under normalised names; see ``normalise_headers``."""
+    nt = file_kind(records).where("kind = 'NT'").select("src_file")
+    own = records.join(nt, "src_file", "left_semi").withColumn("sequence", F.translate(F.col("sequence"), "Uu", "Tt"))
+    return normalise_headers(own, "src_file", order)
+
+
 def import_orthologs(records: DataFrame) -> DataFrame:
     """Names get the part before their first underscore as locus: ``name-prefix``."""
     return records.withColumn("name", F.concat_ws("-", "name", F.split_part("name", F.lit("_"), F.lit(1))))
