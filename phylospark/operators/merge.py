@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from phylospark.functions import seq
 
 from . import sites
+from .hits import gff_lines
 
 #: The largest contigs of organelle genomes, by marker.
 MAX_ORGANELLE = {"PTD": 550_000, "MIT": 1_000_000}
@@ -92,6 +93,14 @@ def annotated_assembly(contigs: DataFrame, hits: DataFrame) -> DataFrame:
     return out.withColumn("part", F.when(F.col("hits") > 0, "hit").otherwise("leftover"))
 
 
+def merged_annotation(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines, statistics) of all markers' hits of a sample: GFF lines with the contig and place to order them by, and a row a marker."""
+    own = hits.withColumn("sample", F.struct("sample", "marker", F.col("contig").cast("string").alias("contig"), F.least("t_start", "t_end").alias("start")))
+    lines = gff_lines(own).select("sample.*", "line")
+    stats = hits.groupBy("sample", "marker").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("locus").alias("loci"), F.count_distinct("contig").alias("contigs"), F.sum(F.abs(F.col("t_end") - F.col("t_start"))).alias("bases"))
+    return lines, stats
+
+
 def read_funnel(stages: DataFrame, order: list[str]) -> DataFrame:
     """Reads and bases of each sample after each stage, with what the stage took from the one before, a row a sample."""
     out = stages.groupBy("sample")
@@ -142,10 +151,15 @@ def retained_exons(lengths: DataFrame, exons: DataFrame, keys: list[str]) -> Dat
     return own.select(*keys, "cds_id", F.round(100.0 * share, 2).alias("perc_exons_retained"), F.round(100.0 * long_, 2).alias("perc_long_exons_retained"), F.round(long_ * F.col("exons_len"), 0).alias("len_long_exons_retained"))
 
 
-def curate_clusters(aln: DataFrame, focal: DataFrame, outgroup: DataFrame, addons: DataFrame, keys: list[str], bait_length: int = 120, gaps: float = 0.2) -> DataFrame:
-    """Clusters cut to their well-filled middle, rows of a bait's length and more, with counts of who is in them."""
+def curated_rows(aln: DataFrame, addons: DataFrame, keys: list[str], bait_length: int = 120, gaps: float = 0.2) -> DataFrame:
+    """Rows of clusters cut to their well-filled middle, those of a bait's length and more."""
     cut = sites.trim_by_depth(aln, keys, gaps, addons)
-    rows = cut.where(F.length(F.regexp_replace("sequence", "-", "")) >= bait_length)
+    return cut.where(F.length(F.regexp_replace("sequence", "-", "")) >= bait_length)
+
+
+def curate_clusters(aln: DataFrame, focal: DataFrame, outgroup: DataFrame, addons: DataFrame, keys: list[str], bait_length: int = 120, gaps: float = 0.2) -> DataFrame:
+    """Width and rows of curated clusters (``curated_rows``), with counts of who is in them."""
+    rows = curated_rows(aln, addons, keys, bait_length, gaps)
     flag = lambda frame, name: frame.select("sample").distinct().withColumn(name, F.lit(True))
     own = rows.join(flag(focal, "focal"), "sample", "left").join(flag(outgroup, "outgroup"), "sample", "left").join(flag(addons, "addon"), "sample", "left")
     of = lambda c: F.count_distinct(F.when(F.col(c), F.col("sample"))).alias(c)

@@ -189,8 +189,9 @@ def dereplicate(baits: DataFrame) -> DataFrame:
 
 
 def distinct_in_locus(baits: DataFrame, keys: list[str]) -> DataFrame:
-    """Equal baits of a locus once, under the last name."""
-    return baits.groupBy(*keys, "bait").agg(F.max("bait_no").alias("bait_no"))
+    """Equal baits of a locus once, under the last name, and the last number of that name."""
+    last = F.max(F.struct("name", "bait_no"))
+    return baits.groupBy(*keys, "bait").agg(last.alias("x")).select(*keys, "bait", "x.name", "x.bait_no")
 
 
 def bait_stats(baits: DataFrame, chemistry: str = "RNA-DNA", sodium: float = 0.9, formamide: float = 0.0) -> DataFrame:

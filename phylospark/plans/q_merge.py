@@ -68,6 +68,23 @@ def annotated_assembly(spark, sf_dir):
     return merge.annotated_assembly(c, h)
 
 
+_MARKED = f"{HITS}, mk as (select *, 'm' || (locus % 3) as marker from hits)"
+
+
+@query("k12_merged_gff", f"with {_MARKED} select sample, marker, cast(contig as varchar) as contig, t_start as start, contig || chr(9) || 'phylospark' || chr(9) || 'match' || chr(9) || (t_start + 1) || chr(9) || t_end || chr(9) || printf('%.2f', identity) || chr(9) || strand || chr(9) || '.' || chr(9) || 'ID=' || hit_id || ';Name=' || locus || '%20' || target || ';WScore=' || printf('%.5f', wscore) as line from mk")
+def merged_gff(spark, sf_dir):
+    return merge.merged_annotation(_marked(spark, sf_dir))[0]
+
+
+@query("k12_marker_statistics", f"with {_MARKED} select sample, marker, count(*) as hits, count(distinct locus) as loci, count(distinct contig) as contigs, cast(sum(abs(t_end - t_start)) as bigint) as bases from mk group by 1, 2")
+def marker_statistics(spark, sf_dir):
+    return merge.merged_annotation(_marked(spark, sf_dir))[1]
+
+
+def _marked(spark, sf_dir):
+    return views.hits(spark, sf_dir).withColumn("marker", F.concat(F.lit("m"), (F.col("locus") % 3).cast("string")))
+
+
 _FUNNEL = f"{READS}, st as (select sample, 'input' as stage, length(sequence) as n from reads union all select sample, 'round1', length(sequence) from reads where length(sequence) >= 100 union all select sample, 'clean', length(sequence) from reads where length(sequence) >= 151), ag as (select sample, stage, count(*) as reads, cast(sum(n) as bigint) as bases from st group by 1, 2)"
 _LOST = ", ".join(f"round(coalesce(100.0 * ({c}_{a} - {c}_{b}) / nullif({c}_{a}, 0), 0), 4) as pct_{c}_lost_{b}" for a, b in (("input", "round1"), ("round1", "clean")) for c in ("reads", "bases"))
 
@@ -190,6 +207,12 @@ def curated_clusters(spark, sf_dir):
     return merge.curate_clusters(views.alignments(spark, sf_dir), one("s1", "s2", "s3"), one("s4"), one("s5", "s6"), K, bait_length=60)
 
 
+@query("q24_curated_rows", f"with {_CUT} select locus, seq_name, s as sequence from ct where length(replace(s, '-', '')) >= 60")
+def curated_rows(spark, sf_dir):
+    addons = spark.createDataFrame([("s5",), ("s6",)], "sample string")
+    return merge.curated_rows(views.alignments(spark, sf_dir), addons, K, bait_length=60).select("locus", "seq_name", "sequence")
+
+
 @query("j16_trimmed_codons", f"with {ALIGNMENTS}, fl as (select locus, seq_name, i - 1 as pos, substr(sequence, i, 1) as c from (select *, unnest(range(1, 121)) as i from alignments)), kp as (select locus, pos from fl group by 1, 2 having count(*) filter (where c = '-') / cast(count(*) as double) <= 0.15) select locus, seq_name, string_agg(case when c = '?' then '---' else repeat(c, 3) end, '' order by pos) as sequence from fl join kp using (locus, pos) group by 1, 2")
 def trimmed_codons(spark, sf_dir):
     aa = views.alignments(spark, sf_dir).select("locus", "seq_name", "sequence")

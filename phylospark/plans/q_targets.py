@@ -184,7 +184,7 @@ def dereplicated(spark, sf_dir):
     return ops.dereplicate(_tiles(spark, sf_dir))
 
 
-@query("u04_distinct_baits", f"with {_TILES} select substr(name, 1, 1) as locus, bait, cast(max(bait_no) as int) as bait_no from tiles group by 1, 2")
+@query("u04_distinct_baits", f"with {_TILES} select substr(name, 1, 1) as locus, bait, max(name) as name, cast(arg_max(bait_no, row(name, bait_no)) as int) as bait_no from tiles group by 1, 2")
 def distinct_baits(spark, sf_dir):
     return ops.distinct_in_locus(_tiles(spark, sf_dir).withColumn("locus", F.substring("name", 1, 1)), ["locus"])
 
