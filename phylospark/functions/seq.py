@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -130,32 +134,66 @@ def codon_table(code: int = 1, first: bool = False, last: bool = False) -> str:
     return " ".join(out)
 
 
-def _residue(codon: Column, table: str) -> Column:
-    """Residue of a codon: by its number in TCAG order if it is plain, else from the ambiguous codons' table."""
-    entries = table.split(" ")
-    plain = {e[:3]: e[3] for e in entries}
-    ordered = "".join(plain["".join(c)] for c in product("TCAG", repeat=3))
-    rest = "".join(f" {e}" for e in entries if not set(e[:3]) <= set("TCAG"))
-    place = [F.instr(F.lit("TCAG"), F.substring(codon, i, 1)) for i in (1, 2, 3)]
-    at = F.instr(F.lit(rest), F.concat(F.lit(" "), codon))
-    fuzzy = F.when(at > 0, F.substring(F.lit(rest), at + 4, F.lit(1))).otherwise(F.lit("X"))
-    number = (place[0] - 1) * 16 + (place[1] - 1) * 4 + place[2]
-    return F.when(F.least(*place) > 0, F.substring(F.lit(ordered), number, F.lit(1))).otherwise(fuzzy)
+_CODON_LETTERS = "ACGTMRWSYKVHDBN"
+
+
+@lru_cache(maxsize=None)
+def _codon_lookup(code: int, first: bool, last: bool) -> np.ndarray:
+    """Residue of each codon by its three letters' numbers in base 16; X where there is none."""
+    out = np.full(4096, ord("X"), np.uint8)
+    for entry in codon_table(code, first, last).split(" "):
+        a, b, c = (_CODON_LETTERS.index(x) for x in entry[:3])
+        out[a << 8 | b << 4 | c] = ord(entry[3])
+    return out
+
+
+def _letter_numbers(complement: bool) -> np.ndarray:
+    """Numbers of letters or of their complements by byte, 15 for unknown ones, 16 for what is left out."""
+    out = np.full(256, 15, np.uint8)
+    other = str.maketrans("ACGTMRWSYKVHDBN", "TGCAKYWSRMBDHVN")
+    for x in _CODON_LETTERS:
+        y = x.translate(other) if complement else x
+        out[ord(x)] = out[ord(x.lower())] = _CODON_LETTERS.index(y)
+    out[[ord("-"), ord(" ")]] = 16
+    return out
+
+
+def translated(sequences: pa.Array, code: int, frame: int, start_as_m: bool) -> pa.Array:
+    """``translate`` of a batch: the codons of all rows at once, by one look-up."""
+    data = [(x or "").encode("ascii", "replace") for x in sequences.to_pylist()]
+    number = _letter_numbers(frame < 0)[np.frombuffer(b"".join(data), np.uint8)]
+    kept = np.append(0, np.cumsum(number < 16))
+    edge = kept[np.cumsum([0, *map(len, data)])]
+    number = number[number < 16].astype(np.int64)
+    skip = abs(frame) - 1
+    many = np.maximum(np.diff(edge) - skip, 0) // 3
+    ends = np.cumsum(many)
+    nth = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many, many)
+    at = np.repeat(edge[:-1] + skip, many) + 3 * nth if frame > 0 else np.repeat(edge[1:] - 1 - skip, many) - 3 * nth
+    step = 1 if frame > 0 else -1
+    codon = (number[at] << 8 | number[at + step] << 4 | number[at + 2 * step]) if len(at) else np.zeros(0, np.int64)
+    residues = _codon_lookup(code, False, False)[codon]
+    full = many > 0
+    final, begin = ends[full] - 1, (ends - many)[full]
+    residues[final] = _codon_lookup(code, False, True)[codon[final]]
+    residues[begin] = _codon_lookup(code, start_as_m, False)[codon[begin]]
+    text = pa.StringArray.from_buffers(len(data), pa.py_buffer(np.append(0, ends).astype(np.int32).tobytes()), pa.py_buffer(residues.tobytes()))
+    return pc.if_else(sequences.is_valid(), text, pa.scalar(None, pa.string())) if sequences.null_count else text
 
 
 def translate(s: Column, code: int = 1, frame: int = 1, start_as_m: bool = False) -> Column:
     """Residues of a nucleotide sequence in a frame (1 to 3, or -1 to -3 on the other strand).
 
     Ambiguous codons that all mean one residue, or one of the pairs D/N, E/Q and I/L, are resolved; other
-    ones and unknown letters give X. The first codon may count as a start, the last as a stop.
+    ones and unknown letters give X. The first codon may count as a start, the last as a stop. Gaps and spaces are left out.
+    Runs in Arrow batches, as a look-up of all codons of a batch; null stays null.
     """
-    clean = F.upper(F.regexp_replace(s, "[ -]", ""))
-    clean = reverse_complement(clean) if frame < 0 else clean
-    codons = F.regexp_extract_all(F.substring(clean, abs(frame), 1 << 30), F.lit("..."), F.lit(0))
-    first, middle, last = (codon_table(code, *x) for x in ((start_as_m, False), (False, False), (False, True)))
-    residue = lambda c, i, n: F.when(i == 0, _residue(c, first)).when(i == n - 1, _residue(c, last)).otherwise(_residue(c, middle))
-    # bound as one value, so that the codons are cut out once and not anew for every codon
-    return F.element_at(F.transform(F.array(codons), lambda own: F.array_join(F.transform(own, lambda c, i: residue(c, i, F.size(own))), "")), 1)
+
+    @F.arrow_udf(returnType="string")
+    def batch(sequences: pa.Array) -> pa.Array:
+        return translated(sequences, code, frame, start_as_m)
+
+    return batch(s)
 
 
 def best_frame(s: Column, code: int = 1) -> Column:
