@@ -86,6 +86,22 @@ def merge_blocks(sizes: Column, starts: Column, limit: Column) -> Column:
     return F.aggregate(blocks, empty, safe)
 
 
+def psl_blocks(sizes: Column, q_starts: Column, t_starts: Column, q_size: Column, strand: Column) -> Column:
+    """Blocks of a PSL record, joined over gaps on the contig that are shorter than a fifth of the query and 200: arrays ``q`` and ``t`` of (s, e).
+
+    On the minus strand the query's blocks are counted from its beginning, so they come in the other order.
+    """
+    limit = F.least(q_size * MAX_INSERT_SHARE, F.lit(float(MAX_INSERT)))
+    n = F.size(sizes)
+    at = lambda a, i: F.element_at(a, i + 1).cast("long")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    opens = F.filter(places, lambda i: (i == 0) | (at(t_starts, i) - at(t_starts, F.greatest(i - 1, F.lit(0))) - at(sizes, F.greatest(i - 1, F.lit(0))) >= limit))
+    closes = F.concat(F.transform(F.slice(opens, F.lit(2), F.greatest(F.size(opens) - 1, F.lit(0))), lambda i: i - 1), F.slice(places, F.greatest(n, F.lit(1)), F.lit(1)))
+    spans = lambda starts: F.zip_with(opens, closes, lambda i, j: F.struct(at(starts, i).alias("s"), (at(starts, j) + at(sizes, j)).alias("e")))
+    turned = F.reverse(F.transform(spans(q_starts), lambda b: F.struct((q_size - b.e).cast("long").alias("s"), (q_size - b.s).cast("long").alias("e"))))
+    return F.struct(F.when(strand == "-", turned).otherwise(spans(q_starts)).alias("q"), spans(t_starts).alias("t"))
+
+
 def format_coordinates(blocks: Column) -> Column:
     """Half-open 0-based blocks as ``first-last`` text, 1-based."""
     return F.array_join(F.transform(blocks, lambda b: F.concat((b.s + 1).cast("string"), F.lit("-"), b.e.cast("string"))), ",")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from phylospark.operators import hits as ops
@@ -174,6 +175,27 @@ def _ext(spark, sf_dir):
     return views.extraction(spark, sf_dir)
 
 
+_PSL = """it as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as line from lineitem), bl as (select l_orderkey as id, line, cast(l_quantity as bigint) as n, coalesce(sum(cast(l_quantity as bigint) + l_partkey % 300) over w, 0) as t, coalesce(sum(cast(l_quantity as bigint) + l_suppkey % 5) over w, 0) as q
+    from it window w as (partition by l_orderkey order by line rows between unbounded preceding and 1 preceding)), sz as (select *, max(q + n) over (partition by id) + 10 as q_size from bl)"""
+
+
+@query(
+    "c21_psl_blocks",
+    f"""with {_PSL}, gp as (select *, t - lag(t + n) over (partition by id order by line) as gap from sz), isl as (select *, sum(case when gap is null or gap >= least(q_size * 0.2, 200) then 1 else 0 end) over (partition by id order by line) as k from gp),
+    jn as (select id, k, max(q_size) as z, min(q) as qs, max(q + n) as qe, min(t) as ts, max(t + n) as te from isl group by 1, 2)
+    select id, case when id % 2 = 0 then string_agg((qs + 1) || '-' || qe, ',' order by k) else string_agg((z - qe + 1) || '-' || (z - qs), ',' order by k desc) end as q, string_agg((ts + 1) || '-' || te, ',' order by k) as t from jn group by id""",
+)
+def psl_blocks(spark, sf_dir):
+    """Line items of an order as the blocks of a record, odd orders on the minus strand."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.col("l_quantity").cast("long")
+    place = lambda c: F.coalesce(F.sum(n + c).over(w), F.lit(0))
+    own = views.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), place(F.col("l_suppkey") % 5).alias("q"), place(F.col("l_partkey") % 300).alias("t"), n.alias("n"))
+    rows = own.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("t", "q", "n"))).alias("x"), (F.max(F.col("q") + F.col("n")) + 10).alias("q_size"))
+    found = ops.psl_blocks(F.col("x.n"), F.col("x.q"), F.col("x.t"), F.col("q_size"), F.when(F.col("id") % 2 == 0, "+").otherwise("-"))
+    return rows.select("id", found.alias("b")).select("id", ops.format_coordinates(F.col("b.q")).alias("q"), ops.format_coordinates(F.col("b.t")).alias("t"))
+
+
 @query("a20_recovery", f"with {EXTRACTION}, r as (select *, row_number() over (partition by sample, locus order by wscore desc, hit_id) as n from extraction), s as (select sample, count(distinct locus) as loci, count(*) filter (where n > 1) as paralogs, cast(count(*) filter (where n = 1) as bigint) as m, cast(sum(ref_len_matched) filter (where n = 1) as bigint) as total_best_length, cast(sum(cast(round(coverage * 100) as bigint)) filter (where n = 1) as bigint) as hundredths from r group by 1) select sample, loci, paralogs, cast((20000 * total_best_length + m) // (2 * m) as double) / 10000 as mean_best_length, total_best_length, cast((200 * hundredths + m) // (2 * m) as double) / 10000 as mean_best_coverage from s")
 def recovery(spark, sf_dir):
     return ops.recovery_summary(ops.ranked(_ext(spark, sf_dir), K), ["sample"])
