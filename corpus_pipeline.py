@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +19,6 @@ def _recounted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
-def _swept(spark: SparkSession) -> None:
-    """Let the driver drop what earlier stages left: their plans, broadcasts and shuffles go once nothing refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without letters or far from every language go.
 
@@ -33,7 +26,6 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     can be told, and no document stays. Rows are judged each by its whole text, repeated ones alike; ids may be
     null or repeat, and further columns stay as they are. An empty table stays empty.
     """
-    _swept(spark)
     model = fit_language_model(docs)
     return identify_language(docs, model).where(~F.col("rejected")).select(*docs.columns)
 
@@ -45,7 +37,6 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row without id goes before one with an id. Null, empty and blank texts are near nothing and all stay, as
     does a text of fewer than five words unless its words are the same. Very long texts are judged whole.
     """
-    _swept(spark)
     return drop_near_duplicates(docs, words=5, percent=80)
 
 
@@ -55,13 +46,11 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every place of a repeat loses it, in the same document or another; whole rows stay, if need be with an
     empty text. Null texts stay null. Rows that repeat are each other's repeats.
     """
-    _swept(spark)
     return _recounted(drop_repeats(docs, words=51))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with secrets replaced by a mark; every row stays, null and empty texts as they are."""
-    _swept(spark)
     return _recounted(redact_secrets(docs))
 
 
@@ -70,7 +59,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is the end token alone. Rows that repeat are packed each. An empty table gives no rows.
     """
-    _swept(spark)
     return pack_power_of_two(docs)
 
 
