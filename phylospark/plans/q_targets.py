@@ -19,7 +19,7 @@ def _clusters(spark, sf_dir):
 @query("p02_split_names", f"with {ALIGNMENTS} select seq_name, sample, cast(case when is_ref then 0 else rank end as int) as rank, is_ref from alignments")
 def split_names(spark, sf_dir):
     a = views.alignments(spark, sf_dir)
-    name = F.when(F.col("is_ref"), F.concat_ws("__", "sample", F.lit("ref"))).when(F.col("rank") > 0, F.concat_ws("__", "sample", F.lpad(F.col("rank").cast("string"), 2, "0"))).otherwise(F.col("sample"))
+    name = F.when(F.col("is_ref"), F.concat_ws("__", "sample", F.lit("ref"))).when(F.col("rank") > 0, F.concat_ws("__", "sample", F.format_string("%02d", "rank"))).otherwise(F.col("sample"))
     return ops.split_names(a.select("seq_name", name.alias("name"))).select("seq_name", "sample", "rank", "is_ref")
 
 
