@@ -143,7 +143,16 @@ def _first(windows: list[str], names: list[str], k: int, distance: int) -> Colum
         place, name = first_near(sequences, near)
         return _found(place, name, order, place < 0)
 
-    return search(F.col("sequence"))
+    return _once(search)(F.col("sequence"))
+
+
+def _once(search):
+    """A search whose calls stay where they are written, once a row.
+
+    A filter on what they find would else be moved below the step that cuts the reads, so that each read passes the
+    search with the whole sequence that it was cut from, and is searched again above.
+    """
+    return search.asNondeterministic()
 
 
 def _found(value: np.ndarray, name: np.ndarray, order: list[str], none: np.ndarray) -> pa.Array:
@@ -184,7 +193,7 @@ def trim_adaptor_tips(reads: DataFrame, adaptors: DataFrame, least: int = 11, k:
         size, name = tips_near(sequences, near)
         return _found(size, name, order, size == 0)
 
-    out = reads.withColumn("__hit", search(F.col("sequence")))
+    out = reads.withColumn("__hit", _once(search)(F.col("sequence")))
     keep = F.length("sequence") - F.coalesce(F.col("__hit.pos"), F.lit(0))
     named = F.coalesce(F.col("adaptor"), F.col("__hit.name")) if "adaptor" in reads.columns else F.col("__hit.name")
     return out.withColumns({"adaptor": named, "sequence": F.substring(F.col("sequence"), F.lit(1), keep), "quality": F.substring(F.col("quality"), F.lit(1), keep)}).drop("__hit")
@@ -239,7 +248,7 @@ def trim_mate_overlap(reads: DataFrame, fragment: str = "fragment", mate: str =
         n = np.concatenate(found) if found else np.zeros(0, np.int64)
         return pa.array(n, pa.int32(), mask=n < 0)
 
-    out = reads.join(other, ["sample", fragment, mate], "left").withColumn("insert", inserts(F.col("sequence"), F.col("__other")))
+    out = reads.join(other, ["sample", fragment, mate], "left").withColumn("insert", _once(inserts)(F.col("sequence"), F.col("__other")))
     keep = F.coalesce(F.col("insert"), F.length("sequence"))
     return out.withColumns({c: F.substring(F.col(c), F.lit(1), keep) for c in ("sequence", "quality")}).select(*reads.columns, "insert")
 

@@ -31,3 +31,13 @@ def same(spark, folder, con, name):
 def test_ranks_of_any_number_of_digits(spark, tmp_path, doc):
     folder, con = tables(spark, tmp_path, documents=([(doc, "some text", "en", "src0", 9)], DOCUMENTS))
     assert same(spark, folder, con, "p02_split_names")["rank"].tolist() == [doc // 340]
+
+
+def test_filters_on_cut_reads_leave_each_search_once_and_on_reads(spark, tmp_path):
+    rows = [(i, "acgtacgt " * 400, "en", "src0", 5) for i in range(3)]
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "SOMEWHERE")], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    plan = registry.QUERIES["q07_two_rounds"](spark, str(tmp_path))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython") == 4  # two searches a round
+    below = plan.rsplit("ArrowEvalPython", 1)[1]
+    assert below.index("substring") < below.index("explode(sequence")  # reads are cut before they are searched
