@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +17,10 @@ MISSING = {"NT": "?.~ONX#", "AA": "?.~*X#"}
 AMBIGUOUS = {"NT": "MRWSYKVHDBN?", "AA": "BZJX?"}
 
 
+#: Runs of kept sites up to which a row is cut run by run.
+MANY_RUNS = 40
+
+
 def _states(kind: str) -> str:
     return "ACGT" if kind == "NT" else "ACDEFGHIKLMNOPQRSTUVWY*"
 
@@ -20,10 +29,55 @@ def _holding(kind: str, state: str) -> list[str]:
     return [a for a, s in seq.letters(kind).items() if state in s and a != "-"]
 
 
+def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts of a column on end, and the length of each text."""
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.frombuffer("".join(x or "" for x in column.to_pylist()).encode("utf-32-le"), np.uint32), sizes
+
+
 def site_counts(aln: DataFrame, keys: list[str]) -> DataFrame:
-    """Residues per site and letter; terminal gaps are ``#``. One shuffle of counts, combined in the tasks first."""
-    flat = aln.select(*keys, F.posexplode(F.split(seq.mark_terminal_gaps(F.upper("sequence")), "")).alias("pos", "residue"))
-    return flat.groupBy(*keys, "pos", "residue").agg(F.count(F.lit(1)).alias("n"))
+    """Residues per site and letter; terminal gaps are ``#``. Rows are shuffled whole and pass by locus, one at a time, in Arrow batches.
+
+    Of a locus only the counts are held, so one of very many rows is a long stream; letters become no rows of their own.
+    """
+    rows = aln.select(*keys, seq.mark_terminal_gaps(F.upper("sequence")).alias("sequence"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # of the open locus: place and letter as one number, and how many
+        last = None
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            at, back = np.unique(np.concatenate([a for a, _ in held]), return_inverse=True)
+            return at, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def closed() -> pa.RecordBatch:
+            at, n = summed()
+            own = [pa.array([v] * len(at), kind) for v, kind in zip(last, kinds, strict=True)]
+            letters = [chr(c) for c in (at & 0x1FFFFF).tolist()]
+            return pa.RecordBatch.from_arrays([*own, pa.array((at >> 21).astype(np.int32)), pa.array(letters, pa.string()), pa.array(n)], [*keys, "pos", "residue", "n"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [batch.schema.field(k).type for k in keys]
+            names = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            starts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            letters, sizes = _letters(batch.column("sequence"))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            places = (np.arange(len(letters)) - np.repeat(ends[:-1], sizes)) << 21 | letters
+            for a, b in zip(starts, starts[1:], strict=False):
+                if last is not None and names[a] != last:
+                    yield closed()
+                    held = []
+                last = names[a]
+                held.append(np.unique(places[ends[a] : ends[b]], return_counts=True))
+                if len(held) >= 16:
+                    held = [summed()]
+        if last is not None:
+            yield closed()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, f"{fields}, pos int, residue string, n long")
 
 
 def site_stats(counts: DataFrame, keys: list[str], kind: str = "NT") -> DataFrame:
@@ -52,14 +106,51 @@ def site_stats(counts: DataFrame, keys: list[str], kind: str = "NT") -> DataFram
     return out.select(*keys, "pos", "rows", "gaps", (F.col("rows") - F.col("inner")).alias("ends"), "missing", kind_of.alias("class"), F.when(F.col("inner") >= 2, matches).otherwise(0.0).alias("matches"), F.when(F.col("inner") >= 2, pairs(F.col("inner")) - pairs(F.col("gaps"))).otherwise(0.0).alias("pairs"))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits that all bits of x went into."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def column_patterns(aln: DataFrame, keys: list[str], order: str, kind: str = "NT") -> DataFrame:
-    """Number of distinct columns, compared by the summed hashes of (row name, residue), missing data as gaps."""
+    """Number of distinct columns, compared by the summed hashes of (row name, residue), missing data as gaps.
+
+    Rows pass by locus, as in ``site_counts``; of a locus 128 bits a site are held.
+    """
     clean = F.translate(seq.mark_terminal_gaps(F.upper("sequence")), MISSING[kind], "-" * len(MISSING[kind]))
-    flat = aln.select(*keys, order, F.posexplode(F.split(clean, "")).alias("pos", "residue"))
-    mark = F.xxhash64(order, "residue")
-    low = lambda m: F.sum(m.bitwiseAND(F.lit((1 << 40) - 1)))
-    sites = flat.groupBy(*keys, "pos").agg(low(mark).alias("a"), low(F.shiftrightunsigned(mark, 24)).alias("b"))
-    return sites.groupBy(*keys).agg(F.count_distinct("a", "b").alias("patterns"))
+    rows = aln.select(*keys, F.xxhash64(order).alias("mark"), clean.alias("sequence"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sums = None, np.zeros((2, 0), np.uint64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds, done = [batch.schema.field(k).type for k in keys], []
+            names = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            letters, sizes = _letters(batch.column("sequence"))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            marks = batch.column("mark").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            low = _mixed(np.repeat(_mixed(marks), sizes) ^ letters.astype(np.uint64))
+            both = np.vstack([low, _mixed(low + np.uint64(0x9E3779B97F4A7C15))])
+            for i, name in enumerate(names):
+                if name != last:
+                    if last is not None:
+                        done.append((*last, len(np.unique(sums, axis=1).T)))
+                    last, sums = name, np.zeros((2, 0), np.uint64)
+                if sizes[i] > sums.shape[1]:
+                    sums = np.pad(sums, ((0, 0), (0, int(sizes[i]) - sums.shape[1])))
+                sums[:, : sizes[i]] += both[:, ends[i] : ends[i + 1]]
+            yield _counted(done, kinds)
+        if last is not None:
+            yield _counted([(*last, len(np.unique(sums, axis=1).T))], kinds)
+
+    def _counted(done: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        columns = list(zip(*done, strict=True)) or [()] * (len(keys) + 1)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*kinds, pa.int64()], strict=True)], [*keys, "patterns"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, f"{fields}, patterns long")
 
 
 def gc_by_codon(aln: DataFrame, keys: list[str]) -> DataFrame:
@@ -141,9 +232,19 @@ def sample_summary(stats: DataFrame) -> DataFrame:
 
 def keep_columns(aln: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     """Rows reduced to the kept sites; ``kept`` has an array of 0-based positions a locus."""
-    # letters are split once a row, as a substring costs time by its place
+    joins = F.aggregate(
+        F.array_sort("kept"),
+        F.array().cast("array<struct<a:int,n:int>>"),
+        lambda acc, p: F.when(
+            (F.size(acc) > 0) & (F.element_at(acc, -1).a + F.element_at(acc, -1).n == p),
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1).a.alias("a"), (F.element_at(acc, -1).n + 1).alias("n")))),
+        ).otherwise(F.concat(acc, F.array(F.struct(p.cast("int").alias("a"), F.lit(1).alias("n"))))),
+    )
+    cut = aln.join(kept.withColumn("__runs", joins), keys)
+    by_runs = F.array_join(F.transform("__runs", lambda x: F.substring(F.col("sequence"), x.a + 1, x.n)), "")
+    # of many runs letters are split once a row, as a substring costs time by its place
     picked = F.transform(F.array(F.split("sequence", "")), lambda letters: F.array_join(F.transform(F.array_sort("kept"), lambda p: F.get(letters, p)), ""))
-    return aln.join(kept, keys).withColumn("sequence", F.element_at(picked, 1)).drop("kept")
+    return cut.withColumn("sequence", F.when(F.size("__runs") <= MANY_RUNS, by_runs).otherwise(F.element_at(picked, 1))).drop("kept", "__runs")
 
 
 def drop_empty_columns(aln: DataFrame, keys: list[str]) -> DataFrame:

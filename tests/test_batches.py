@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from phylospark.operators import grouped, similarity
+from phylospark.operators import grouped, similarity, sites
 from phylospark.plans import views
 
 r = random.Random(11)
@@ -70,3 +70,31 @@ def test_windows_take_every_letter_once(spark):
     frame = spark.createDataFrame([(s,) for s in (text, text[:5], text[:14], "a\nb", "")], "s string")
     got = frame.select(views.windows(F.col("s"), 7)).collect()
     assert [x[0] for x in got] == [[s[i : i + 7] for i in range(0, len(s), 7)] for s in (text, text[:5], text[:14], "a\nb", "")]
+
+
+def test_sites_are_counted_by_locus_in_batches(spark):
+    rows = [(f"l{i % 7}" if i % 11 else None, f"r{i}", draw(r.choice((0, 9, 14)), "ACGT-N?é")) for i in range(500)]
+    frame = spark.createDataFrame(rows, "locus string, seq_name string, sequence string")
+    want, patterns = Counter(), {}
+    for locus, name, s in rows:
+        s = s.upper()
+        inner = s.strip("-")
+        ends = (len(s) - len(s.lstrip("-")), len(s) - len(s.rstrip("-"))) if inner else (len(s), 0)
+        marked = "#" * ends[0] + inner + "#" * ends[1]
+        want.update((locus, i, c) for i, c in enumerate(marked))
+        for i, c in enumerate(marked):
+            patterns.setdefault(locus, {}).setdefault(i, []).append((name, "-" if c in "?.~ONX#" else c))
+    out = sites.site_counts(frame, ["locus"])
+    assert {(x["locus"], x["pos"], x["residue"]): x["n"] for x in out.where("residue <> ''").collect()} == dict(want)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()  # letters make no rows
+    got = {x["locus"]: x["patterns"] for x in sites.column_patterns(frame, ["locus"], "seq_name").collect()}
+    assert got == {k: len({tuple(c) for c in v.values()}) for k, v in patterns.items()}
+
+
+def test_kept_columns_by_runs_and_by_letters(spark):
+    texts = [("l", f"r{i}", draw(200)) for i in range(5)] + [("l", "short", draw(30)), ("m", "x", draw(200))]
+    kept = {"l": [3, 4, 5, 40, 41, 199, 250], "m": list(range(0, 200, 2))}
+    frame = spark.createDataFrame(texts, "locus string, seq_name string, sequence string")
+    of = spark.createDataFrame([(k, r.sample(v, len(v))) for k, v in kept.items()], "locus string, kept array<int>")
+    got = {x["seq_name"]: x["sequence"] for x in sites.keep_columns(frame, of, ["locus"]).collect()}
+    assert got == {n: "".join(s[p] for p in kept[k] if p < len(s)) for k, n, s in texts}
