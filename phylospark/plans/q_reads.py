@@ -41,7 +41,7 @@ def gc_histogram(spark, sf_dir):
 
 @query("j13_length_grid", f"with {READS}, c as (select sample, mate, length(sequence) as length, count(*) as n from reads group by 1, 2, 3), s as (select distinct sample, mate from c), l as (select cast(unnest(range((select min(length) from c), (select max(length) from c) + 1)) as bigint) as length) select sample, mate, length, coalesce(n, 0) as n from (select * from s, l) left join c using (sample, mate, length)")
 def length_grid(spark, sf_dir):
-    return ops.length_grid(views.reads(spark, sf_dir))
+    return ops.length_grid(views.reads(spark, sf_dir, quality=False))
 
 
 @query("a11_duplication", f"with {READS}, c as (select sample, sequence, count(*) as n from reads group by 1, 2) select sample, case when n >= 100 then '>100' when n >= 50 then '>50' when n >= 10 then '>10' else cast(n as varchar) end as level, cast(sum(n) as bigint) as n_reads, count(*) as n_distinct from c group by 1, 2")

@@ -1,14 +1,17 @@
 """Steps that pass in Arrow batches against plain loops: merged haplotypes, masked windows, counts of sites, kept columns."""
 
+import os
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from phylospark.operators import grouped, similarity, sites
-from phylospark.plans import views
+from phylospark.plans import catalog, registry, views  # noqa: F401
 
 r = random.Random(11)
+DATA = "/root/testdata/sf0.001"
 
 
 def draw(n, letters="ACGT"):
@@ -98,3 +101,10 @@ def test_kept_columns_by_runs_and_by_letters(spark):
     of = spark.createDataFrame([(k, r.sample(v, len(v))) for k, v in kept.items()], "locus string, kept array<int>")
     got = {x["seq_name"]: x["sequence"] for x in sites.keep_columns(frame, of, ["locus"]).collect()}
     assert got == {n: "".join(s[p] for p in kept[k] if p < len(s)) for k, n, s in texts}
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+@pytest.mark.parametrize("name", ["j13_length_grid", "q09_read_assignment"])
+def test_unread_qualities_are_not_made(spark, name):
+    plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ascii(" not in plan and "regexp_extract_all" in plan
