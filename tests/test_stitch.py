@@ -44,6 +44,28 @@ def test_paths_equal_every_comparison(spark, n, size, longest):
     assert got == {(k, i): p for k, hits in groups.items() for i, p in plain_paths(hits).items()}
 
 
+@pytest.mark.parametrize("size, longest", [(300, 40), (900, 500), (5000, 2000)])
+def test_paths_by_sets_of_bits_equal_every_comparison(monkeypatch, size, longest):
+    monkeypatch.setattr(grouped, "FEW", 0)  # sets of bits are used from the first path on
+    hits = []
+    for i in range(400):
+        s = r.randint(0, size) + r.choice([0, 0.5])
+        hits.append((i, s, s + r.choice([0, 1, 10 * r.randint(1, 12), r.randint(1, longest)]), r.choice([60.0, 83.33, 99.9, 120.0]) + r.choice([0, 3.33, r.random()]), round(r.random(), 1)))
+    paths = grouped.OpenPaths(99)
+    got = {i: f"path{paths.put(s, e, p)}" for i, s, e, p, _ in sorted(hits, key=lambda h: (-h[4], h[0]))}
+    assert got == plain_paths(hits)
+
+
+def test_few_paths_are_held_against_a_hit_one_by_one(monkeypatch):
+    tried, fits = [], grouped.OpenPaths._fits
+    monkeypatch.setattr(grouped.OpenPaths, "_fits", lambda self, *x: tried.append(1) or fits(self, *x))
+    paths = grouped.OpenPaths(99)
+    for i in range(4000):
+        s, n = (i * 7919) % 400, 10 * (1 + (i * 31) % 50)
+        paths.put(s, s + n, 70 + (i * 37 % 1000) / 100)
+    assert len(tried) < 40 * 4000
+
+
 def test_very_many_hits_of_one_group_pass_in_bounded_memory():
     paths, before, began = grouped.OpenPaths(99), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
     for i in range(100_000):
