@@ -17,10 +17,10 @@ MINHASHES = 2 * SIDE * WIDTH
 #: Candidates may differ in so many of the minhashes, of which two bits each are compared, at most. Of a pair
 #: of similarity 0.8, 4.8 of 32 differ on average; over 15 has probability 3e-6.
 MOST_DIFFERING = 15
-#: Bits of a set's parity map, and the size of sets from which only a share of the shingles is mapped.
-PARITY, WHOLE = 512, 512
+#: Bits of a set's parity map, in two parts, and the size of sets from which a part takes only a share of the shingles.
+PARITY, WHOLE = 1024, 512
 #: First rounds, in which a class is paired with one leader among those of all its keys.
-REDUCING = 3
+REDUCING = 2
 #: Leading classes that a key's others are paired with in the round after those; sixteen times as many in each later one.
 LEADERS = 64
 _MASK48 = np.uint64((1 << 48) - 1)
@@ -56,19 +56,20 @@ def _sketch(mh: np.ndarray) -> int:
 
 
 def thinning(n: int) -> int:
-    """Of a set of n shingles, one in 2**thinning is in its parity map: all of those below WHOLE."""
+    """Of a set of n shingles, one in 2**thinning is in either part of its parity map: all of those below WHOLE are in one or the other."""
     return max(0, int(n).bit_length() - WHOLE.bit_length() + 1)
 
 
 def parity_map(found: np.ndarray) -> np.ndarray:
-    """PARITY bits, each whether an odd number of the set's (thinned) shingles falls on it, as signed 64-bit integers.
+    """PARITY bits, each whether an odd number of the set's shingles falls on it, as signed 64-bit integers.
 
+    The leading bits of a shingle's hash tell its part, so sets below 2 * WHOLE are mapped whole, and of larger ones two shares are.
     Two sets' maps differ in at most as many bits as shingles are in one of the sets only.
     """
     h = mixed(found ^ np.uint64(0x6A09E667F3BCC909))
-    if thin := thinning(len(found)):
-        h = h[h >> np.uint64(64 - thin) == 0]
-    odd = np.bincount((h % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    part = h >> np.uint64(64 - max(1, thinning(len(found))))
+    at = part * np.uint64(PARITY // 2) + h % np.uint64(PARITY // 2)
+    odd = np.bincount(at[part < 2].astype(np.int64), minlength=PARITY) & 1
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
@@ -182,7 +183,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     their full sets, so that components form. Then each class meets the key's leaders that lie in other
     components, and the leaders leave; a key whose classes are one component is done. Leaders grow sixteenfold, so
     rounds are few, and nobody's partners are capped: what is left unpaired at the end lies in one component.
-    A pair becomes a row only where parity maps of the two sets (512 bits, whose distance bounds the difference of
+    A pair becomes a row only where parity maps of the two sets (1024 bits, whose distance bounds the difference of
     the sets from below) allow the similarity, so unlike texts that share keys cost a comparison of a few words.
 
     Returns doc_id, n_shingles, component_id (the smallest id reachable) and kept (doc_id = component_id).
@@ -219,7 +220,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     if not members.limit(1).count():
         return _named(signed, classes, None)
     weights = members.groupBy("cls").agg(F.sum("size").alias("weight"))
-    traits = own.write(classes.join(weights, "cls").select("cls", "n", "sketch", "parity", "weight"), "traits")
+    traits = own.write(_traits(classes).join(weights, "cls"), "traits")
     sets = own.write(_sets(docs, classes.join(traits, "cls", "left_semi"), words), "sets")
     comps, turn = None, 0
     while True:
@@ -254,13 +255,23 @@ def _members(classes: DataFrame) -> DataFrame:
     return keyed.join(shared, "key").select("key", "cls", F.col("cls").alias("comp"), "size")
 
 
+#: A map's 64 bits each, as columns: what compares them stays short enough to be compiled.
+_MAPS = [f"map{i}" for i in range(PARITY // 64)]
+
+
+def _traits(classes: DataFrame) -> DataFrame:
+    """What tells whether two classes may be linked: sizes, how thinned their maps' parts are (1: whole), sketches and maps."""
+    thin = F.greatest(F.lit(1), F.length(F.bin("n")) - WHOLE.bit_length() + 1)
+    return classes.select("cls", "n", thin.alias("thin"), "sketch", *[F.element_at("parity", i + 1).alias(m) for i, m in enumerate(_MAPS)])
+
+
 def _of_leader(traits: DataFrame) -> DataFrame:
-    return traits.select(*[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "sketch", "parity")])
+    return traits.select(*[F.col(c).alias(f"l_{c}") for c in ("cls", "n", "thin", "sketch", *_MAPS)])
 
 
 def _differing() -> Column:
     """Bits in which the parity maps of a class and its leader differ."""
-    bits = [F.bit_count(F.element_at("parity", i).bitwiseXOR(F.element_at("l_parity", i))) for i in range(1, PARITY // 64 + 1)]
+    bits = [F.bit_count(F.col(m).bitwiseXOR(F.col(f"l_{m}"))) for m in _MAPS]
     return sum(bits[1:], bits[0])
 
 
@@ -272,10 +283,9 @@ def _possible(percent: int) -> Column:
     """
     differing = F.col("sketch").bitwiseXOR(F.col("l_sketch"))
     differing = F.bit_count(differing.bitwiseOR(F.shiftrightunsigned(differing, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    thin = lambda n: F.greatest(F.lit(0), F.length(F.bin(n)) - WHOLE.bit_length() + 1)
-    allowed = F.lit(100 - percent) * (F.col("n") + F.col("l_n")) / F.lit(100 + percent) / F.pow(F.lit(2.0), thin("n"))
-    within = _differing() <= F.when(thin("n") == 0, allowed + 1e-6).otherwise(allowed + 6 * F.sqrt(allowed))
-    return (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING) & ((thin("n") != thin("l_n")) | within)
+    allowed = F.lit(100 - percent) * (F.col("n") + F.col("l_n")) / F.lit(100 + percent) / F.pow(F.lit(2.0), F.col("thin") - 1)
+    within = _differing() <= F.when(F.col("thin") == 1, allowed + 1e-6).otherwise(allowed + 6 * F.sqrt(allowed))
+    return (100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")) & (differing <= MOST_DIFFERING) & ((F.col("thin") != F.col("l_thin")) | within)
 
 
 def _ordered() -> list[Column]:
