@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from phylospark.functions import seq
 from phylospark.operators.hits import hit_identity
-from phylospark.operators.similarity import kmers
+from phylospark.operators.similarity import kmers, kmers_among
 
 #: Scores of an alignment: a match, a mismatch, a gap of n bases costs OPEN + n * EXTEND.
 MATCH, MISMATCH, OPEN, EXTEND = 1, -1, 2, 1
@@ -184,7 +184,7 @@ def _places(targets: DataFrame, contigs: DataFrame, k: int, step: int, max_gap:
     """(target, strand, contig, first, last, runs): runs of seeds on one diagonal, gathered where no gap on the contig exceeds ``max_gap``."""
     both = targets.select("target", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("sequence")), F.struct(F.lit("-").alias("strand"), seq.reverse_complement(F.col("sequence")).alias("sequence")))).alias("x")).select("target", "x.strand", "x.sequence")
     own = kmers(both, ["target", "strand"], k).select("target", "strand", (F.col("pos") - 1).alias("q"), "kmer")
-    seeds = _met(own, kmers(contigs, ["contig"], k, step).select("contig", (F.col("pos") - 1).alias("t"), "kmer")).select("target", "strand", "contig", "q", "t")
+    seeds = _met(own, kmers_among(contigs, ["contig"], k, both, step).select("contig", (F.col("pos") - 1).alias("t"), "kmer")).select("target", "strand", "contig", "q", "t")
     key = ["target", "strand", "contig"]
     dealt = seeds.repartition(*key).withColumn("diagonal", F.col("t") - F.col("q"))  # what follows keeps these keys together
     along = Window.partitionBy(*key, "diagonal").orderBy("t")
