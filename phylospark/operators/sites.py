@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phylospark.functions import seq
+from phylospark.operators import streams
 
 # Signs that count as missing data.
 MISSING = {"NT": "?.~ONX#", "AA": "?.~*X#"}
@@ -77,7 +78,7 @@ def site_counts(aln: DataFrame, keys: list[str]) -> DataFrame:
         if last is not None:
             yield closed()
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, f"{fields}, pos int, residue string, n long")
+    return streams.by_group(rows, keys).mapInArrow(count, f"{fields}, pos int, residue string, n long")
 
 
 def site_stats(counts: DataFrame, keys: list[str], kind: str = "NT") -> DataFrame:
@@ -150,7 +151,7 @@ def column_patterns(aln: DataFrame, keys: list[str], order: str, kind: str = "NT
         columns = list(zip(*done, strict=True)) or [()] * (len(keys) + 1)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*kinds, pa.int64()], strict=True)], [*keys, "patterns"])
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, f"{fields}, patterns long")
+    return streams.by_group(rows, keys).mapInArrow(count, f"{fields}, patterns long")
 
 
 def gc_by_codon(aln: DataFrame, keys: list[str]) -> DataFrame:
